@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ledgerflow.bindings import feeds as fd
 from ledgerflow.bindings.feeds import duck_sql, for_compare, spark_sql, table
 from ledgerflow.functions import amounts, cleansing, dates
-from ledgerflow.operators import aggregates, conform, joins, merge, quality, windows
+from ledgerflow.operators import aggregates, joins, merge, quality, windows
+from ledgerflow.operators.conform import union_conformed
 from ledgerflow.plans.entities.transfer_balance import transfer_balance
 from ledgerflow.sources import catalog
 
@@ -258,3 +259,297 @@ def q_last_batches(spark, sf):
 @register("distinct_batches", with_feed(fd.EVENTS_FEED, "SELECT DISTINCT batch_date FROM f"))
 def q_distinct_batches(spark, sf):
     return quality.distinct_values(spark_sql(spark, sf, fd.EVENTS_FEED), "batch_date")
+
+
+# ---------------------------------------------------------------- J1/J4-J6 -
+@register("left_dims", """WITH oc AS (SELECT o_custkey, count(*) AS n_orders, sum(cast(o_totalprice AS decimal(15,2))) AS total
+                  FROM orders GROUP BY o_custkey),
+  asia AS (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2)
+SELECT c.c_custkey, c.c_name, n.n_name, r.r_name, a.n_name AS asia_nation, coalesce(oc.n_orders, 0) AS n_orders,
+       cast(coalesce(oc.total, 0) AS double) AS total_price
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN asia a ON c.c_nationkey = a.n_nationkey
+LEFT JOIN oc ON c.c_custkey = oc.o_custkey""")
+def q_left_dims(spark, sf):
+    c, n, r, o = (table(spark, sf, t) for t in ("customer", "nation", "region", "orders"))
+    per_customer = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(15,2)")).alias("total"))
+    n_small, r_small = joins.broadcast_if_small(n), joins.broadcast_if_small(r)
+    asia = n.where(F.col("n_regionkey") == 2).select(F.col("n_nationkey").alias("a_key"), F.col("n_name").alias("asia_nation"))
+    j = (c.join(n_small, c.c_nationkey == n_small.n_nationkey, "left")
+         .join(r_small, F.col("n_regionkey") == r_small.r_regionkey, "left")
+         .join(joins.broadcast_if_small(asia), c.c_nationkey == F.col("a_key"), "left")
+         .join(per_customer, c.c_custkey == per_customer.o_custkey, "left"))
+    return j.select("c_custkey", "c_name", "n_name", "r_name", "asia_nation",
+                    F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+                    F.coalesce("total", F.lit(0)).cast("double").alias("total_price"))
+
+
+# ---------------------------------------------------------------- J3 -------
+@register("null_safe", """WITH c AS (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg FROM customer),
+  s AS (SELECT nullif(c_mktsegment, 'BUILDING') AS seg, count(*) AS seg_count FROM customer GROUP BY 1)
+SELECT c.c_custkey, c.seg, s.seg_count FROM c LEFT JOIN s ON coalesce(c.seg, '-9999') = coalesce(s.seg, '-9999')""")
+def q_null_safe(spark, sf):
+    cust = table(spark, sf, "customer").select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("seg"))
+    seg = cust.groupBy(F.col("seg").alias("s_seg")).agg(F.count(F.lit(1)).alias("seg_count"))
+    j = cust.join(seg, joins.sentinel_on(cust, seg, [("seg", "s_seg")]), "left")
+    return j.select("c_custkey", "seg", "seg_count")
+
+
+# ---------------------------------------------------------------- J10 ------
+@register("right_join", """SELECT c.c_custkey, c.c_name, cast(o.o_orderkey AS varchar) AS o_orderkey, o.o_orderstatus
+FROM orders o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_right_join(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey, "right")
+    return j.select("c_custkey", "c_name", F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+
+
+# ---------------------------------------------------------------- J7/J8 ----
+@register("prefix_join", """WITH li AS (SELECT lpad(cast(l_orderkey AS varchar), 13, '0') || lpad(cast(l_linenumber AS varchar), 2, '0') AS pid15,
+                    l_extendedprice FROM lineitem),
+  od AS (SELECT lpad(cast(o_orderkey AS varchar), 13, '0') AS pid13, o_orderstatus FROM orders)
+SELECT od.pid13, li.pid15, od.o_orderstatus, li.l_extendedprice
+FROM od JOIN li ON od.pid13 = substring(li.pid15, 1, 13)""")
+def q_prefix_join(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        F.concat(F.lpad(F.col("l_orderkey").cast("string"), 13, "0"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("pid15"),
+        "l_extendedprice")
+    od = table(spark, sf, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 13, "0").alias("pid13"), "o_orderstatus")
+    return od.join(li, od.pid13 == joins.prefix(li.pid15), "inner").select("pid13", "pid15", "o_orderstatus", "l_extendedprice")
+
+
+# ---------------------------------------------------------------- J11/J13 --
+_RULE0 = ", ".join(f"'{c}'" for c in joins.RULE0_CODES)
+
+
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_ACT = "coalesce(try_cast({x}.activity_type AS integer), -9999)"
+_CASE_ON = f"""CASE WHEN t.base_transaction_code IN ({_RULE0}) THEN t.base_transaction_code = tt.base_transaction_code
+""" + "".join(
+    f"""  WHEN t.{col} IN ({_in(vals)}) THEN t.{col} = tt.{col} AND t.base_transaction_code = tt.base_transaction_code
+       AND {_ACT.format(x='t')} = {_ACT.format(x='tt')}
+""" for col, vals in joins.RULES) + f"""  ELSE CASE WHEN {' AND '.join(f'tt.{c} IS NULL' for c in joins.TYPE_CODE_COLUMNS)}
+       THEN t.base_transaction_code = tt.base_transaction_code AND {_ACT.format(x='t')} = {_ACT.format(x='tt')} END END"""
+
+
+@register("rule_join", f"""WITH t AS ({duck_sql(fd.RULE_TXN_FEED)}), tt AS ({duck_sql(fd.TYPES_FEED)})
+SELECT t.l_orderkey, t.l_linenumber, t.base_transaction_code, t.activity_type, tt.category AS tt_category,
+       tt.activity AS tt_activity, tt.activity_code_description AS tt_activity_code_description
+FROM t LEFT JOIN tt ON {_CASE_ON}
+WHERE tt.process_flag = 'Y'""")
+def q_rule_join(spark, sf):
+    t = spark_sql(spark, sf, fd.RULE_TXN_FEED)
+    tt = spark_sql(spark, sf, fd.TYPES_FEED).where(F.col("process_flag") == "Y")
+    j = joins.rule_join(t, tt, how="inner")
+    return j.select("l_orderkey", "l_linenumber", "base_transaction_code", "activity_type",
+                    "tt_category", "tt_activity", "tt_activity_code_description")
+
+
+# ---------------------------------------------------------------- J14 ------
+_HALVES = """WITH a AS (SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_acctbal END AS c_acctbal
+                FROM customer WHERE c_nationkey < 15),
+  b AS (SELECT c_custkey, upper(c_name) AS c_name, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey >= 10)
+"""
+
+
+@register("merge_frames", _HALVES + """SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, coalesce(a.c_name, b.c_name) AS c_name,
+  coalesce(a.c_acctbal, b.c_acctbal) AS c_acctbal, b.c_mktsegment
+FROM a FULL JOIN b ON a.c_custkey = b.c_custkey""")
+def q_merge_frames(spark, sf):
+    c = table(spark, sf, "customer")
+    a = c.where(F.col("c_nationkey") < 15).select(
+        "c_custkey", "c_name", F.when(F.col("c_mktsegment") == "BUILDING", None).otherwise(F.col("c_acctbal")).alias("c_acctbal"))
+    b = c.where(F.col("c_nationkey") >= 10).select("c_custkey", F.upper("c_name").alias("c_name"), "c_acctbal", "c_mktsegment")
+    return joins.merge_frames(a, b, ["c_custkey"])
+
+
+# ---------------------------------------------------------------- A1-A4, A10
+@register("sums", """SELECT l_suppkey, l_returnflag, count(*) AS n_lines,
+  cast(sum(coalesce(cast(l_extendedprice AS decimal(15,2)), 0)) AS double) AS sum_price,
+  cast(sum(coalesce(cast(l_quantity AS decimal(15,2)), 0)) AS double) AS sum_qty
+FROM lineitem GROUP BY l_suppkey, l_returnflag""")
+def q_sums(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.groupBy("l_suppkey", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(aggregates.zero_if_null(F.col("l_extendedprice").cast("decimal(15,2)"))).cast("double").alias("sum_price"),
+        F.sum(aggregates.zero_if_null(F.col("l_quantity").cast("decimal(15,2)"))).cast("double").alias("sum_qty"))
+
+
+@register("conditional_sums", """SELECT l_suppkey,
+  cast(sum(coalesce(CASE WHEN l_linestatus = 'O' THEN cast(l_extendedprice AS decimal(15,2)) END, 0)) AS double) AS open_amount,
+  cast(sum(coalesce(CASE WHEN l_linestatus = 'F' THEN cast(l_extendedprice AS decimal(15,2)) END, 0)) AS double) AS filled_amount,
+  cast(sum(coalesce(CASE WHEN l_returnflag = 'R' THEN cast(l_extendedprice AS decimal(15,2))
+                         ELSE cast(l_quantity AS decimal(15,2)) END, 0)) AS double) AS measure,
+  cast(sum(coalesce(CASE WHEN l_linestatus = 'O' THEN cast(l_extendedprice AS decimal(15,2)) END, 0))
+     + sum(coalesce(CASE WHEN l_linestatus = 'F' THEN cast(l_extendedprice AS decimal(15,2)) END, 0)) AS double) AS total_amount
+FROM lineitem GROUP BY l_suppkey""")
+def q_conditional_sums(spark, sf):
+    li = table(spark, sf, "lineitem")
+    price, qty = F.col("l_extendedprice").cast("decimal(15,2)"), F.col("l_quantity").cast("decimal(15,2)")
+    g = li.groupBy("l_suppkey").agg(
+        F.sum(aggregates.zero_if_null(F.when(F.col("l_linestatus") == "O", price))).alias("open_amount"),
+        F.sum(aggregates.zero_if_null(F.when(F.col("l_linestatus") == "F", price))).alias("filled_amount"),
+        F.sum(aggregates.zero_if_null(F.when(F.col("l_returnflag") == "R", price).otherwise(qty))).alias("measure"))
+    return g.select("l_suppkey", *[F.col(c).cast("double").alias(c) for c in ("open_amount", "filled_amount", "measure")],
+                    (F.col("open_amount") + F.col("filled_amount")).cast("double").alias("total_amount"))
+
+
+# ---------------------------------------------------------------- A6 -------
+@register("set_agg", """SELECT o_custkey,
+  coalesce(string_agg(DISTINCT nullif(o_orderpriority, ''), ';' ORDER BY nullif(o_orderpriority, '')), '') AS producer_role_code,
+  coalesce(string_agg(DISTINCT nullif(CASE WHEN o_orderstatus = 'RIA/IAR' THEN o_orderstatus ELSE substring(o_orderpriority, 1, 3) END, ''), ';'
+        ORDER BY nullif(CASE WHEN o_orderstatus = 'RIA/IAR' THEN o_orderstatus ELSE substring(o_orderpriority, 1, 3) END, '')), '') AS producer_role_type
+FROM orders GROUP BY o_custkey""")
+def q_set_agg(spark, sf):
+    o = table(spark, sf, "orders")
+    role_src = F.when(F.col("o_orderstatus") == aggregates.ROLE_TYPE_WHOLE, F.col("o_orderstatus")).otherwise(F.col("o_orderpriority"))
+    return aggregates.distinct_concat(o, ["o_custkey"], {
+        "producer_role_code": F.col("o_orderpriority"),
+        "producer_role_type": aggregates.role_type_code(role_src),
+    })
+
+
+# ---------------------------------------------------------------- A5/A8/A7 -
+_ACCT = """CASE o_orderstatus WHEN 'F' THEN ' alloc ' WHEN 'O' THEN 'ALOC' ELSE substring(o_orderpriority, 1, 1) END"""
+
+
+@register("set_flag", f"""WITH m AS (SELECT o_custkey,
+     CASE WHEN upper(trim({_ACCT})) IN ('ALLOC', 'ALOC') THEN 'ALLOC' ELSE {_ACCT} END AS acct FROM orders
+     WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+  s AS (SELECT o_custkey, list_distinct(list(acct)) AS st FROM m GROUP BY o_custkey)
+SELECT c.c_custkey, CASE WHEN len(s.st) = 1 AND s.st[1] = 'ALLOC' THEN 'N' ELSE 'Y' END AS plan_unallocated_flag
+FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey""")
+def q_set_flag(spark, sf):
+    o = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    acct = F.when(F.col("o_orderstatus") == "F", F.lit(" alloc ")).when(F.col("o_orderstatus") == "O", F.lit("ALOC")) \
+        .otherwise(F.substring("o_orderpriority", 1, 1))
+    summary = aggregates.allocation_summary(o.withColumn("acct", acct), ["o_custkey"], "acct")
+    c = table(spark, sf, "customer")
+    j = c.join(summary, c.c_custkey == summary.o_custkey, "left")
+    return j.select("c_custkey", aggregates.unallocated_flag(F.col("_acct_n"), F.col("_acct_min"), F.col("_acct_max")).alias("plan_unallocated_flag"))
+
+
+@register("first_code", """SELECT o_custkey, substring(min(o_orderpriority), 1, 3) AS company_code FROM orders GROUP BY o_custkey""")
+def q_first_code(spark, sf):
+    return aggregates.first_code(table(spark, sf, "orders"), "o_custkey", "o_orderpriority", "company_code")
+
+
+# ---------------------------------------------------------------- O2-O4 ----
+PARTY = [("party_id", "bigint"), ("party_name", "string"), ("nation_key", "int"), ("balance", "decimal(15,2)"),
+         ("segment", "string"), ("party_type", "string"), ("onboard_date", "date")]
+
+
+@register("conform_union", """SELECT c_custkey AS party_id, c_name AS party_name, c_nationkey AS nation_key,
+  cast(cast(c_acctbal AS decimal(15,2)) AS double) AS balance, c_mktsegment AS segment, 'customer' AS party_type,
+  cast(NULL AS varchar) AS onboard_date FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, cast(cast(s_acctbal AS decimal(15,2)) AS double), NULL, 'supplier', NULL FROM supplier""")
+def q_conform_union(spark, sf):
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("party_id"), F.col("c_name").alias("party_name"), F.col("c_nationkey").alias("nation_key"),
+        F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"), F.lit("customer").alias("party_type"))
+    s = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("party_id"), F.col("s_name").alias("party_name"), F.col("s_nationkey").alias("nation_key"),
+        F.col("s_acctbal").alias("balance"), F.lit("supplier").alias("party_type"))
+    return for_compare(union_conformed([c, s], PARTY))
+
+
+# ---------------------------------------------------------------- K5-K8 ----
+MERGE_TARGET = """SELECT o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice AS decimal(15,2)) AS o_totalprice, o_orderpriority
+FROM {orders} WHERE o_orderdate < TIMESTAMP '1998-01-01'"""
+MERGE_SOURCE = """SELECT o_orderkey, o_custkey, 'U' || o_orderstatus AS o_orderstatus,
+  cast(o_totalprice AS decimal(15,2)) + 1 AS o_totalprice, o_orderpriority,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'D' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE 'U' END AS seq_oper_code
+FROM {orders} WHERE o_orderdate >= TIMESTAMP '1997-01-01'"""
+_M_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+_MERGE_CTE = f"WITH t AS ({duck_sql(MERGE_TARGET)}), s AS ({duck_sql(MERGE_SOURCE)})\n"
+_M_OUT = "o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice AS double) AS o_totalprice, o_orderpriority"
+
+
+def _merge_inputs(spark, sf):
+    return spark_sql(spark, sf, MERGE_TARGET), spark_sql(spark, sf, MERGE_SOURCE)
+
+
+@register("merge_upsert", _MERGE_CTE + f"""SELECT {_M_OUT} FROM (
+  SELECT {', '.join(f'CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in _M_COLS)}
+  FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey
+  UNION ALL SELECT {', '.join(f's.{c}' for c in _M_COLS)} FROM s WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM t))""")
+def q_merge_upsert(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return for_compare(merge.merge_frame(t, s, merge.upsert_spec(["o_orderkey"])))
+
+
+@register("merge_delete", _MERGE_CTE + f"""SELECT {_M_OUT} FROM (
+  SELECT {', '.join(f'CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in _M_COLS)}
+  FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey WHERE NOT coalesce(s.seq_oper_code = 'D', false)
+  UNION ALL SELECT {', '.join(f's.{c}' for c in _M_COLS)} FROM s WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM t))""")
+def q_merge_delete(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return for_compare(merge.merge_frame(t, s, merge.upsert_spec(["o_orderkey"], delete_code_col="seq_oper_code")))
+
+
+@register("merge_update_first", _MERGE_CTE + f"""SELECT {_M_OUT} FROM (
+  SELECT t.o_orderkey, t.o_custkey,
+    CASE WHEN s.seq_oper_code = 'U' THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+    CASE WHEN s.seq_oper_code = 'U' THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+    t.o_orderpriority
+  FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey
+  WHERE NOT coalesce(s.seq_oper_code <> 'U' AND s.o_orderpriority = '5-LOW', false)
+  UNION ALL SELECT {', '.join(f's.{c}' for c in _M_COLS)} FROM s
+  WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM t) AND coalesce(s.seq_oper_code <> 'D', false))""")
+def q_merge_update_first(spark, sf):
+    """Update-before-delete, a delete condition combined with the
+    merge condition, partial update values and a conditional insert."""
+    t, s = _merge_inputs(spark, sf)
+    spec = merge.MergeSpec(
+        merge.key_pairs(["o_orderkey"]),
+        (merge.Clause("update", "source.seq_oper_code = 'U'",
+                      {"o_orderstatus": "source.o_orderstatus", "o_totalprice": "source.o_totalprice"}),
+         merge.Clause("delete", "source.o_orderpriority = '5-LOW'"),
+         merge.Clause("insert", "source.seq_oper_code <> 'D'")),
+    )
+    return for_compare(merge.merge_frame(t, s, spec))
+
+
+@register("merge_delete_only", _MERGE_CTE + f"""SELECT {_M_OUT} FROM t
+WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM s WHERE seq_oper_code = 'D')""")
+def q_merge_delete_only(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return for_compare(merge.merge_frame(t, s, merge.delete_only_spec(["o_orderkey"], "source.seq_oper_code = 'D'")))
+
+
+@register("delete_anti", _MERGE_CTE + f"""SELECT {_M_OUT} FROM t
+WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM s WHERE seq_oper_code = 'D')""")
+def q_delete_anti(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    return for_compare(merge.delete_matching(t, s, ["o_orderkey"], "source.seq_oper_code = 'D'"))
+
+
+ID_TARGET = """SELECT lpad(cast(o_custkey AS string), 9, '0') AS participant_id, o_orderkey, o_orderstatus FROM {orders}"""
+ID_CHANGES = """SELECT CASE c_mktsegment WHEN 'BUILDING' THEN '850' WHEN 'MACHINERY' THEN '851' ELSE '999' END AS admin_tran_code,
+  lpad(cast(c_custkey AS string), 9, '0') AS old_participant_id, 'N' || lpad(cast(c_custkey AS string), 8, '0') AS new_participant_id
+FROM {customer}"""
+
+
+@register("key_rewrite", f"""WITH t AS ({duck_sql(ID_TARGET)}), m AS ({duck_sql(ID_CHANGES)} )
+SELECT coalesce(m.new_participant_id, t.participant_id) AS participant_id, t.o_orderkey, t.o_orderstatus
+FROM t LEFT JOIN (SELECT * FROM m WHERE admin_tran_code IN ('850', '851')) m ON t.participant_id = m.old_participant_id""")
+def q_key_rewrite(spark, sf):
+    t = spark_sql(spark, sf, ID_TARGET)
+    changes = spark_sql(spark, sf, ID_CHANGES).where(F.col("admin_tran_code").isin("850", "851"))
+    return merge.merge_frame(t, changes, merge.key_rewrite_spec())
+
+
+@register("key_rewrite_join", f"""WITH t AS ({duck_sql(ID_TARGET)}), m AS ({duck_sql(ID_CHANGES)} )
+SELECT coalesce(m.new_participant_id, t.participant_id) AS participant_id, t.o_orderkey, t.o_orderstatus
+FROM t LEFT JOIN (SELECT * FROM m WHERE admin_tran_code IN ('850', '851')) m ON t.participant_id = m.old_participant_id""")
+def q_key_rewrite_join(spark, sf):
+    t = spark_sql(spark, sf, ID_TARGET)
+    changes = spark_sql(spark, sf, ID_CHANGES).where(F.col("admin_tran_code").isin("850", "851"))
+    return merge.rewrite_keys(t, changes)

@@ -34,20 +34,18 @@ def role_type_code(c: Column) -> Column:
 def distinct_concat(df: DataFrame, keys: Sequence[str], values: dict[str, Column], sep: str = ";") -> DataFrame:
     """Per key, ``concat_ws(sep, sorted distinct non-empty values)`` for each output.
 
-    Values are de-duplicated per (key, value) first, so a hot key is spread
-    by value before the per-key gather, and each key carries only its
-    distinct values.  Sorting makes the string deterministic.
+    All outputs travel as tagged (name, value) rows: one ``distinct`` on
+    (key, name, value) spreads a hot key by value and removes repeats
+    before the per-key gather, so each key carries only its distinct
+    values.  Sorting makes the string deterministic.
     """
     keys = list(keys)
-    out = None
-    for name, expr in values.items():
-        d = df.select(*[q(k) for k in keys], F.nullif(expr, F.lit("")).alias("_v")).distinct()
-        agg = d.groupBy(*[q(k) for k in keys]).agg(F.concat_ws(sep, F.array_sort(F.collect_list("_v"))).alias(name))
-        out = agg if out is None else out.join(agg, [out[k].eqNullSafe(agg[k]) for k in keys], "full").select(
-            *[F.coalesce(out[k], agg[k]).alias(k) for k in keys],
-            *[out[c] for c in out.columns if c not in keys], agg[name],
-        )
-    return out
+    names = list(values)
+    tagged = F.array(*[F.struct(F.lit(n).alias("n"), F.nullif(values[n], F.lit("")).alias("v")) for n in names])
+    d = df.select(*[q(k) for k in keys], F.inline(tagged)).distinct()
+    return d.groupBy(*[q(k) for k in keys]).agg(*[
+        F.concat_ws(sep, F.array_sort(F.collect_list(F.when(F.col("n") == n, F.col("v"))))).alias(n) for n in names
+    ])
 
 
 def allocation_summary(df: DataFrame, keys: Sequence[str], account_col: str) -> DataFrame:
