@@ -206,3 +206,106 @@ SELECT CASE WHEN p_type = 'ECONOMY' THEN cast(p_size % 6 AS string) END AS usage
        CASE WHEN p_retailprice > 990 THEN 'N' ELSE 'Y' END AS process_flag,
        p_name AS activity_code_description
 FROM {part}"""
+
+
+# ---- transaction entity inputs ---------------------------------------------
+TXN_RAW_COLUMNS = (
+    "participant_id", "plan_number", "base_transaction_code", "activity_type", "rev_code", "run_time", "trade_date",
+    "sequence_number", "run_date", "posting_process_counter", "alternate_posting_process_counter",
+    "associated_activity", "cash", "margin_code", "other_cash", "pay_period_end_date", "previous_activity_date",
+    "reserved_cash_shares_ind", "reversal_reason", "reverse_run_date", "money_source", "share_cost", "share_price",
+    "shares", "fund_id", "standard_usage_code_1", "standard_usage_code_2", "standard_usage_code_3",
+    "standard_usage_code_4", "standard_usage_code_5", "sub_activity", "trade_type", "uninvested_cash",
+    "usage_code_1", "usage_code_2", "usage_code_3", "usage_code_4", "usage_code_5", "use_plan_year_flag",
+    "voucher_number", "record_type", "rec_type", "plan_sequence", "pend_stat", "currency_value", "currency_code",
+    "xr_type", "xr_rate", "net_currency_value", "rec_code", "plan_num", "fileid_name", "fileid_ext",
+    "fileid_ptr_indic", "tran_code", "part_num", "part_num_x", "part_sub_plan", "part_ext1", "fund_src", "etin_num",
+    "tran_seq", "separate_acct", "company_code", "share_class", "seq_oper_code", "part_ext", "batch_date",
+)
+
+_dec = "cast(cast({} AS decimal(15,2)) AS string)"
+TXN_RAW_EXPR = {
+    "participant_id": "lpad(cast(l_orderkey AS string), 9, '0')",
+    "plan_number": "lpad(cast(l_suppkey AS string), 6, '0')",
+    "base_transaction_code": "lpad(cast(l_suppkey % 1000 AS string), 3, '0')",
+    "activity_type": "CASE WHEN l_linenumber = 7 THEN NULL ELSE cast(l_linenumber AS string) END",
+    "usage_code_1": "CASE WHEN l_returnflag = 'R' AND l_linenumber < 6 THEN cast(l_linenumber AS string) END",
+    "usage_code_2": "CASE WHEN l_returnflag = 'A' THEN l_linestatus END",
+    "usage_code_3": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN cast(8 + l_linenumber % 2 AS string) END",
+    "usage_code_4": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN CASE WHEN l_linenumber < 3 THEN 'WR' ELSE 'X' END END",
+    "standard_usage_code_4": "CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'R' END",
+    "rev_code": "CASE WHEN l_linenumber = 1 THEN '' ELSE l_returnflag END",
+    "run_time": "lpad(cast(l_partkey % 2400 AS string), 4, '0')",
+    "trade_date": iso("l_shipdate"),
+    "sequence_number": "cast(l_linenumber AS string)",
+    "run_date": iso("l_shipdate"),
+    "posting_process_counter": "cast(l_partkey AS string)",
+    "alternate_posting_process_counter": "cast(l_partkey % 7 AS string)",
+    "associated_activity": "CASE WHEN l_linenumber = 3 THEN 'x' ELSE cast(l_linenumber AS string) END",
+    "cash": _dec.format("l_extendedprice"),
+    "other_cash": "cast(cast(cast(l_extendedprice AS decimal(15,2)) * cast(l_discount AS decimal(15,2)) AS decimal(15,2)) AS string)",
+    "share_price": "cast(cast(l_discount AS decimal(15,6)) AS string)",
+    "shares": "cast(cast(l_quantity AS decimal(15,4)) AS string)",
+    "xr_rate": "cast(cast(l_tax AS decimal(15,6)) AS string)",
+    "fund_id": "cast(l_partkey % 100 AS string)",
+    "pay_period_end_date": "CASE WHEN l_linestatus = 'F' THEN " + iso("l_shipdate") + " END",
+    "money_source": "l_returnflag || l_linestatus",
+    "voucher_number": "cast(l_orderkey AS string)",
+    "seq_oper_code": "CASE WHEN l_linenumber = 5 THEN 'D' ELSE 'A' END",
+    "batch_date": "CASE l_returnflag WHEN 'A' THEN '20240101' WHEN 'N' THEN '20240102' ELSE '20240103' END",
+}
+
+
+def txn_raw_feed(where: str) -> str:
+    cols = [f"{TXN_RAW_EXPR.get(c, 'cast(NULL AS string)')} AS {c}" for c in TXN_RAW_COLUMNS]
+    return "SELECT " + ",\n       ".join(cols) + f"\nFROM {{lineitem}} WHERE {where}"
+
+
+TXN_NG_FEED = txn_raw_feed("l_linestatus = 'O'")
+TXN_JB_FEED = txn_raw_feed("l_linestatus = 'F'")
+TXN_FUNDS_FEED = """SELECT cast(p_partkey % 100 AS string) AS fund_iv, lpad(cast(p_size AS string), 6, '0') AS plan_number,
+       p_brand AS fund_code, p_type AS price_id FROM {part}"""
+TXN_PLANS_FEED = """SELECT lpad(cast(s_suppkey AS string), 6, '0') AS plan_number,
+       CASE WHEN s_nationkey < 10 THEN 'NG' WHEN s_nationkey < 20 THEN 'JB' END AS client_id FROM {supplier}"""
+
+
+# ---- division entity inputs ----------------------------------------------------
+DIVISIONS_FEED = """SELECT 'C' || cast(c_custkey AS string) AS client_id, lpad(cast(c_nationkey AS string), 6, '0') AS plan_number,
+       substring(c_mktsegment, 1, 3) AS div_sub_id, c_name AS address_city, c_mktsegment AS address_line_1,
+       cast(NULL AS string) AS address_line_2, cast(NULL AS string) AS address_line_3, cast(c_nationkey AS string) AS address_state,
+       cast(NULL AS string) AS address_zip_code, c_name AS primary_name, cast(NULL AS string) AS secondary_name,
+       '2024-01-31' AS source_cycle_date
+FROM {customer}"""
+DETAILS_FEED = """SELECT lpad(cast(o_orderkey AS string), 9, '0') AS part_number, lpad(cast(o_orderkey % 25 AS string), 6, '0') AS plan_number,
+       CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'AUT' WHEN '2' THEN 'BUI' WHEN '3' THEN 'FUR' WHEN '4' THEN 'HOU'
+            ELSE '' END AS div_sub_id
+FROM {orders}"""
+ACCOUNTS_FEED = """SELECT lpad(cast(l_orderkey AS string), 9, '0') AS participant_id, lpad(cast(l_orderkey % 25 AS string), 6, '0') AS plan_number,
+       CASE l_returnflag WHEN 'A' THEN 'alloc' WHEN 'N' THEN 'ALOC ' ELSE l_linestatus END AS participant_account_type_code
+FROM {lineitem} WHERE l_shipdate < TIMESTAMP '1998-06-01'"""
+
+
+# ---- producer balance inputs -----------------------------------------------------
+PRODUCER_FEED = """SELECT lpad(cast(o_custkey AS string), 9, '0') AS rep_tax_id_ssn,
+       CASE WHEN o_orderpriority LIKE '5%' THEN '' ELSE o_orderpriority END AS producer_role_code_desc,
+       CASE o_orderstatus WHEN 'F' THEN 'RIA/IAR' ELSE o_orderpriority END AS producer_role_type,
+       lpad(cast(o_orderkey AS string), 13, '0') AS participant_id, lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_number
+FROM {orders}"""
+CORE_FEED = f"""SELECT lpad(cast(l_orderkey AS string), 13, '0') || lpad(cast(l_linenumber AS string), 2, '0') AS participant_id,
+       lpad(cast(l_orderkey % 10 AS string), 6, '0') AS plan_number,
+       CASE WHEN l_linestatus = 'O' THEN NULL ELSE cast(l_shipdate AS date) END AS source_cycle_date,
+       cast(l_extendedprice AS decimal(15,2)) AS cash_value_amount,
+       cast(l_tax AS decimal(15,2)) * 100 AS sdba_cash_value_amount,
+       CASE WHEN l_linenumber = 1 THEN NULL ELSE cast(l_quantity AS decimal(15,2)) END AS ytd_contributions,
+       CASE l_returnflag WHEN 'A' THEN 'EE' WHEN 'R' THEN 'ER' ELSE 'XX' END AS money_type_description
+FROM {{lineitem}}"""
+LOANS_FEED = """SELECT lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_number,
+       lpad(cast(o_orderkey AS string), 13, '0') || 'L1' AS participant_id,
+       CASE WHEN o_orderstatus = 'F' THEN 'PREMIER' ELSE 'OTHER' END AS source_system,
+       cast(cast(o_totalprice AS decimal(15,2)) * 0.5 AS decimal(15,2)) AS outstanding_principal_balance,
+       cast(o_totalprice AS decimal(15,2)) AS loan_balance
+FROM {orders} WHERE o_orderpriority <> '3-MEDIUM'"""
+LIFE_FEED = f"""SELECT lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_number,
+       lpad(cast(o_orderkey AS string), 13, '0') || 'X9' AS participant_id,
+       cast(cast(o_totalprice AS decimal(15,2)) * 0.25 AS decimal(15,2)) AS cash_value_amt, {iso('o_orderdate')} AS valuation_date
+FROM {{orders}} WHERE o_orderstatus <> 'P'"""

@@ -553,3 +553,254 @@ def q_key_rewrite_join(spark, sf):
     t = spark_sql(spark, sf, ID_TARGET)
     changes = spark_sql(spark, sf, ID_CHANGES).where(F.col("admin_tran_code").isin("850", "851"))
     return merge.rewrite_keys(t, changes)
+
+
+# ---------------------------------------------------------------- S1-S3 ----
+from ledgerflow.session import scratch_path  # noqa: E402
+from ledgerflow.sinks import writers  # noqa: E402
+from ledgerflow.sources import files  # noqa: E402
+
+_ORDERS_TEXT = f"""SELECT cast(o_orderkey AS varchar) AS o_orderkey, cast(o_custkey AS varchar) AS o_custkey, o_orderstatus,
+  cast(cast(o_totalprice AS decimal(15,2)) AS varchar) AS o_totalprice, {fd.iso('o_orderdate')} AS o_orderdate, o_orderpriority
+FROM orders"""
+_MIXED = ["O_OrderKey", "O_CustKey", "O_OrderStatus", "O_TotalPrice", "O_OrderDate", "O_OrderPriority"]
+
+
+@register("delimited", _ORDERS_TEXT)
+def q_delimited(spark, sf):
+    o = table(spark, sf, "orders")
+    padded = o.select(*[F.concat(F.lit("  "), c.cast("string"), F.lit(" ")).alias(n) for c, n in zip([
+        F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice").cast("decimal(15,2)"),
+        F.col("o_orderdate").cast("date"), F.col("o_orderpriority")], _MIXED)])
+    path = scratch_path(spark, "psv")
+    (padded.write.option("header", "true").option("delimiter", "|").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    schema = ", ".join(f"{n} string" for n in _MIXED)
+    return files.read_feed(spark, f"{path}/part-*", "delimited", schema=schema, file_format="psv", header=True)
+
+
+@register("delimited_csv", _ORDERS_TEXT)
+def q_delimited_csv(spark, sf):
+    o = table(spark, sf, "orders")
+    plain = o.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus",
+                     F.col("o_totalprice").cast("decimal(15,2)").cast("string"), F.col("o_orderdate").cast("date").cast("string"),
+                     "o_orderpriority")
+    path = scratch_path(spark, "csv")
+    plain.write.option("header", "false").csv(path)
+    schema = ", ".join(f"{n} string" for n in _MIXED)
+    return files.read_delimited(spark, f"{path}/part-*", schema, "csv", header=False)
+
+
+FIXED_LAYOUT = {
+    "O_ORDERKEY": {"start": 1, "end": 10, "type": "string"},
+    "O_ORDERSTATUS": {"start": 11, "end": 11, "type": "string"},
+    "O_CUSTKEY": {"start": 13, "end": 20, "type": "int"},
+    "O_ORDERPRIORITY": {"start": 21, "end": 36, "type": "string"},
+    "O_TOTALPRICE": {"start": 37, "end": 50, "type": "string"},
+}
+_FIXED_ORACLE = """SELECT lpad(cast(o_orderkey AS varchar), 10, '0') AS o_orderkey, o_orderstatus, cast(o_custkey AS varchar) AS o_custkey,
+  o_orderpriority, cast(cast(o_totalprice AS decimal(15,2)) AS varchar) AS o_totalprice FROM orders"""
+
+
+def _fixed_lines(spark, sf):
+    o = table(spark, sf, "orders")
+    line = F.concat(
+        F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.col("o_orderstatus"), F.lit("\x00\x00"),
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0"), F.rpad("o_orderpriority", 16, " "),
+        F.lpad(F.col("o_totalprice").cast("decimal(15,2)").cast("string"), 14, " "))
+    comment = o.limit(1).select(F.lit("-- orders extract").alias("value"))
+    return comment.unionByName(o.select(line.alias("value")))
+
+
+@register("fixed_width", _FIXED_ORACLE)
+def q_fixed_width(spark, sf):
+    path = scratch_path(spark, "fixed")
+    _fixed_lines(spark, sf).write.text(path)
+    return files.read_feed(spark, f"{path}/part-*", "fixed_width", layout=FIXED_LAYOUT)
+
+
+@register("fixed_width_utf16", _FIXED_ORACLE)
+def q_fixed_width_utf16(spark, sf):
+    path = scratch_path(spark, "fixed16")
+    (_fixed_lines(spark, sf).write.option("encoding", "UTF-16").option("quote", "\u0001")
+     .option("header", "false").csv(path))
+    return files.read_feed(spark, f"{path}/part-*", "fixed_width", layout=FIXED_LAYOUT, encoding="UTF-16")
+
+
+# ---------------------------------------------------------------- K2/K4/K5 -
+@register("dyn_overwrite", """SELECT o_orderkey, o_custkey, o_orderstatus,
+  cast(cast(o_totalprice AS decimal(15,2)) + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS double) AS o_totalprice
+FROM orders""")
+def q_dyn_overwrite(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"), "o_orderstatus")
+    path = scratch_path(spark, "dyn")
+    writers.overwrite(o, path, ["o_orderstatus"])
+    changed = o.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    writers.overwrite(changed, path, ["o_orderstatus"])
+    return for_compare(spark.read.parquet(path))
+
+
+@register("versioned_merge", _MERGE_CTE + f"""SELECT {_M_OUT} FROM (
+  SELECT {', '.join(f'CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in _M_COLS)}
+  FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey WHERE NOT coalesce(s.seq_oper_code = 'D', false)
+  UNION ALL SELECT {', '.join(f's.{c}' for c in _M_COLS)} FROM s WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM t))""")
+def q_versioned_merge(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    base = scratch_path(spark, "table")
+    writers.write_version(t, base)
+    writers.merge_into(spark, base, s, merge.upsert_spec(["o_orderkey"], delete_code_col="seq_oper_code"))
+    export = scratch_path(spark, "export")
+    writers.export_parquet(writers.read_current(spark, base), export)
+    return for_compare(spark.read.parquet(export))
+
+
+@register("partition_merge", _MERGE_CTE + f"""SELECT {_M_OUT} FROM (
+  SELECT {', '.join(f'CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in _M_COLS)}
+  FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey AND t.o_orderpriority = s.o_orderpriority
+  WHERE NOT coalesce(s.seq_oper_code = 'D', false)
+  UNION ALL SELECT {', '.join(f's.{c}' for c in _M_COLS)} FROM s WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM t))""")
+def q_partition_merge(spark, sf):
+    t, s = _merge_inputs(spark, sf)
+    path = scratch_path(spark, "ptable")
+    writers.overwrite(t, path, ["o_orderpriority"])
+    spec = merge.upsert_spec(["o_orderkey", "o_orderpriority"], delete_code_col="seq_oper_code")
+    writers.merge_into_partitions(spark, path, s, spec, ["o_orderpriority"])
+    return for_compare(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------- T1 -------
+from ledgerflow.plans.entities import txn as txn_entity  # noqa: E402
+from ledgerflow.plans.entities.div_sub import div_sub  # noqa: E402
+from ledgerflow.plans.entities.producer_balance import producer_balance  # noqa: E402
+
+
+def _txn_duck_value(name, src, kind, label, client_default):
+    c = f"t1.{src}" if src else None
+    if kind == "k":
+        return f"coalesce({c}, '-9999') AS {name}"
+    if kind == "client":
+        return f"coalesce(pld.client_id, '{client_default}') AS {name}"
+    if kind == "rev":
+        return f"coalesce(nullif({c}, ''), '0') AS {name}"
+    if kind == "dk":
+        return f"cast(coalesce(try_cast({c} AS date), current_date) AS varchar) AS {name}"
+    if kind == "d":
+        return f"cast(try_cast({c} AS date) AS varchar) AS {name}"
+    if kind == "i":
+        return f"try_cast({c} AS integer) AS {name}"
+    if kind == "n":
+        return f"cast(NULL AS varchar) AS {name}"
+    if kind == "label":
+        return f"'{label}' AS {name}"
+    if kind.startswith("decimal"):
+        return f"cast(try_cast({c} AS {kind}) AS double) AS {name}"
+    if src.startswith("tt_"):
+        return f"tt1.{src[3:]} AS {name}"
+    if src == "_fund_number":
+        return f"pf.fund_number AS {name}"
+    return f"{c} AS {name}"
+
+
+def _txn_duck_channel(feed, fund_col, label, client_default):
+    cols = ",\n  ".join(_txn_duck_value(n, s, k, label, client_default) for n, s, k in txn_entity.TXN_LAYOUT)
+    return f"""SELECT {cols}, t1.batch_date
+FROM (SELECT * FROM ({duck_sql(feed)}) x WHERE batch_date IN (SELECT DISTINCT batch_date FROM ({duck_sql(feed)}) y ORDER BY 1 DESC LIMIT 2)) t1
+LEFT JOIN (SELECT fund_iv, plan_number, {fund_col} AS fund_number FROM ({duck_sql(fd.TXN_FUNDS_FEED)})) pf
+  ON t1.fund_id = pf.fund_iv AND t1.plan_number = pf.plan_number
+LEFT JOIN (SELECT plan_number, client_id FROM ({duck_sql(fd.TXN_PLANS_FEED)})) pld ON pld.plan_number = t1.plan_number
+LEFT JOIN ({duck_sql(fd.TYPES_FEED)}) tt1 ON {_CASE_ON.replace('t.', 't1.').replace('tt1.', 'tt.').replace('tt.', 'tt1.')}
+WHERE t1.participant_id <> '000000000' AND tt1.process_flag = 'Y'"""
+
+
+_TXN_KEY = ", ".join(txn_entity.TXN_KEY)
+_TXN_ORACLE = f"""WITH u AS ({_txn_duck_channel(fd.TXN_NG_FEED, 'fund_code', 'VRP-PB', 'NG')}
+UNION ALL {_txn_duck_channel(fd.TXN_JB_FEED, 'price_id', 'VRP-SP', '-9999')}),
+r AS (SELECT *, rank() OVER (PARTITION BY {_TXN_KEY} ORDER BY batch_date DESC) AS rk FROM u)
+SELECT {', '.join(txn_entity.TXN_COLUMNS)} FROM r WHERE rk = 1"""
+
+
+def _txn_inputs(spark, sf):
+    funds, plans = spark_sql(spark, sf, fd.TXN_FUNDS_FEED), spark_sql(spark, sf, fd.TXN_PLANS_FEED)
+    ng = {"feed": spark_sql(spark, sf, fd.TXN_NG_FEED), "funds": funds, "plans": plans}
+    jb = {"feed": spark_sql(spark, sf, fd.TXN_JB_FEED), "funds": funds, "plans": plans}
+    return ng, jb, spark_sql(spark, sf, fd.TYPES_FEED)
+
+
+@register("txn", _TXN_ORACLE)
+def q_txn(spark, sf):
+    ng, jb, types = _txn_inputs(spark, sf)
+    return for_compare(txn_entity.txn(ng, jb, types))
+
+
+# ---------------------------------------------------------------- T4 -------
+@register("div_sub", f"""WITH dpg AS ({duck_sql(fd.DIVISIONS_FEED)}), op AS ({duck_sql(fd.DETAILS_FEED)}), sp AS ({duck_sql(fd.ACCOUNTS_FEED)}),
+ptd AS (SELECT list_distinct(list(account_type_code)) AS st, div_sub_id, plan_number FROM (
+    SELECT CASE WHEN upper(trim(sp.participant_account_type_code)) IN ('ALLOC', 'ALOC') THEN 'ALLOC'
+                ELSE sp.participant_account_type_code END AS account_type_code, op.div_sub_id, op.plan_number
+    FROM sp RIGHT JOIN op ON op.part_number = sp.participant_id AND op.plan_number = sp.plan_number
+    WHERE op.div_sub_id IS NOT NULL AND op.div_sub_id <> '') x GROUP BY div_sub_id, plan_number)
+SELECT client_id, dpg.plan_number, dpg.div_sub_id, cast(NULL AS varchar) AS div_sub_key, address_city, address_line_1,
+  address_line_2, address_line_3, address_state, address_zip_code, primary_name, secondary_name, 'VRP-PB' AS source_system,
+  source_cycle_date,
+  CASE WHEN len(ptd.st) = 1 AND ptd.st[1] = 'ALLOC' THEN 'N' WHEN len(ptd.st) = 0 THEN NULL ELSE 'Y' END AS plan_unallocated_flag
+FROM dpg LEFT JOIN ptd ON dpg.plan_number = ptd.plan_number AND dpg.div_sub_id = ptd.div_sub_id""")
+def q_div_sub(spark, sf):
+    return div_sub(spark_sql(spark, sf, fd.DIVISIONS_FEED), spark_sql(spark, sf, fd.ACCOUNTS_FEED), spark_sql(spark, sf, fd.DETAILS_FEED))
+
+
+# ---------------------------------------------------------------- T6 -------
+_ROLE_T = "CASE WHEN producer_role_type = 'RIA/IAR' THEN producer_role_type ELSE substring(producer_role_type, 1, 3) END"
+_PRODUCER_ORACLE = f"""WITH producer AS ({duck_sql(fd.PRODUCER_FEED)}), participant_core_balance AS ({duck_sql(fd.CORE_FEED)}),
+participant_loan AS ({duck_sql(fd.LOANS_FEED)}), participant_life_fund_monthly AS ({duck_sql(fd.LIFE_FEED)}),
+pr AS (SELECT rep_tax_id_ssn,
+    coalesce(string_agg(DISTINCT nullif(producer_role_code_desc, ''), ';' ORDER BY nullif(producer_role_code_desc, '')), '') AS producer_role_code,
+    coalesce(string_agg(DISTINCT nullif({_ROLE_T}, ''), ';' ORDER BY nullif({_ROLE_T}, '')), '') AS producer_role_type,
+    participant_id, plan_number
+  FROM producer GROUP BY participant_id, plan_number, rep_tax_id_ssn),
+m1 AS (SELECT plan_number, participant_id, source_cycle_date,
+    sum(cash_value) AS core_cash_value_amount, sum(coalesce(ee_cash_value, 0)) AS ee_cash_value_amount,
+    sum(coalesce(er_cash_value, 0)) AS er_cash_value_amount, sum(ytd_contributions) AS ytd_contributions,
+    sum(brokerage_account_cash_value) AS sdba_cash_value_amount
+  FROM (SELECT participant_id, plan_number, coalesce(source_cycle_date, current_date - 1) AS source_cycle_date,
+          coalesce(cash_value_amount, 0) AS cash_value, coalesce(sdba_cash_value_amount, 0) AS brokerage_account_cash_value,
+          coalesce(ytd_contributions, 0.00) AS ytd_contributions,
+          CASE WHEN money_type_description = 'EE' THEN cash_value_amount END AS ee_cash_value,
+          CASE WHEN money_type_description = 'ER' THEN cash_value_amount END AS er_cash_value
+        FROM participant_core_balance) x
+  GROUP BY plan_number, participant_id, source_cycle_date),
+m2 AS (SELECT plan_number, participant_id, sum(coalesce(total_loan_balance, 0)) AS total_loan_balance FROM (
+    SELECT coalesce(plan_number, '-9999') AS plan_number, coalesce(participant_id, '-9999') AS participant_id,
+      CASE WHEN source_system = 'PREMIER' THEN outstanding_principal_balance ELSE loan_balance END AS total_loan_balance
+    FROM participant_loan) y GROUP BY plan_number, participant_id),
+m3 AS (SELECT plan_number, sum(coalesce(cash_value_amt, 0)) AS life_cash_value_amount_monthly, participant_id,
+    valuation_date AS life_valuation_date FROM participant_life_fund_monthly GROUP BY plan_number, valuation_date, participant_id),
+m AS (SELECT pr.rep_tax_id_ssn, pr.plan_number, pr.producer_role_code, pr.producer_role_type, pr.participant_id,
+    m1.source_cycle_date, m1.core_cash_value_amount, m1.ee_cash_value_amount, m1.er_cash_value_amount, m1.ytd_contributions,
+    m1.sdba_cash_value_amount, coalesce(m2.total_loan_balance, 0) AS loan_cash_value_amount,
+    cast(m3.life_cash_value_amount_monthly AS decimal(17,2)) AS life_cash_value_amount_monthly, m3.life_valuation_date,
+    coalesce(m2.total_loan_balance, 0) + coalesce(m1.sdba_cash_value_amount, 0) + coalesce(m3.life_cash_value_amount_monthly, 0) AS non_core
+  FROM pr JOIN m1 ON coalesce(pr.plan_number, '-9999') = coalesce(m1.plan_number, '-9999')
+      AND coalesce(pr.participant_id, '-9999') = coalesce(substring(m1.participant_id, 1, 13), '-9999')
+    LEFT JOIN m2 ON m1.plan_number = m2.plan_number AND substring(m1.participant_id, 1, 13) = substring(m2.participant_id, 1, 13)
+    LEFT JOIN m3 ON coalesce(m3.plan_number, '-9999') = coalesce(m1.plan_number, '-9999')
+      AND coalesce(substring(m3.participant_id, 1, 13), '-9999') = coalesce(substring(m1.participant_id, 1, 13), '-9999'))
+SELECT coalesce(rep_tax_id_ssn, '-9999') AS rep_tax_id_ssn, coalesce(plan_number, '-9999') AS plan_number,
+  coalesce(substring(participant_id, 1, 13), '-9999') AS participant_id, producer_role_code, producer_role_type,
+  cast(cast(coalesce(core_cash_value_amount, 0) AS decimal(17,2)) AS double) AS core_cash_value_amount,
+  cast(cast(coalesce(non_core, 0) AS decimal(17,2)) AS double) AS noncore_cash_value_amount,
+  cast(cast(coalesce(ee_cash_value_amount, 0) AS decimal(17,2)) AS double) AS ee_cash_value_amount,
+  cast(cast(coalesce(er_cash_value_amount, 0) AS decimal(17,2)) AS double) AS er_cash_value_amount,
+  cast(cast(coalesce(sdba_cash_value_amount, 0) AS decimal(17,2)) AS double) AS sdba_cash_value_amount,
+  cast(cast(coalesce(loan_cash_value_amount, 0) AS decimal(17,2)) AS double) AS loan_cash_value_amount,
+  cast(cast(coalesce(life_cash_value_amount_monthly, 0) AS decimal(17,2)) AS double) AS life_cash_value_amount_monthly,
+  life_valuation_date,
+  cast(cast(coalesce(ytd_contributions, 0) AS decimal(17,2)) AS double) AS ytd_contributions,
+  cast(coalesce(source_cycle_date, current_date - 1) AS varchar) AS source_cycle_date
+FROM m"""
+
+
+@register("producer_balance", _PRODUCER_ORACLE)
+def q_producer_balance(spark, sf):
+    return for_compare(producer_balance(
+        spark_sql(spark, sf, fd.PRODUCER_FEED), spark_sql(spark, sf, fd.CORE_FEED),
+        spark_sql(spark, sf, fd.LOANS_FEED), spark_sql(spark, sf, fd.LIFE_FEED)))
