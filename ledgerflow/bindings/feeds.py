@@ -309,3 +309,15 @@ LIFE_FEED = f"""SELECT lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_num
        lpad(cast(o_orderkey AS string), 13, '0') || 'X9' AS participant_id,
        cast(cast(o_totalprice AS decimal(15,2)) * 0.25 AS decimal(15,2)) AS cash_value_amt, {iso('o_orderdate')} AS valuation_date
 FROM {{orders}} WHERE o_orderstatus <> 'P'"""
+
+
+# ---- staging feed for the raw job --------------------------------------------------
+STAGING_FEED = f"""SELECT lpad(cast(o_custkey AS string), 6, '0') AS plan_number,
+       CASE WHEN o_orderstatus = 'F' THEN 'NG' ELSE '' END AS client_id,
+       lpad(cast(o_orderkey % 5000 AS string), 9, '0') AS participant_id,
+       CASE WHEN o_orderpriority LIKE '3%' THEN replace(o_orderpriority, '-', chr(10)) ELSE o_orderpriority END AS status_text,
+       {_date_render('cast(o_orderdate AS date)', 'o_orderkey')} AS trade_date,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {iso('o_orderdate')} END AS source_cycle_date,
+       cast(cast(o_totalprice AS decimal(15,2)) AS string) AS amount,
+       '20240131' AS batch_date
+FROM {{orders}}"""

@@ -804,3 +804,80 @@ def q_producer_balance(spark, sf):
     return for_compare(producer_balance(
         spark_sql(spark, sf, fd.PRODUCER_FEED), spark_sql(spark, sf, fd.CORE_FEED),
         spark_sql(spark, sf, fd.LOANS_FEED), spark_sql(spark, sf, fd.LIFE_FEED)))
+
+
+# ---------------------------------------------------------------- T7-T9 ----
+from ledgerflow.plans import id_rewrite, raw_load, transform_load  # noqa: E402
+
+_RAW_PARAMS = raw_load.FeedParams(
+    source_name="tpch", file_name="SUPER_OMNI_ORDERS", table_name="orders_raw", file_load="full_load",
+    primary_keys=("plan_number", "participant_id"),
+)
+_STAGE_CLEAN = r"""regexp_replace(nullif({c}, ''), '[\n\r]', ' ', 'g')"""
+_RAW_ORACLE = f"""WITH s AS ({duck_sql(fd.STAGING_FEED)}),
+j AS (SELECT {', '.join(_STAGE_CLEAN.format(c=c) + ' AS ' + c for c in
+      ['plan_number', 'client_id', 'participant_id', 'status_text', 'trade_date', 'source_cycle_date', 'amount', 'batch_date'])}
+      FROM s WHERE batch_date = '20240131'),
+c AS (SELECT plan_number, client_id, participant_id, status_text, amount, batch_date,
+      {_duck_date('trade_date')} AS trade_date, {_duck_date("coalesce(source_cycle_date, '2024-01-31')")} AS source_cycle_date FROM j),
+r AS (SELECT *, row_number() OVER (PARTITION BY plan_number, participant_id ORDER BY batch_date ASC NULLS FIRST,
+      client_id ASC NULLS FIRST, status_text ASC NULLS FIRST, amount ASC NULLS FIRST, trade_date ASC NULLS FIRST,
+      source_cycle_date ASC NULLS FIRST) AS rn FROM c)
+SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r
+WHERE rn = 1 AND NOT coalesce(plan_number BETWEEN '000001' AND '000040', false)
+  AND NOT coalesce(client_id = 'NG' AND plan_number IN ('999999', '999998', '999997'), false)"""
+
+
+@register("raw_load", _RAW_ORACLE)
+def q_raw_load(spark, sf):
+    staging = spark_sql(spark, sf, fd.STAGING_FEED)
+    base = scratch_path(spark, "raw")
+    out = raw_load.staging_to_raw(spark, staging, _RAW_PARAMS, "20240131", base, audit_path=f"{base}/_audit")
+    return spark.read.parquet(out["valid"])
+
+
+@register("raw_rejected", _RAW_ORACLE.replace(
+    "SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r\nWHERE rn = 1 AND NOT",
+    "SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r\nWHERE rn > 1 OR") .replace(
+    "AND NOT coalesce(client_id = 'NG'", "OR coalesce(client_id = 'NG'"))
+def q_raw_rejected(spark, sf):
+    staging = spark_sql(spark, sf, fd.STAGING_FEED)
+    base = scratch_path(spark, "raw")
+    out = raw_load.staging_to_raw(spark, staging, _RAW_PARAMS, "20240131", base)
+    return writers.read_partitioned(spark, out["rejected"], ["batch_date"]).drop("to_drop", "drop_record_remarks")
+
+
+_TB_KEYS = ["client_id", "plan_number", "participant_id", "transfer_balance_seq_number"]
+_TB_ORACLE = (f"WITH e AS ({_transfer_oracle(TRANSFER_JB, 'VRP-SP')} UNION ALL {_transfer_oracle(TRANSFER_NG, 'VRP-PB')}),\n"
+              "r AS (SELECT *, row_number() OVER (PARTITION BY client_id, plan_number, participant_id, transfer_balance_seq_number"
+              " ORDER BY source_cycle_date ASC NULLS FIRST, source_system ASC NULLS FIRST, source_month_end_date ASC NULLS FIRST,"
+              " from_fund_id ASC NULLS FIRST, to_fund_id ASC NULLS FIRST, allocation_percent ASC NULLS FIRST, transfer_amount ASC NULLS FIRST,"
+              " activity_type ASC NULLS FIRST, usage_code_1 ASC NULLS FIRST, usage_code_2 ASC NULLS FIRST, usage_code_3 ASC NULLS FIRST,"
+              " usage_code_4 ASC NULLS FIRST, usage_code_5 ASC NULLS FIRST, reversal_run_date ASC NULLS FIRST,"
+              " reversal_type_flag ASC NULLS FIRST) AS rn FROM e)\n"
+              "SELECT coalesce(client_id, '-9999') AS client_id, coalesce(plan_number, '-9999') AS plan_number,"
+              " coalesce(participant_id, '-9999') AS participant_id,"
+              " coalesce(transfer_balance_seq_number, '-9999') AS transfer_balance_seq_number, source_cycle_date, source_system,"
+              " source_month_end_date, from_fund_id, to_fund_id, allocation_percent, transfer_amount, activity_type, usage_code_1,"
+              " usage_code_2, usage_code_3, usage_code_4, usage_code_5, reversal_run_date, reversal_type_flag FROM r WHERE rn = 1")
+
+
+@register("transform_load", _TB_ORACLE)
+def q_transform_load(spark, sf):
+    base = scratch_path(spark, "transform")
+
+    def build():
+        return transfer_balance(spark_sql(spark, sf, TRANSFER_JB), spark_sql(spark, sf, TRANSFER_NG))
+
+    out = transform_load.raw_to_transform(spark, build, "transfer_balance", _TB_KEYS, "full_load",
+                                          f"{base}/tables", f"{base}/export", "20240131", audit_path=f"{base}/_audit")
+    return for_compare(spark.read.parquet(out["export"]))
+
+
+@register("id_rewrite", f"""WITH t AS ({duck_sql(ID_TARGET)}), m AS ({duck_sql(ID_CHANGES)} )
+SELECT coalesce(m.new_participant_id, t.participant_id) AS participant_id, t.o_orderkey, t.o_orderstatus
+FROM t LEFT JOIN (SELECT * FROM m WHERE admin_tran_code IN ('850', '851')) m ON t.participant_id = m.old_participant_id""")
+def q_id_rewrite(spark, sf):
+    base = scratch_path(spark, "idtable")
+    writers.write_version(spark_sql(spark, sf, ID_TARGET), base)
+    return spark.read.parquet(id_rewrite.apply_id_changes(spark, base, spark_sql(spark, sf, ID_CHANGES)))

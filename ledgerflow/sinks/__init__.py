@@ -15,6 +15,7 @@ from ledgerflow.sinks.writers import (
     overwrite,
     overwrite_table,
     read_current,
+    read_partitioned,
     run_with_audit,
     write_version,
 )

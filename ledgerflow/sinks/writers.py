@@ -73,6 +73,13 @@ def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
     w.saveAsTable(table)
 
 
+def read_partitioned(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> DataFrame:
+    """Read a partitioned path table with its partition columns as strings
+    (partition discovery would otherwise infer ``20240131`` as a number)."""
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(c).cast("string").alias(c) if c in set(partition_cols) else F.col(c) for c in df.columns])
+
+
 def ensure_database(spark: SparkSession, table: str) -> None:
     """K9: ``CREATE DATABASE IF NOT EXISTS`` for a qualified name."""
     if "." in table:
@@ -153,11 +160,14 @@ def merge_into_partitions(spark: SparkSession, path: str, source: DataFrame, spe
     if not set(partition_cols) <= set(target_keys):
         raise ValueError("partition columns must be merge keys to merge by partition")
     fs, p, _ = _fs(spark, path)
-    if not fs.exists(p):
-        overwrite(source.limit(0), path, partition_cols)
     src_of = dict((t, s) for t, s in spec.on)
-    touched = source.select(*[F.col(src_of[c]).alias(c) for c in partition_cols]).distinct()
-    target = spark.read.parquet(path).join(F.broadcast(touched) if len(partition_cols) else touched, list(partition_cols), "left_semi")
+    if fs.exists(p):
+        # the source names the touched partitions; partition pruning reads only those
+        touched = source.select(*[F.col(src_of[c]).alias(c) for c in partition_cols]).distinct()
+        target = spark.read.parquet(path).join(touched, list(partition_cols), "left_semi")
+    else:
+        target = spark.createDataFrame([], source.select(*[t for t, _ in spec.on] + [
+            c for c in source.columns if c not in src_of.values()]).schema)
     merged = merge_frame(target, source, spec, check_unique)
     staging = scratch_path(spark, "merge-stage")
     merged.write.partitionBy(*partition_cols).parquet(staging)
