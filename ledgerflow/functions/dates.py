@@ -7,6 +7,7 @@ value becomes NULL instead of failing the job under ANSI mode, and one
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,15 +54,44 @@ def invalid_date_to_null(c: Column) -> Column:
     return F.when((F.length(c) < 8) | c.isin(list(INVALID_DATE_STRINGS)), F.lit(None).cast("string")).otherwise(c)
 
 
+def pattern_shape(pattern: str) -> str:
+    """Regex accepting every string ``pattern`` could parse (and more): a cheap
+    guard so the parser, which fails by raising, only sees plausible input."""
+    tokens = (("yyyy", "[+-]?[0-9]{4,}"), ("yy", "[0-9]{2}"), ("MM", "[0-9]{2}"), ("dd", "[0-9]{2}"),
+              ("HH", "[0-9]{2}"), ("mm", "[0-9]{2}"), ("ss", "[0-9]{2}"), ("SSS", "[0-9]{3}"),
+              ("XXX", "(Z|[+-][0-9]{2}:[0-9]{2})"), ("Z", "[+-][0-9]{4}"))
+    out, i = "(?i)^", 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            out += re.escape(pattern[i + 1:j])
+            i = j + 1
+            continue
+        for tok, rx in tokens:
+            if pattern.startswith(tok, i):
+                out += rx
+                i += len(tok)
+                break
+        else:
+            out += re.escape(pattern[i])
+            i += 1
+    return out + "$"
+
+
 def parse_date(c: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """First pattern that parses, as a DATE; unparsable -> NULL."""
+    """First pattern that parses, as a DATE; unparsable -> NULL.
+
+    Each attempt is guarded by the pattern's shape, so a value costs one
+    or two real parse attempts instead of up to nineteen failed ones.
+    """
     attempts = []
     for p in patterns:
+        fits = c.rlike(pattern_shape(p))
         if p in ZONED_PATTERNS:
             ok = F.try_to_timestamp(c, F.lit(p)).isNotNull()
-            attempts.append(F.when(ok, F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")))
+            attempts.append(F.when(fits & ok, F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")))
         else:
-            attempts.append(F.try_to_date(c, p))
+            attempts.append(F.when(fits, F.try_to_date(c, p)))
     return F.coalesce(*attempts)
 
 

@@ -11,24 +11,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.copies import COPIES, DEFAULT_CHUNK, collapse_copies, expand_numbered, null_safe_on, q
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str = "batch_date", rank_col: str | None = None) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order_col: str = "batch_date", rank_col: str | None = None,
+    order_key: Column | None = None,
+) -> DataFrame:
     """Rows holding the highest ``order_col`` of their key (ties kept),
     i.e. ``rank() over (partition by keys order by order_col desc) = 1``.
 
     A key whose values are all NULL keeps all its rows (they tie at rank 1).
-    ``rank_col`` re-adds the constant rank column the reference leaves in
-    its output (D27); by default it is not produced.
+    ``order_key`` may give a numeric expression with the same order as
+    ``order_col`` (e.g. a ``yyyyMMdd`` batch date as a number), which lets
+    the per-key maximum use hash aggregation.  ``rank_col`` re-adds the
+    constant rank column the reference leaves in its output (D27); by
+    default it is not produced.
     """
     keys = list(keys)
-    top = df.groupBy(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(q(order_col)).alias("_top"))
-    cond = null_safe_on(df, top, [(k, f"_k{i}") for i, k in enumerate(keys)]) & df[order_col].eqNullSafe(top["_top"])
-    out = df.join(top, cond, "left_semi")
+    ordered = df.withColumn("_ord", order_key if order_key is not None else q(order_col))
+    top = ordered.groupBy(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_ord").alias("_top"))
+    cond = null_safe_on(ordered, top, [(k, f"_k{i}") for i, k in enumerate(keys)]) & ordered["_ord"].eqNullSafe(top["_top"])
+    out = ordered.join(top, cond, "left_semi").drop("_ord")
     return out.withColumn(rank_col, F.lit(1)) if rank_col else out
 
 
