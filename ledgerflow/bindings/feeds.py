@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType, TimestampType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -50,6 +50,13 @@ def for_compare(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def ints_as_double(df: DataFrame) -> DataFrame:
+    """Nullable 32-bit integer columns as doubles, so a NULL compares the same
+    way in both engines' pandas form (NaN) instead of float-vs-nullable-int."""
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, IntegerType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def iso(expr: str) -> str:
     """SQL: date of a timestamp as ``yyyy-MM-dd`` text."""
     return f"cast(cast({expr} AS date) AS string)"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.bindings import feeds as fd
-from ledgerflow.bindings.feeds import duck_sql, for_compare, spark_sql, table
+from ledgerflow.bindings.feeds import duck_sql, for_compare, ints_as_double, spark_sql, table
 from ledgerflow.functions import amounts, cleansing, dates
 from ledgerflow.operators import aggregates, joins, merge, quality, windows
 from ledgerflow.operators.conform import union_conformed
@@ -687,7 +687,7 @@ def _txn_duck_value(name, src, kind, label, client_default):
     if kind == "d":
         return f"cast(try_cast({c} AS date) AS varchar) AS {name}"
     if kind == "i":
-        return f"try_cast({c} AS integer) AS {name}"
+        return f"cast(try_cast({c} AS integer) AS double) AS {name}"
     if kind == "n":
         return f"cast(NULL AS varchar) AS {name}"
     if kind == "label":
@@ -729,7 +729,7 @@ def _txn_inputs(spark, sf):
 @register("txn", _TXN_ORACLE)
 def q_txn(spark, sf):
     ng, jb, types = _txn_inputs(spark, sf)
-    return for_compare(txn_entity.txn(ng, jb, types))
+    return ints_as_double(for_compare(txn_entity.txn(ng, jb, types)))
 
 
 # ---------------------------------------------------------------- T4 -------
@@ -881,3 +881,19 @@ def q_id_rewrite(spark, sf):
     base = scratch_path(spark, "idtable")
     writers.write_version(spark_sql(spark, sf, ID_TARGET), base)
     return spark.read.parquet(id_rewrite.apply_id_changes(spark, base, spark_sql(spark, sf, ID_CHANGES)))
+
+
+# ---------------------------------------------------------------- T2/T3 ----
+import re as _re  # noqa: E402
+
+from ledgerflow.bindings import plan_binding  # noqa: E402
+
+
+def _select_names(sql: str) -> list[str]:
+    """Output column names of a feed template (the aliases of its select list)."""
+    return _re.findall(r"\bAS (\w+)\s*(?:,|\s+FROM\b)", sql, flags=_re.S)
+
+
+_PLAN_COLS = {k: _select_names(v) for k, v in plan_binding.FEEDS.items()}
+register("plan", plan_binding.oracle_sql(_PLAN_COLS))(plan_binding.q_plan)
+register("plan_allocated", plan_binding.oracle_sql(_PLAN_COLS, allocated=True))(plan_binding.q_plan_allocated)

@@ -13,12 +13,12 @@ from ledgerflow.operators.copies import q
 Target = Sequence[tuple[str, str]]
 
 
-def conform(df: DataFrame, target: Target, exprs: Mapping[str, Column] | None = None) -> DataFrame:
+def conform(df: DataFrame, target: Target, exprs: Mapping[str, Column] | None = None, passthrough: bool = True) -> DataFrame:
     """Project ``df`` onto ``target`` ([(name, spark type)]): a provided
-    expression or same-named column is cast (``try_cast``: bad text -> NULL,
-    D21); a missing column becomes a typed NULL."""
+    expression, or (with ``passthrough``) a same-named column, is cast
+    (``try_cast``: bad text -> NULL, D21); anything else becomes a typed NULL."""
     exprs = dict(exprs or {})
-    present = set(df.columns)
+    present = set(df.columns) if passthrough else set()
     cols = []
     for name, dtype in target:
         if name in exprs:
