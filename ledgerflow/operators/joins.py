@@ -66,35 +66,40 @@ def activity_key(c: Column) -> Column:
     return F.coalesce(c.try_cast("int"), F.lit(MISSING_ACTIVITY))
 
 
+def _in_sql(values: Sequence[str]) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def _activity_sql(col: str) -> str:
+    return f"coalesce(try_cast(`{col}` AS int), {MISSING_ACTIVITY})"
+
+
 def transaction_rule_keys(
     df: DataFrame, code_col: str = "base_transaction_code", activity_col: str = "activity_type",
     rule0_codes: Sequence[str] = RULE0_CODES,
 ) -> DataFrame:
     """Left side of J11: first applicable rule, the value it compares, the activity key."""
-    rule = F.when(q(code_col).isin(list(rule0_codes)), F.lit(0))
-    val = F.when(q(code_col).isin(list(rule0_codes)), F.lit(""))
+    rule = f"CASE WHEN `{code_col}` IN ({_in_sql(rule0_codes)}) THEN 0"
+    val = f"CASE WHEN `{code_col}` IN ({_in_sql(rule0_codes)}) THEN ''"
     for i, (column, values) in enumerate(RULES, start=1):
-        hit = q(column).isin(list(values))
-        rule = rule.when(hit, F.lit(i))
-        val = val.when(hit, q(column))
-    rule = rule.otherwise(F.lit(len(RULES) + 1))
-    val = val.otherwise(F.lit(""))
-    act = F.when(rule == 0, F.lit(0)).otherwise(activity_key(q(activity_col)))
-    return df.withColumns({"_rule": rule, "_rval": val, "_ract": act})
+        rule += f" WHEN `{column}` IN ({_in_sql(values)}) THEN {i}"
+        val += f" WHEN `{column}` IN ({_in_sql(values)}) THEN `{column}`"
+    rule += f" ELSE {len(RULES) + 1} END"
+    val += " ELSE '' END"
+    return df.withColumns({"_rule": F.expr(rule), "_rval": F.expr(val)}).withColumn(
+        "_ract", F.expr(f"CASE WHEN _rule = 0 THEN 0 ELSE {_activity_sql(activity_col)} END"))
 
 
 def type_rule_rows(types: DataFrame, code_col: str = "base_transaction_code", activity_col: str = "activity_type") -> DataFrame:
     """Right side of J11: one row per rule a type row can serve (at most 8x the table)."""
-    act = activity_key(q(activity_col))
-    all_null = None
-    for c in TYPE_CODE_COLUMNS:
-        all_null = q(c).isNull() if all_null is None else all_null & q(c).isNull()
-    options = [F.struct(F.lit(0).alias("r"), F.lit("").alias("v"), F.lit(0).alias("a"), F.lit(True).alias("ok"))]
+    act = _activity_sql(activity_col)
+    all_null = " AND ".join(f"`{c}` IS NULL" for c in TYPE_CODE_COLUMNS)
+    options = ["named_struct('r', 0, 'v', '', 'a', 0, 'ok', true)"]
     for i, (column, values) in enumerate(RULES, start=1):
-        options.append(F.struct(F.lit(i).alias("r"), q(column).alias("v"), act.alias("a"),
-                                F.coalesce(q(column).isin(list(values)), F.lit(False)).alias("ok")))
-    options.append(F.struct(F.lit(len(RULES) + 1).alias("r"), F.lit("").alias("v"), act.alias("a"), all_null.alias("ok")))
-    expanded = types.select("*", F.inline(F.array(*options)))
+        options.append(f"named_struct('r', {i}, 'v', `{column}`, 'a', {act}, "
+                       f"'ok', coalesce(`{column}` IN ({_in_sql(values)}), false))")
+    options.append(f"named_struct('r', {len(RULES) + 1}, 'v', '', 'a', {act}, 'ok', {all_null})")
+    expanded = types.select("*", F.inline(F.expr(f"array({', '.join(options)})")))
     return expanded.where("ok").drop("ok").withColumnsRenamed({"r": "_rule", "v": "_rval", "a": "_ract"})
 
 
