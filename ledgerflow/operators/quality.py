@@ -46,31 +46,31 @@ def flag_duplicates(
     ``to_drop=false``; every other row gets ``to_drop=true`` and the remark
     ``duplicate record``.  Nothing is removed.
 
-    Skew-safe plan: identical rows collapse to (row, count); the first row
-    per key is a ``min`` over a struct (partial aggregation, so a hot key
-    shrinks map-side); rows meet their key's winner in a left join that
-    AQE can split; counts expand back to rows in chunks.
+    Skew-safe plan with one full shuffle: the first row per key is a ``min``
+    over a struct (partial aggregation, so a hot key shrinks map-side);
+    rows meet their key's winner in a left join that AQE can split.  Rows
+    equal to the winner are indistinguishable copies: they are counted
+    (again a combinable aggregate) and re-emitted as one kept row plus
+    ``n - 1`` flagged ones, in chunks spread over tasks.
     """
     keys = list(keys)
     cols = [c for c in df.columns if c not in (FLAG, REMARK)]
     base = df.select(*[q(c) for c in cols])
-    distinct = collapse_copies(base)
-    winners = distinct.groupBy(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.min(order_struct(distinct, list(order_by), exclude=[*keys, COPIES])).alias("_w")
-    )
-    joined = distinct.join(winners, null_safe_on(distinct, winners, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left")
+    winners = base.groupBy(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(order_struct(base, list(order_by), exclude=keys)).alias("_w"))
+    joined = base.join(winners, null_safe_on(base, winners, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left")
     is_first = F.coalesce(order_struct(base, list(order_by), exclude=keys).eqNullSafe(F.col("_w")), F.lit(False))
-    parts = F.when(
-        is_first,
-        F.array(
-            F.struct(F.lit(False).alias("f"), F.lit(1).cast("long").alias("n")),
-            F.struct(F.lit(True).alias("f"), (q(COPIES) - 1).alias("n")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit(True).alias("f"), q(COPIES).alias("n"))))
-    staged = joined.select(*[q(c) for c in cols], F.inline(parts)).where(F.col("n") > 0)
-    staged = staged.withColumnRenamed("f", FLAG).withColumnRenamed("n", COPIES)
-    out = expand_copies(staged, COPIES, chunk)
-    return out.withColumn(REMARK, F.when(q(FLAG), F.lit(REMARK_DUPLICATE)).otherwise(F.lit(None).cast("string")))
+    remark = F.lit(REMARK_DUPLICATE)
+    others = joined.where(~is_first).select(*[q(c) for c in cols], F.lit(True).alias(FLAG), remark.alias(REMARK))
+    copies = joined.where(is_first).select(*[q(c) for c in cols]).transform(collapse_copies)
+    parts = F.array(
+        F.struct(F.lit(False).alias("f"), F.lit(1).cast("long").alias("n")),
+        F.struct(F.lit(True).alias("f"), (q(COPIES) - 1).alias("n")),
+    )
+    staged = copies.select(*[q(c) for c in cols], F.inline(parts)).where(F.col("n") > 0)
+    firsts = expand_copies(staged.withColumnRenamed("f", FLAG).withColumnRenamed("n", COPIES), COPIES, chunk)
+    firsts = firsts.withColumn(REMARK, F.when(q(FLAG), remark).otherwise(F.lit(None).cast("string")))
+    return others.unionByName(firsts)
 
 
 def drop_duplicates_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:

@@ -26,7 +26,7 @@ SCALE_CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerflow") -> SparkSession:
     """Session for tests and local benchmarks (UI off, no server ports)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERFLOW_DRIVER_MEMORY", "16g"))
     for key, value in SCALE_CONF.items():

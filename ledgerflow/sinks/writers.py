@@ -64,12 +64,14 @@ def overwrite_table(df: DataFrame, table: str, partition_cols: Sequence[str] | N
     w.saveAsTable(table)
 
 
-def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """K3 on a catalog table."""
+def append_table(df: DataFrame, table: str, partition_cols: Sequence[str] | None = None, path: str | None = None) -> None:
+    """K3 on a catalog table (partition columns must match the table's)."""
     ensure_database(df.sparkSession, table)
     w = df.write.mode("append").format("parquet")
     if path:
         w = w.option("path", path)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
     w.saveAsTable(table)
 
 

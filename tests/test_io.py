@@ -80,3 +80,16 @@ def test_audit_records_failure(spark):
     with pytest.raises(RuntimeError):
         writers.run_with_audit(spark, path, boom, source_name="s", file_name="f", batch_date="20240101", table_name="t")
     assert rows(spark.read.parquet(path), "status") == [("FAILED",), ("SUCCESS",)]
+
+
+def test_catalog_tables(spark):
+    path = scratch_path(spark, "cat")
+    df = spark.createDataFrame([(1, "20240101"), (2, "20240102")], "v int, batch_date string")
+    writers.overwrite_table(df, "lf_test_db.t_batches", ["batch_date"], path=path)
+    writers.overwrite_table(spark.createDataFrame([(5, "20240102")], "v int, batch_date string"),
+                            "lf_test_db.t_batches", ["batch_date"], path=path)
+    writers.append_table(spark.createDataFrame([(7, "20240103")], "v int, batch_date string"), "lf_test_db.t_batches",
+                         ["batch_date"], path=path)
+    assert catalog.table_exists(spark, "lf_test_db.t_batches")
+    got = catalog.read_table(spark, "lf_test_db.t_batches", {"batch_date": ["20240101", "20240102"]})
+    assert rows(got, "v", "batch_date") == [(1, "20240101"), (5, "20240102")]
