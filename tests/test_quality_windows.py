@@ -71,3 +71,15 @@ def test_number_within_key_with_copies_and_hot_key(spark):
         pairs.sort()
         assert [p[0] for p in pairs] == list(range(1, len(pairs) + 1))
         assert [p[1] for p in pairs] == sorted(p[1] for p in pairs)
+
+
+def test_top_ranks_many_values_hot_key(spark):
+    hot = spark.range(0, 400).select(F.lit("hot").alias("k"), (F.col("id") % 37).cast("string").alias("d"))
+    cold = spark.range(0, 60).select((F.col("id") % 6).cast("string").alias("k"),
+                                     F.when(F.col("id") % 5 == 0, None).otherwise((F.col("id") % 4).cast("string")).alias("d"))
+    df = hot.unionByName(cold).withColumn("i", F.monotonically_increasing_id())
+    w = Window.partitionBy("k").orderBy(F.col("d").desc())
+    for n in (1, 2, 3):
+        for dense, fn in ((False, F.rank), (True, F.dense_rank)):
+            expect = rows(df.withColumn("r", fn().over(w)).where(F.col("r") <= n).drop("r"))
+            assert rows(windows.top_ranks(df, ["k"], "d", n, dense=dense)) == expect, (n, dense)
