@@ -108,3 +108,17 @@ def test_key_rewrite_and_ambiguity(spark):
     bad = spark.createDataFrame([("A", "B"), ("A", "C")], "old_participant_id string, new_participant_id string")
     with pytest.raises(ValueError):
         merge.rewrite_keys(target, bad)
+
+
+def test_broadcast_if_small_checks_rows_and_bytes(spark):
+    df = spark.range(100).select(F.col("id"), F.lit("x" * 100).alias("pad"))
+    plan = lambda d: spark.range(5).join(d, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan(joins.broadcast_if_small(df))
+    assert joins.broadcast_if_small(df, max_rows=10) is df
+    assert joins.broadcast_if_small(df, max_bytes=1000) is df
+
+
+def test_operation_column(spark):
+    from ledgerflow.functions import cleansing
+    df = spark.createDataFrame([("D",), ("A",), (None,)], "seq_oper_code string")
+    assert sorted(r.delta_op for r in cleansing.add_operation_column(df).collect()) == ["D", "U", "U"]
