@@ -24,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores and df.inputFiles() and _rows_hint(df) > SPREAD_MIN_ROWS:
-        return df.repartition(cores)
+        # hash on the leading key column: deterministic under retries without
+        # the sort a round-robin repartition needs, and it keeps column pruning
+        return df.repartition(cores, F.col(df.columns[0]))
     return df
 
 
