@@ -36,3 +36,39 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_transform_txn_merges_by_run_date_partition(spark):
+    from ledgerflow.plans import transform_load
+
+    base = scratch_path(spark, "tx")
+    schema = "participant_id string, run_date date, amount string, seq_oper_code string"
+
+    def load(data):
+        return transform_load.raw_to_transform(
+            spark, lambda: spark.createDataFrame(data, schema), "txn", ["participant_id", "run_date"], "full_load",
+            f"{base}/t", f"{base}/x", "20240101")
+
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    load([(" p1 ", d1, "10", "A"), ("p2", d1, "", "A"), ("p3", d2, "30", "A"), (None, d2, "5", "A")])
+    out = load([("p1", d1, "11", "A"), ("p2", d1, "20", "D"), ("p4", d2, "40", "D")])
+    got = sorted((r.participant_id, str(r.run_date), r.amount, r.seq_oper_code) for r in spark.read.parquet(out["export"]).collect())
+    # p1 updated (trimmed key matched), p2 deleted, p4 unmatched delete inserted (D3), p3 and the stubbed key kept
+    assert got == [("-9999", "2024-01-02", "5", "A"), ("p1", "2024-01-01", "11", "A"), ("p3", "2024-01-02", "30", "A"),
+                   ("p4", "2024-01-02", "40", "D")]
+
+
+def test_incremental_raw_load_with_id_changes(spark):
+    params = raw_load.FeedParams("omni", "PLAN_NG", "plan_raw", file_load="incremental",
+                                 primary_keys=("participant_id", "plan_number"), rules=raw_load.FeedRules())
+    raw = scratch_path(spark, "inc")
+    schema = "participant_id string, plan_number string, v string, batch_date string"
+    day1 = spark.createDataFrame([("A", "100", "x", "20240101"), ("B", "100", "y", "20240101")], schema)
+    day2 = spark.createDataFrame([("B", "100", "y2", "20240102"), ("C", "100", "z", "20240102")], schema)
+    changes = spark.createDataFrame([("850", "A", "A2"), ("999", "C", "C9")],
+                                    "admin_tran_code string, old_participant_id string, new_participant_id string")
+    raw_load.staging_to_raw(spark, day1, params, "20240101", raw)
+    out = raw_load.staging_to_raw(spark, day2, params, "20240102", raw, id_changes=changes)
+    got = sorted((r.participant_id, r.v) for r in spark.read.parquet(out["valid"]).collect())
+    assert got == [("A2", "x"), ("B", "y2"), ("C", "z")]
