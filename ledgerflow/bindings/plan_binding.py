@@ -6,8 +6,6 @@ specification) and states the joins, merges and union directly in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerflow.bindings.feeds import duck_sql, for_compare, ints_as_double, spark_sql
 from ledgerflow.plans.entities import plan as P
 
@@ -119,10 +117,6 @@ def q_plan_allocated(spark, sf):
 
 
 # ---- oracle -------------------------------------------------------------------
-def _feed_cols(name: str, spark_cols: dict) -> list[str]:
-    return spark_cols[name]
-
-
 def _cast(expr: str, dtype: str) -> str:
     if dtype == "string":
         return f"cast({expr} AS varchar)"
