@@ -608,7 +608,7 @@ def _fixed_lines(spark, sf):
         F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.col("o_orderstatus"), F.lit("\x00\x00"),
         F.lpad(F.col("o_custkey").cast("string"), 8, "0"), F.rpad("o_orderpriority", 16, " "),
         F.lpad(F.col("o_totalprice").cast("decimal(15,2)").cast("string"), 14, " "))
-    comment = o.limit(1).select(F.lit("-- orders extract").alias("value"))
+    comment = o.select(F.concat(F.lit("-- orders with status "), F.col("o_orderstatus")).alias("value")).distinct()
     return comment.unionByName(o.select(line.alias("value")))
 
 
