@@ -13,23 +13,30 @@ from ledgerflow.operators.copies import q
 Target = Sequence[tuple[str, str]]
 
 
-def conform(df: DataFrame, target: Target, exprs: Mapping[str, Column] | None = None, passthrough: bool = True) -> DataFrame:
+def conform(df: DataFrame, target: Target, exprs: Mapping[str, Column | str] | None = None,
+            passthrough: bool = True) -> DataFrame:
     """Project ``df`` onto ``target`` ([(name, spark type)]): a provided
-    expression, or (with ``passthrough``) a same-named column, is cast
-    (``try_cast``: bad text -> NULL, D21); anything else becomes a typed NULL."""
+    expression (Column or SQL text), or (with ``passthrough``) a same-named
+    column, is cast (``try_cast``: bad text -> NULL, D21); anything else
+    becomes a typed NULL.  With SQL-text expressions the whole projection is
+    one ``selectExpr``."""
     exprs = dict(exprs or {})
     present = set(df.columns) if passthrough else set()
-    cols = []
+    items: list[Column | str] = []
     for name, dtype in target:
-        if name in exprs:
-            src = exprs[name]
-        elif name in present:
-            src = q(name)
+        src = exprs.get(name)
+        if src is None and name in present:
+            src = f"`{name}`"
+        if src is None:
+            items.append(f"CAST(NULL AS {dtype}) AS `{name}`")
+        elif isinstance(src, str):
+            cast = f"CAST(({src}) AS string)" if dtype == "string" else f"TRY_CAST(({src}) AS {dtype})"
+            items.append(f"{cast} AS `{name}`")
         else:
-            cols.append(F.lit(None).cast(dtype).alias(name))
-            continue
-        cols.append(src.try_cast(dtype).alias(name) if dtype != "string" else src.cast("string").alias(name))
-    return df.select(*cols)
+            items.append((src.try_cast(dtype) if dtype != "string" else src.cast("string")).alias(name))
+    if all(isinstance(i, str) for i in items):
+        return df.selectExpr(*items)
+    return df.select(*[F.expr(i) if isinstance(i, str) else i for i in items])
 
 
 def union_conformed(frames: Sequence[DataFrame], target: Target) -> DataFrame:

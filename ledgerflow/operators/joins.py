@@ -153,26 +153,30 @@ def keep_latest_batches(
 
 
 def merge_frames(df1: DataFrame, df2: DataFrame, keys: Sequence[str], prefer: str = "left") -> DataFrame:
-    """Full outer join on keys; each other column is ``coalesce`` of
-    the preferred frame's value and the other's.  Columns present in only
-    one frame pass through; the output has the union of columns (df1 order
-    first)."""
+    """One row per key; each other column is the preferred frame's value,
+    or the other frame's when that is NULL (``coalesce``).  Columns present in
+    only one frame pass through; the output has the union of columns (df1
+    order first).
+
+    Same result as a full outer join on the keys when each frame has at most
+    one row per key, but built as a tagged union and one ``groupBy``: partial
+    aggregation handles a hot key, and rows of a repeated key are merged
+    column-wise (smallest value per side) instead of paired.  Rows with a
+    NULL key never match (as with ``=``) and pass through unmerged.
+    """
     keys = list(keys)
-    a = df1.select(*[q(c).alias(f"_a_{c}") for c in df1.columns])
-    b = df2.select(*[q(c).alias(f"_b_{c}") for c in df2.columns])
-    cond = None
-    for k in keys:
-        c = a[f"_a_{k}"] == b[f"_b_{k}"]
-        cond = c if cond is None else cond & c
-    j = a.join(b, cond, "full")
-    out = []
     names = list(df1.columns) + [c for c in df2.columns if c not in set(df1.columns)]
-    for c in names:
-        ca = F.col(f"`_a_{c}`") if c in df1.columns else None
-        cb = F.col(f"`_b_{c}`") if c in df2.columns else None
-        if ca is not None and cb is not None:
-            first, second = (ca, cb) if prefer == "left" else (cb, ca)
-            out.append(F.coalesce(first, second).alias(c))
-        else:
-            out.append((ca if ca is not None else cb).alias(c))
-    return j.select(*out)
+    first, second = (1, 2) if prefer == "left" else (2, 1)
+
+    def tagged(df: DataFrame, side: int) -> DataFrame:
+        present = set(df.columns)
+        return df.selectExpr(*[f"`{c}`" if c in present else f"NULL AS `{c}`" for c in names], f"{side} AS _side")
+
+    both = tagged(df1, 1).unionByName(tagged(df2, 2))
+    has_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    keyed, unkeyed = both.where(has_key), both.where(f"NOT ({has_key})")
+    picks = [F.expr(f"coalesce(min(CASE WHEN _side = {first} THEN `{c}` END), min(CASE WHEN _side = {second} THEN `{c}` END))"
+                    f" AS `{c}`") for c in names if c not in set(keys)]
+    merged = keyed.groupBy(*keys).agg(*picks)
+    cols = [f"`{c}`" for c in names]
+    return merged.selectExpr(*cols).unionByName(unkeyed.selectExpr(*cols))

@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.cleansing import NULL_KEY
-from ledgerflow.functions.dates import capped_cycle_date
-from ledgerflow.operators.aggregates import allocation_summary, first_code, unallocated_flag
+from ledgerflow.operators.aggregates import allocation_summary, first_code
 from ledgerflow.operators.conform import conform
 from ledgerflow.operators.joins import merge_frames, sentinel
 from ledgerflow.plans.entities.transfer_balance import LABEL_JB, LABEL_NG
@@ -157,14 +156,10 @@ DAILY_SAME = (
 )
 
 
-def _col(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
-def _mapped(df: DataFrame, renames: Mapping[str, str], same: Sequence[str]) -> dict[str, Column]:
-    """Target expressions for the source columns this frame carries (absent ones stay NULL)."""
-    out = {t: _col(s) for s, t in renames.items() if s in df.columns}
-    out.update({c: _col(c) for c in same if c in df.columns})
+def _mapped(df: DataFrame, renames: Mapping[str, str], same: Sequence[str]) -> dict[str, str]:
+    """Target expressions (SQL text) for the source columns this frame carries (absent ones stay NULL)."""
+    out = {t: f"`{s}`" for s, t in renames.items() if s in df.columns}
+    out.update({c: f"`{c}`" for c in same if c in df.columns})
     return out
 
 
@@ -174,26 +169,18 @@ def _contacts_join(base: DataFrame, contacts: DataFrame, plan_col: str = "plan_n
 
 
 def _record_keeping(df: DataFrame, flagged: bool) -> DataFrame:
-    value = (F.when(_col("plan_number").isin(list(RECORD_KEEPING_PLANS)), F.lit("Y")) if flagged
-             else F.lit(None)).cast("string")
-    return df.withColumn(RECORD_KEEPING_COLUMN, value)
-
-
-def _underlying(client: Column) -> Column:
-    return F.when(client == "NG", F.lit(LABEL_NG)).otherwise(F.lit(LABEL_JB))
-
-
-def _client(c: Column) -> Column:
-    return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(NULL_KEY))
+    plans = ", ".join(f"'{p}'" for p in RECORD_KEEPING_PLANS)
+    value = f"CASE WHEN plan_number IN ({plans}) THEN 'Y' END" if flagged else "CAST(NULL AS string)"
+    return df.withColumn(RECORD_KEEPING_COLUMN, F.expr(value))
 
 
 def plan_cef(feed: DataFrame, contacts: DataFrame) -> DataFrame:
     """Branch cef: external plan feed A + contacts."""
     j = _contacts_join(feed, contacts)
     exprs = _mapped(j, CEF_RENAMES, CEF_SAME)
-    exprs.update({c: _col(c) for c in CONTACT_COLUMNS})
-    exprs["grp_product_desc"] = F.lit(PAYOUT_PRODUCT)
-    exprs["underlying_source_system"] = _col("plan_src_system")
+    exprs.update({c: f"`{c}`" for c in CONTACT_COLUMNS})
+    exprs["grp_product_desc"] = f"'{PAYOUT_PRODUCT}'"
+    exprs["underlying_source_system"] = "plan_src_system"
     return _record_keeping(conform(j, PLAN_TARGET, exprs, passthrough=False), False)
 
 
@@ -201,9 +188,9 @@ def plan_pdab(feed: DataFrame, contacts: DataFrame) -> DataFrame:
     """Branch pdab: external plan feed B + contacts."""
     j = _contacts_join(feed, contacts)
     exprs = _mapped(j, PDAB_RENAMES, PDAB_SAME)
-    exprs.update({c: _col(c) for c in CONTACT_COLUMNS})
-    exprs["client_id"] = F.coalesce(_col("client_id"), F.lit(NULL_KEY))
-    exprs["underlying_source_system"] = _col("plan_source_system")
+    exprs.update({c: f"`{c}`" for c in CONTACT_COLUMNS})
+    exprs["client_id"] = f"coalesce(client_id, '{NULL_KEY}')"
+    exprs["underlying_source_system"] = "plan_source_system"
     return _record_keeping(conform(j, PLAN_TARGET, exprs, passthrough=False), False)
 
 
@@ -224,16 +211,16 @@ def _common_dims(pld: DataFrame, dims: Mapping[str, DataFrame], accounts: DataFr
     return j.join(acct, j["plan_number"] == acct["_acct_plan"], "left").drop("_acct_plan")
 
 
-def _shared_exprs(label: str) -> dict[str, Column]:
+def _shared_exprs(label: str) -> dict[str, str]:
     return {
-        "client_id": _client(_col("client_id")),
-        "source_system": F.lit(label),
-        "plan_unallocated_flag": unallocated_flag(_col("_acct_n"), _col("_acct_min"), _col("_acct_max")),
-        "plan_company_code": _col("_company_code"),
-        "tpa_code": _col("_tpa_code"),
-        "underlying_source_system": _underlying(_col("client_id")),
-        "source_cycle_date": capped_cycle_date(_col("source_cycle_date")),
-        **{c: _col(c) for c in CONTACT_COLUMNS},
+        "client_id": f"coalesce(nullif(trim(client_id), ''), '{NULL_KEY}')",
+        "source_system": f"'{label}'",
+        "plan_unallocated_flag": "CASE WHEN _acct_min = 'ALLOC' AND _acct_max = 'ALLOC' THEN 'N' ELSE 'Y' END",
+        "plan_company_code": "_company_code",
+        "tpa_code": "_tpa_code",
+        "underlying_source_system": f"CASE WHEN client_id = 'NG' THEN '{LABEL_NG}' ELSE '{LABEL_JB}' END",
+        "source_cycle_date": "CASE WHEN source_cycle_date > '9999-12-31' THEN NULL ELSE try_cast(source_cycle_date AS date) END",
+        **{c: f"`{c}`" for c in CONTACT_COLUMNS},
     }
 
 
@@ -250,15 +237,15 @@ def plan_extract(pld: DataFrame, dims: Mapping[str, DataFrame], accounts: DataFr
     j = j.join(helper, j["irc_code"] == helper["_irc_value"], "left").drop("_irc_value")
     exprs = _mapped(j, EXTRACT_RENAMES, EXTRACT_SAME)
     exprs.update(_shared_exprs(LABEL_NG if channel == "ng" else LABEL_JB))
-    exprs["ein_full"] = F.concat(_col("ein_number"), _col("ein_suffix"))
-    exprs["irc_code_desc"] = _col("_irc_desc")
-    exprs["tpa_name"] = F.trim(_col("_tpa_name"))
+    exprs["ein_full"] = "concat(ein_number, ein_suffix)"
+    exprs["irc_code_desc"] = "_irc_desc"
+    exprs["tpa_name"] = "trim(_tpa_name)"
     if channel == "ng":
-        exprs["sponsor_name_line_1"] = _col("plan_name_line_1")
+        exprs["sponsor_name_line_1"] = "plan_name_line_1"
     else:
-        exprs["grp_product_desc"] = _col("product_description")
+        exprs["grp_product_desc"] = "product_description"
     if address_from_extract:
-        exprs.update({"plan_address_state": _col("state"), "plan_address_city": _col("city"), "plan_address_zip_code": _col("zip")})
+        exprs.update({"plan_address_state": "state", "plan_address_city": "city", "plan_address_zip_code": "zip"})
     return _record_keeping(conform(j, PLAN_TARGET, exprs, passthrough=False), channel == "ng")
 
 
@@ -279,25 +266,25 @@ def plan_daily(pld: DataFrame, dims: Mapping[str, DataFrame], accounts: DataFram
         ph = dims["product_helper"].where(F.col("source_system_name") == HELPER_SOURCE).select(
             F.col("source_system_code_value").alias("_ph_code"), F.col("specification_nm").alias("_spec"))
         j = j.join(ph, j["product_code"] == ph["_ph_code"], "left")
-    zip9 = F.substring(_col("plan_address_zip_code"), 1, 9)
+    zip9 = "substring(plan_address_zip_code, 1, 9)"
     exprs = _mapped(j, DAILY_RENAMES, DAILY_SAME)
     exprs.update(_shared_exprs(LABEL_NG if channel == "ng" else LABEL_JB))
     exprs.update({
-        "sponsor_address1": _col("plan_address_line_1"), "sponsor_address2": _col("plan_address_line_2"),
-        "sponsor_address3": _col("plan_address_line_3"), "sponsor_city": _col("plan_address_city"),
-        "sponsor_state": _col("plan_address_state"), "sponsor_zip_code": zip9,
-        "plan_address_state": _col("plan_address_state"), "plan_address_city": _col("plan_address_city"),
-        "plan_address_zip_code": zip9, "sponsor_country": _col("_country"),
-        "qdia_indicator": F.substring(F.trim(_col("qdia_indicator")), 1, 1),
-        "uses_contrib_rate_escalator": _col("_sit_uses_contribution_rate_escalator"),
-        "uses_eligibility_module": _col("_sit_uses_eligibility_module"),
-        "uses_loan_sweep_module": _col("_sit_uses_loan_sweep_module"),
-        "vesting_data_source": _col("_sit_vesting_data_source"),
-        "product_type": _col("_sit_so_product_information_prod_tp"),
-        "market_indicator": _col("_sit_so_plan_service_info_mkt_ind"),
+        "sponsor_address1": "plan_address_line_1", "sponsor_address2": "plan_address_line_2",
+        "sponsor_address3": "plan_address_line_3", "sponsor_city": "plan_address_city",
+        "sponsor_state": "plan_address_state", "sponsor_zip_code": zip9,
+        "plan_address_state": "plan_address_state", "plan_address_city": "plan_address_city",
+        "plan_address_zip_code": zip9, "sponsor_country": "_country",
+        "qdia_indicator": "substring(trim(qdia_indicator), 1, 1)",
+        "uses_contrib_rate_escalator": "_sit_uses_contribution_rate_escalator",
+        "uses_eligibility_module": "_sit_uses_eligibility_module",
+        "uses_loan_sweep_module": "_sit_uses_loan_sweep_module",
+        "vesting_data_source": "_sit_vesting_data_source",
+        "product_type": "_sit_so_product_information_prod_tp",
+        "market_indicator": "_sit_so_plan_service_info_mkt_ind",
     })
     if channel == "ng":
-        exprs["grp_product_desc"] = _col("_spec")
+        exprs["grp_product_desc"] = "_spec"
     return _record_keeping(conform(j, PLAN_TARGET, exprs, passthrough=False), channel == "ng")
 
 
