@@ -72,3 +72,15 @@ def test_incremental_raw_load_with_id_changes(spark):
     out = raw_load.staging_to_raw(spark, day2, params, "20240102", raw, id_changes=changes)
     got = sorted((r.participant_id, r.v) for r in spark.read.parquet(out["valid"]).collect())
     assert got == [("A2", "x"), ("B", "y2"), ("C", "z")]
+
+
+def test_txn_compat_switches(spark):
+    from ledgerflow.bindings.registry import _txn_inputs
+    from ledgerflow.plans.entities import txn as T
+
+    ng, jb, types = _txn_inputs(spark, "/root/testdata/sf0.001")
+    strict = T.txn(ng, jb, types)
+    compat = T.txn(ng, jb, types, compat=True)
+    assert "rank" not in strict.columns and compat.columns[-1] == "rank"
+    assert compat.where("rank <> 1").count() == 0
+    assert strict.count() > 0
