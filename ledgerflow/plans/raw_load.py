@@ -41,7 +41,6 @@ CLIENT_DEFAULT_MARKER = "SSN.OUTPUT"
 LOAN_TYPE_MARKER = "EXN.XXEWRE01.XXEWRPPL"
 FUND_REMAP_FILES = {"EXN.XXEWRE01.XXEWRPFD.NG": "fund_code", "EXN.XXEWRE01.XXEWRPFD.JB": "price_id"}
 SEQHIST_MARKER = "SEQHIST"
-ID_REWRITE_SOURCE = "omni_7.4"
 
 
 @dataclass(frozen=True)
@@ -120,7 +119,10 @@ def staging_to_raw(
     audit_path: str | None = None,
     id_changes: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Run the job; returns the written locations ({'valid', 'rejected'})."""
+    """Run the job; returns the written locations ({'valid', 'rejected'}).
+
+    ``id_changes`` (see :func:`ledgerflow.plans.id_rewrite.id_changes_for`)
+    is applied after the load of an incremental, non-history feed."""
     table_base = f"{raw_base.rstrip('/')}/{params.source_name}/{params.table_name}"
     rejected_path = f"{table_base}_rejected"
 

@@ -84,3 +84,18 @@ def test_txn_compat_switches(spark):
     assert "rank" not in strict.columns and compat.columns[-1] == "rank"
     assert compat.where("rank <> 1").count() == 0
     assert strict.count() > 0
+
+
+def test_id_changes_gating(spark):
+    from ledgerflow.plans import id_rewrite
+
+    path = scratch_path(spark, "ssn")
+    changes = spark.createDataFrame([("850", "A", "A2"), ("999", "B", "B2")],
+                                    "admin_tran_code string, old_participant_id string, new_participant_id string")
+    writers.overwrite_table(changes, "lf_raw_db.ssn_output_NG", path=path)
+    got = id_rewrite.id_changes_for(spark, "omni_7.4", "PLAN_NG.DAT", "incremental", "lf_raw_db")
+    assert [r.old_participant_id for r in got.collect()] == ["A"]
+    assert id_rewrite.id_changes_for(spark, "other", "PLAN_NG.DAT", "incremental", "lf_raw_db") is None
+    assert id_rewrite.id_changes_for(spark, "omni_7.4", "PLAN_JB.DAT", "incremental", "lf_raw_db") is None  # no table
+    assert id_rewrite.id_changes_for(spark, "omni_7.4", "SEQHIST_NG", "incremental", "lf_raw_db") is None
+    assert id_rewrite.id_changes_for(spark, "omni_7.4", "PLAN.DAT", "incremental", "lf_raw_db") is None
