@@ -103,17 +103,21 @@ def key_rewrite_spec(target_key: str = "participant_id", old_col: str = "old_par
 # ---- evaluation ------------------------------------------------------------
 
 def check_unique_matches(target: DataFrame, source: DataFrame, spec: MergeSpec) -> None:
-    """Raise when two source rows match one target row (as transactional MERGE does)."""
-    tk = [t for t, _ in spec.on]
+    """Raise when two source rows match one target row (as transactional MERGE does).
+
+    Only the source is aggregated in the common case; the target is read
+    (key columns only, semi-joined to the duplicate keys) just when the
+    source actually repeats a key."""
     sk = [s for _, s in spec.on]
     present = None
     for k in sk:
         c = q(k).isNotNull()
         present = c if present is None else present & c
-    dup = source.where(present)
-    dup = dup.groupBy(*[q(s) for s in sk]).count().where("count > 1")
-    tkeys = target.select(*[q(t).alias(s) for t, s in spec.on]).distinct()
-    if dup.join(tkeys, sk, "left_semi").limit(1).count():
+    dup = source.where(present).groupBy(*[q(s) for s in sk]).count().where("count > 1").drop("count")
+    if not dup.limit(1).count():
+        return
+    tkeys = target.select(*[q(t).alias(s) for t, s in spec.on])
+    if tkeys.join(dup, sk, "left_semi").limit(1).count():
         raise ValueError("MERGE: several source rows match the same target row")
 
 

@@ -122,3 +122,10 @@ def test_operation_column(spark):
     from ledgerflow.functions import cleansing
     df = spark.createDataFrame([("D",), ("A",), (None,)], "seq_oper_code string")
     assert sorted(r.delta_op for r in cleansing.add_operation_column(df).collect()) == ["D", "U", "U"]
+
+
+def test_duplicate_source_keys_without_target_match_are_inserted(spark):
+    target = spark.createDataFrame([(1, "t1", None)], TARGET)
+    source = spark.createDataFrame([(5, "a", "U"), (5, "b", "U")], TARGET)
+    out = merge.merge_frame(target, source, merge.upsert_spec(["k"]))
+    assert rows(out) == [(1, "t1", None), (5, "a", "U"), (5, "b", "U")]
