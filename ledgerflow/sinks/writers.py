@@ -163,9 +163,9 @@ def merge_into_partitions(spark: SparkSession, path: str, source: DataFrame, spe
         raise ValueError("partition columns must be merge keys to merge by partition")
     fs, p, _ = _fs(spark, path)
     src_of = dict((t, s) for t, s in spec.on)
+    # the source names the touched partitions; partition pruning reads only those
+    touched = source.select(*[F.col(src_of[c]).alias(c) for c in partition_cols]).distinct()
     if fs.exists(p):
-        # the source names the touched partitions; partition pruning reads only those
-        touched = source.select(*[F.col(src_of[c]).alias(c) for c in partition_cols]).distinct()
         target = spark.read.parquet(path).join(touched, list(partition_cols), "left_semi")
     else:
         target = spark.createDataFrame([], source.select(*[t for t, _ in spec.on] + [
@@ -173,7 +173,39 @@ def merge_into_partitions(spark: SparkSession, path: str, source: DataFrame, spe
     merged = merge_frame(target, source, spec, check_unique)
     staging = scratch_path(spark, "merge-stage")
     merged.write.partitionBy(*partition_cols).parquet(staging)
-    overwrite(spark.read.parquet(staging).select(*target.columns), path, partition_cols)
+    staged = spark.read.parquet(staging).select(*target.columns)
+    overwrite(staged, path, partition_cols)
+    # dynamic overwrite leaves partitions that the merge emptied untouched: drop them.
+    # Both lists hold partition values only (one row per touched partition).
+    if fs.exists(p):
+        before = {tuple(r) for r in touched.collect()}
+        after = {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}
+        for values in before - after:
+            _drop_partition(spark, path, list(partition_cols), list(values))
+
+
+# The directory name Hive-style partitioning uses for a NULL value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _drop_partition(spark: SparkSession, path: str, cols: list[str], values: list) -> None:
+    """Delete the directory of one partition (matched by listing, so value escaping needs no rules)."""
+    from urllib.parse import unquote
+
+    fs, base, jvm = _fs(spark, path)
+    current = base
+    for col, value in zip(cols, values):
+        want = NULL_PARTITION if value is None else str(value)
+        match = None
+        for st in fs.listStatus(current):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{col}=") and unquote(name[len(col) + 1:]) == want:
+                match = st.getPath()
+                break
+        if match is None:
+            return
+        current = match
+    fs.delete(current, True)
 
 
 # ---- run audit (K10) ----------------------------------------------------------

@@ -93,3 +93,14 @@ def test_catalog_tables(spark):
     assert catalog.table_exists(spark, "lf_test_db.t_batches")
     got = catalog.read_table(spark, "lf_test_db.t_batches", {"batch_date": ["20240101", "20240102"]})
     assert rows(got, "v", "batch_date") == [(1, "20240101"), (5, "20240102")]
+
+
+def test_partition_merge_empties_a_partition(spark):
+    from ledgerflow.operators.merge import upsert_spec
+
+    path = scratch_path(spark, "pm")
+    schema = "k int, p string, op string"
+    writers.overwrite(spark.createDataFrame([(1, "a", "U"), (2, "a", "U"), (3, "b", "U")], schema), path, ["p"])
+    source = spark.createDataFrame([(1, "a", "D"), (2, "a", "D"), (4, "c", "U")], schema)
+    writers.merge_into_partitions(spark, path, source, upsert_spec(["k", "p"], delete_code_col="op"), ["p"])
+    assert rows(spark.read.parquet(path).select("k", "p")) == [(3, "b"), (4, "c")]
