@@ -57,10 +57,10 @@ def read_delimited(
         .schema(schema)
     )
     raw = reader.csv(path)
-    out = normalize_headers_and_trim(raw)
+    cols = [F.trim(F.col(f"`{c}`")).alias(c.lower()) for c in raw.columns]
     if with_file_name:
-        out = out.withColumn("file_segment", raw["_metadata.file_name"])
-    return out
+        cols.append(F.col("_metadata.file_name").alias("file_segment"))
+    return raw.select(*cols)
 
 
 def _slice_fields(value: Column, layout: Mapping[str, Mapping]) -> list[Column]:

@@ -39,6 +39,8 @@ def test_delimited_header_case_trim_and_quotes(spark):
     out = files.read_delimited(spark, f"{d}/seg*", "Id string, Name string, Note string", "psv", True)
     assert out.columns == ["id", "name", "note"]
     assert rows(out) == [("1", "Ann", "a|b"), ("2", None, "x")]
+    named = files.read_delimited(spark, f"{d}/seg*", "Id string, Name string, Note string", "psv", True, with_file_name=True)
+    assert rows(files.list_segments(named)) == [("seg1.psv",)]
 
 
 def test_predicate_scan_pushes_filters(spark):
