@@ -34,17 +34,13 @@ def role_type_code(c: Column) -> Column:
 def distinct_concat(df: DataFrame, keys: Sequence[str], values: dict[str, Column], sep: str = ";") -> DataFrame:
     """Per key, ``concat_ws(sep, sorted distinct non-empty values)`` for each output.
 
-    All outputs travel as tagged (name, value) rows: one ``distinct`` on
-    (key, name, value) spreads a hot key by value and removes repeats
-    before the per-key gather, so each key carries only its distinct
-    values.  Sorting makes the string deterministic.
+    One ``groupBy`` with ``collect_set``: partial aggregation de-duplicates
+    map-side, so a hot key ships only its distinct values through the single
+    shuffle.  Sorting makes the string deterministic.
     """
-    keys = list(keys)
-    names = list(values)
-    tagged = F.array(*[F.struct(F.lit(n).alias("n"), F.nullif(values[n], F.lit("")).alias("v")) for n in names])
-    d = df.select(*[q(k) for k in keys], F.inline(tagged)).distinct()
-    return d.groupBy(*[q(k) for k in keys]).agg(*[
-        F.concat_ws(sep, F.array_sort(F.collect_list(F.when(F.col("n") == n, F.col("v"))))).alias(n) for n in names
+    return df.groupBy(*[q(k) for k in keys]).agg(*[
+        F.concat_ws(sep, F.array_sort(F.collect_set(F.nullif(expr, F.lit(""))))).alias(name)
+        for name, expr in values.items()
     ])
 
 
