@@ -138,9 +138,11 @@ def write_version(df: DataFrame, base: str, partition_cols: Sequence[str] | None
 
 
 def create_if_missing(spark: SparkSession, base: str, schema: StructType | str, partition_cols: Sequence[str] | None = None) -> None:
-    """K9: an empty first version with the given schema."""
+    """K9: an empty first version with the given schema.  It is written
+    unpartitioned (an empty partitioned write leaves no file to carry the
+    schema); later versions use ``partition_cols``."""
     if current_path(spark, base) is None:
-        write_version(spark.createDataFrame([], schema), base, partition_cols)
+        write_version(spark.createDataFrame([], schema), base)
 
 
 def merge_into(spark: SparkSession, base: str, source: DataFrame, spec: MergeSpec,

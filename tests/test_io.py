@@ -106,3 +106,20 @@ def test_partition_merge_empties_a_partition(spark):
     source = spark.createDataFrame([(1, "a", "D"), (2, "a", "D"), (4, "c", "U")], schema)
     writers.merge_into_partitions(spark, path, source, upsert_spec(["k", "p"], delete_code_col="op"), ["p"])
     assert rows(spark.read.parquet(path).select("k", "p")) == [(3, "b"), (4, "c")]
+
+
+def test_dispatch_stamps_and_create_if_missing(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        files.read_feed(spark, "/nowhere", "xml")
+    with pytest.raises(ValueError):
+        files.read_feed(spark, "/nowhere", "delimited")
+    df = spark.createDataFrame([("x",)], "v string")
+    stamped = files.stamp_file_segment(files.stamp_batch_date(df, "20240131"), "segment1")
+    assert stamped.first().asDict() == {"v": "x", "batch_date": "20240131", "file_segment": "segment1"}
+    base = scratch_path(spark, "k9")
+    writers.create_if_missing(spark, base, "k int, run_date string", ["run_date"])
+    writers.create_if_missing(spark, base, "k int, run_date string", ["run_date"])  # second call is a no-op
+    assert writers.current_path(spark, base).endswith("v000001")
+    assert writers.read_current(spark, base).count() == 0
