@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import ensure_checkpoint_dir
 from ledgerflow.operators.copies import COPIES, DEFAULT_CHUNK, collapse_copies, expand_numbered, null_safe_on, q
 
 
@@ -114,6 +115,7 @@ def number_within_key(
     distinct = collapse_copies(df)
     sort_cols = [*keys, *order_by, *rest]
     ordered = distinct.orderBy(*[q(c).asc_nulls_first() for c in sort_cols]).withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)  # reads spark.checkpoint.dir; sets one only when unset
     frozen = ordered.checkpoint(eager=True)
     per_part = frozen.groupBy("_pid", *[q(k) for k in keys]).agg(F.sum(COPIES).alias("_part_rows"))
     wk = Window.partitionBy(*[q(k) for k in keys]).orderBy("_pid")
