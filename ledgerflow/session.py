@@ -23,6 +23,35 @@ SCALE_CONF = {
 }
 
 
+# Settings for a large cluster run (apply with ``apply_cluster_conf``).  AQE
+# sizes post-shuffle partitions by bytes instead of maximising the count,
+# scans read ~256 MB splits, and the shuffle partition count follows the
+# input size (see ``shuffle_partitions_for``).  Not used by local runs,
+# where parallelism-first coalescing keeps all cores busy on small data.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES, minimum: int = 200) -> int:
+    """Initial shuffle partition count so each partition holds about
+    ``target_bytes`` (AQE then coalesces or splits at run time)."""
+    return max(minimum, -(-int(input_bytes) // target_bytes))
+
+
+def apply_cluster_conf(spark: SparkSession, input_bytes: int | None = None) -> None:
+    """Set the cluster profile on a running session (runtime SQL settings only)."""
+    for key, value in CLUSTER_CONF.items():
+        spark.conf.set(key, value)
+    if input_bytes is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes)))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerflow") -> SparkSession:
     """Session for tests and local benchmarks (UI off, no server ports)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

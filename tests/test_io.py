@@ -123,3 +123,11 @@ def test_dispatch_stamps_and_create_if_missing(spark):
     writers.create_if_missing(spark, base, "k int, run_date string", ["run_date"])  # second call is a no-op
     assert writers.current_path(spark, base).endswith("v000001")
     assert writers.read_current(spark, base).count() == 0
+
+
+def test_cluster_profile_sizing(spark):
+    from ledgerflow import session
+
+    assert session.shuffle_partitions_for(100 * 2**40) == 409600  # 100 TB at 256 MB per partition
+    assert session.shuffle_partitions_for(10 * 2**20) == 200
+    assert session.CLUSTER_CONF["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
