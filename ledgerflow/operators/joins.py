@@ -99,13 +99,13 @@ def type_rule_rows(types: DataFrame, code_col: str = "base_transaction_code", ac
     """Right side of J11: one row per rule a type row can serve (at most 8x the table)."""
     act = _activity_sql(activity_col)
     all_null = " AND ".join(f"`{c}` IS NULL" for c in TYPE_CODE_COLUMNS)
-    options = ["named_struct('r', 0, 'v', '', 'a', 0, 'ok', true)"]
+    options = ["named_struct('_rr', 0, '_rv', '', '_ra', 0, '_rok', true)"]
     for i, (column, values) in enumerate(RULES, start=1):
-        options.append(f"named_struct('r', {i}, 'v', `{column}`, 'a', {act}, "
-                       f"'ok', coalesce(`{column}` IN ({_in_sql(values)}), false))")
-    options.append(f"named_struct('r', {len(RULES) + 1}, 'v', '', 'a', {act}, 'ok', {all_null})")
+        options.append(f"named_struct('_rr', {i}, '_rv', `{column}`, '_ra', {act}, "
+                       f"'_rok', coalesce(`{column}` IN ({_in_sql(values)}), false))")
+    options.append(f"named_struct('_rr', {len(RULES) + 1}, '_rv', '', '_ra', {act}, '_rok', {all_null})")
     expanded = types.select("*", F.inline(F.expr(f"array({', '.join(options)})")))
-    return expanded.where("ok").drop("ok").withColumnsRenamed({"r": "_rule", "v": "_rval", "a": "_ract"})
+    return expanded.where("_rok").drop("_rok").withColumnsRenamed({"_rr": "_rule", "_rv": "_rval", "_ra": "_ract"})
 
 
 def rule_join(

@@ -64,11 +64,11 @@ def flag_duplicates(
     others = joined.where(~is_first).select(*[q(c) for c in cols], F.lit(True).alias(FLAG), remark.alias(REMARK))
     copies = joined.where(is_first).select(*[q(c) for c in cols]).transform(collapse_copies)
     parts = F.array(
-        F.struct(F.lit(False).alias("f"), F.lit(1).cast("long").alias("n")),
-        F.struct(F.lit(True).alias("f"), (q(COPIES) - 1).alias("n")),
+        F.struct(F.lit(False).alias("_lf_flag"), F.lit(1).cast("long").alias("_lf_n")),
+        F.struct(F.lit(True).alias("_lf_flag"), (q(COPIES) - 1).alias("_lf_n")),
     )
-    staged = copies.select(*[q(c) for c in cols], F.inline(parts)).where(F.col("n") > 0)
-    firsts = expand_copies(staged.withColumnRenamed("f", FLAG).withColumnRenamed("n", COPIES), COPIES, chunk)
+    staged = copies.select(*[q(c) for c in cols], F.inline(parts)).where(F.col("_lf_n") > 0)
+    firsts = expand_copies(staged.withColumnsRenamed({"_lf_flag": FLAG, "_lf_n": COPIES}), COPIES, chunk)
     firsts = firsts.withColumn(REMARK, F.when(q(FLAG), remark).otherwise(F.lit(None).cast("string")))
     return others.unionByName(firsts)
 

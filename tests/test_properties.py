@@ -77,3 +77,24 @@ def test_batch_cutoff_without_cycle_column(spark):
     df = spark.createDataFrame([("x",)], "v string")
     assert dates.batch_date_by_cutoff(df, "20240115", "15:30").first().batch_date == "20240115"
     assert dates.batch_date_by_cutoff(df, "20240115", "07:00").first().batch_date == "20240114"
+
+
+dup_row = st.tuples(st.sampled_from([None, "k1", "k2"]), st.sampled_from([None, 1, 2]),
+                    st.sampled_from([None, "20240101", "20240102"]), st.sampled_from(["a", "b", None]))
+
+
+@SETTINGS
+@given(st.lists(dup_row, min_size=1, max_size=40))
+def test_duplicate_flags_match_row_number(spark, data):
+    from pyspark.sql import Window
+
+    schema = "k string, n int, batch_date string, v string"
+    df = spark.createDataFrame(data, schema)
+    order = [F.col(c).asc_nulls_first() for c in ("batch_date", "v")]
+    w = Window.partitionBy("k", "n").orderBy(*order)
+    expect = df.withColumn("rn", F.row_number().over(w))
+    flagged = quality.flag_duplicates(df, ["k", "n"], chunk=3)
+    assert rows(flagged.select("k", "n", "batch_date", "v", "to_drop")) == rows(
+        expect.select("k", "n", "batch_date", "v", (F.col("rn") > 1).alias("to_drop")))
+    assert rows(quality.drop_duplicates_by_key(df, ["k", "n"], ["batch_date"])) == rows(
+        expect.where("rn = 1").drop("rn"))
