@@ -108,9 +108,22 @@ def type_rule_rows(types: DataFrame, code_col: str = "base_transaction_code", ac
     return expanded.where("_rok").drop("_rok").withColumnsRenamed({"_rr": "_rule", "_rv": "_rval", "_ra": "_ract"})
 
 
+def prepared_types(types: DataFrame, type_prefix: str = "tt_", code_col: str = "base_transaction_code",
+                   activity_col: str = "activity_type", broadcast_types: bool = True) -> DataFrame:
+    """Right side of J11, ready to join: rule rows with prefixed type columns,
+    broadcast when the size probe allows.  Build once, join many times."""
+    right = type_rule_rows(types, code_col, activity_col)
+    right = right.select(
+        *[q(c).alias(type_prefix + c) for c in types.columns],
+        F.col("_rule").alias("_t_rule"), F.col("_rval").alias("_t_rval"), F.col("_ract").alias("_t_ract"),
+    )
+    return broadcast_if_small(right) if broadcast_types else right
+
+
 def rule_join(
     transactions: DataFrame, types: DataFrame, how: str = "left", type_prefix: str = "tt_",
     code_col: str = "base_transaction_code", activity_col: str = "activity_type", broadcast_types: bool = True,
+    prepared: DataFrame | None = None,
 ) -> DataFrame:
     """Join each transaction to the type rows of its first applicable rule.
 
@@ -119,13 +132,7 @@ def rule_join(
     nested loop.  Type columns come back prefixed with ``type_prefix``.
     """
     left = transaction_rule_keys(transactions, code_col, activity_col)
-    right = type_rule_rows(types, code_col, activity_col)
-    right = right.select(
-        *[q(c).alias(type_prefix + c) for c in types.columns],
-        F.col("_rule").alias("_t_rule"), F.col("_rval").alias("_t_rval"), F.col("_ract").alias("_t_ract"),
-    )
-    if broadcast_types:
-        right = broadcast_if_small(right)
+    right = prepared if prepared is not None else prepared_types(types, type_prefix, code_col, activity_col, broadcast_types)
     cond = (
         (left["_rule"] == right["_t_rule"]) & (left[code_col] == right[type_prefix + code_col])
         & (left["_rval"] == right["_t_rval"]) & (left["_ract"] == right["_t_ract"])
