@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, secret_scan, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, near_dup, secret_scan, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.session import scratch_path
 
@@ -82,5 +82,16 @@ def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination)}
+def op9_hashed_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs)
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (language_id.fold("doc_id") == 0).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), language_id.rejected().alias("rejected"))
+
+
+def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
 ORACLES: dict[str, str] = {}
