@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, near_dup, secret_scan, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, near_dup, secret_scan, suffix_levels, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.session import scratch_path
 
@@ -82,6 +82,20 @@ def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = suffix_levels.keyed(table(spark, sf_dir, "documents"))
+    covered = stage(suffix_levels.repeats(docs), "suffix-covers")
+    with suffix_levels.runtime_filters(spark):
+        kept = suffix_levels.kept_bytes(docs, covered)
+        kept = stage(kept.select("doc_id", "crc", F.size("ranges").cast("long").alias("runs"), F.octet_length("kept").alias("left"), F.sha2("kept", 256).alias("sha")).dropDuplicates(["doc_id", "crc"]), "suffix-kept")
+    # documents that lose nothing are digested where they are read
+    rows = docs.select("doc_id", "crc", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("whole")).join(kept, ["doc_id", "crc"], "left")
+    return rows.select(
+        F.nullif("doc_id", F.lit(-(1 << 62))).alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.coalesce("left", "n_bytes")).alias("n_removed"),
+        F.coalesce("runs", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"),
+    )
+
+
 def op9_hashed_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs)
@@ -93,5 +107,5 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
 ORACLES: dict[str, str] = {}
