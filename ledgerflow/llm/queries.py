@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, near_dup, secret_scan, suffix_levels, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, multi_index, near_dup, secret_scan, suffix_levels, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.session import scratch_path
 
@@ -82,6 +82,15 @@ def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = multi_index.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    built = multi_index.build(rows)
+    if built is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index, placed = built
+    return multi_index.search(placed, index, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op8_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = suffix_levels.keyed(table(spark, sf_dir, "documents"))
     covered = stage(suffix_levels.repeats(docs), "suffix-covers")
@@ -107,5 +116,5 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
 ORACLES: dict[str, str] = {}
