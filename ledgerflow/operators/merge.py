@@ -48,6 +48,8 @@ class MergeSpec:
     clauses: Sequence[Clause] = field(default_factory=tuple)
 
     def __post_init__(self):
+        if not self.on:
+            raise ValueError("MERGE needs at least one key column: without keys every row would meet every other")
         matched = [c for c in self.clauses if c.kind in ("delete", "update")]
         for c in matched[:-1]:
             if c.condition is None:

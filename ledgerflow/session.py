@@ -70,12 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is
-    only read.  Only when it is unset (local tests) is a folder made here.
+    only read.  Only a local session (tests), whose executors share this
+    machine's disk, gets a folder made here when it is unset.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
@@ -83,6 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never machine-local)."""
+    """A fresh path under the shared checkpoint folder; on a cluster there is
+    none without that setting, so nothing lands on one machine's disk."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
