@@ -51,6 +51,8 @@ def prefix(c: Column, length: int = 13) -> Column:
 # transaction's value is in the rule's set) plus code and activity; rule 7
 # applies otherwise and needs a type row whose ten usage codes are NULL.
 RULE0_CODES = ("035", "363", "815", "383", "387", "801", "813", "820", "833", "844", "850", "851", "966")
+# The code list of the older single-feed transactions.
+RULE0_CODES_SINGLE_FEED = ("35", "363", "383", "387", "801", "813", "820", "833", "844", "850", "851", "966")
 RULES = (
     ("usage_code_1", ("1", "2", "3", "4", "5", "6", "7", "8", "9", "A", "B", "C", "L")),
     ("usage_code_2", ("3", "7", "8", "9", "A", "C", "L", "O", "T", "U", "V")),
@@ -123,15 +125,16 @@ def prepared_types(types: DataFrame, type_prefix: str = "tt_", code_col: str = "
 def rule_join(
     transactions: DataFrame, types: DataFrame, how: str = "left", type_prefix: str = "tt_",
     code_col: str = "base_transaction_code", activity_col: str = "activity_type", broadcast_types: bool = True,
-    prepared: DataFrame | None = None,
+    prepared: DataFrame | None = None, rule0_codes: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join each transaction to the type rows of its first applicable rule.
 
     Equivalent to the CASE-in-ON join, but the condition becomes equi keys
     (rule, code, value, activity), so Spark hash-joins instead of running a
-    nested loop.  Type columns come back prefixed with ``type_prefix``.
+    nested loop.  Type columns come back prefixed with ``type_prefix``;
+    ``rule0_codes`` are the codes that match on the code alone.
     """
-    left = transaction_rule_keys(transactions, code_col, activity_col)
+    left = transaction_rule_keys(transactions, code_col, activity_col, rule0_codes or RULE0_CODES)
     right = prepared if prepared is not None else prepared_types(types, type_prefix, code_col, activity_col, broadcast_types)
     cond = (
         (left["_rule"] == right["_t_rule"]) & (left[code_col] == right[type_prefix + code_col])
@@ -159,31 +162,42 @@ def keep_latest_batches(
     return df.join(kept, df[batch_col] == kept["_kept_batch"], "left_semi")
 
 
-def merge_frames(df1: DataFrame, df2: DataFrame, keys: Sequence[str], prefer: str = "left") -> DataFrame:
+def merge_frames(df1: DataFrame, df2: DataFrame, keys: Sequence[str], prefer: str = "left",
+                 repeated: str = "first") -> DataFrame:
     """One row per key; each other column is the preferred frame's value,
     or the other frame's when that is NULL (``coalesce``).  Columns present in
     only one frame pass through; the output has the union of columns (df1
     order first).
 
-    Same result as a full outer join on the keys when each frame has at most
-    one row per key, but built as a tagged union and one ``groupBy``: partial
-    aggregation handles a hot key, and rows of a repeated key are merged
-    column-wise (smallest value per side) instead of paired.  Rows with a
-    NULL key never match (as with ``=``) and pass through unmerged.
+    Equals a full outer join on the keys when each frame has at most one row
+    per key.  ``repeated`` says what a key with several rows in one frame
+    gives: ``"first"`` takes that frame's smallest row (by all its columns in
+    order, NULLs first) as a whole, ``"error"`` fails the query when such a row
+    is met.  Rows with a NULL key never match (as with ``=``) and pass through.
+
+    A tagged union and one ``groupBy`` evaluate each frame once: partial
+    aggregation handles a hot key, and a row with a NULL key is a group of its
+    own by a tag that no other row has.
     """
+    if repeated not in ("first", "error"):
+        raise ValueError(f"repeated must be 'first' or 'error', not {repeated!r}")
     keys = list(keys)
     names = list(df1.columns) + [c for c in df2.columns if c not in set(df1.columns)]
+    values = [c for c in names if c not in set(keys)]
     first, second = (1, 2) if prefer == "left" else (2, 1)
 
     def tagged(df: DataFrame, side: int) -> DataFrame:
         present = set(df.columns)
         return df.selectExpr(*[f"`{c}`" if c in present else f"NULL AS `{c}`" for c in names], f"{side} AS _side")
 
-    both = tagged(df1, 1).unionByName(tagged(df2, 2))
     has_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    keyed, unkeyed = both.where(has_key), both.where(f"NOT ({has_key})")
-    picks = [F.expr(f"coalesce(min(CASE WHEN _side = {first} THEN `{c}` END), min(CASE WHEN _side = {second} THEN `{c}` END))"
-                    f" AS `{c}`") for c in names if c not in set(keys)]
-    merged = keyed.groupBy(*keys).agg(*picks)
-    cols = [f"`{c}`" for c in names]
-    return merged.selectExpr(*cols).unionByName(unkeyed.selectExpr(*cols))
+    row = "struct(" + ", ".join(f"`{c}`" for c in values) + ")" if values else "struct(1 AS _none)"
+    both = tagged(df1, 1).unionByName(tagged(df2, 2)).selectExpr(
+        *[f"`{k}`" for k in keys], "_side", f"{row} AS _row",
+        f"CASE WHEN NOT ({has_key}) THEN monotonically_increasing_id() END AS _alone")
+    sides = [f"min(CASE WHEN _side = {n} THEN _row END) AS _{place}" for place, n in (("a", first), ("b", second))]
+    counts = ["count_if(_side = 1) AS _n1", "count_if(_side = 2) AS _n2"] if repeated == "error" else []
+    merged = both.groupBy(*[F.col(f"`{k}`") for k in keys], "_alone").agg(*[F.expr(x) for x in sides + counts])
+    if repeated == "error":
+        merged = merged.where("if(_n1 > 1 OR _n2 > 1, raise_error('merge_frames: a key has several rows in one frame'), true)")
+    return merged.selectExpr(*[f"`{c}`" if c in set(keys) else f"coalesce(_a.`{c}`, _b.`{c}`) AS `{c}`" for c in names])
