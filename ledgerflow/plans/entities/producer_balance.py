@@ -1,8 +1,14 @@
-"""Producer x participant balances."""
+"""Producer x participant balances.
+
+The raw layer keeps every column as text, so measures and dates are cast
+with ``try_cast`` before use: text that is no number counts as missing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.cleansing import NULL_KEY
@@ -17,39 +23,45 @@ OUT_DECIMAL = "decimal(17,2)"
 
 
 def producer_balance(producer: DataFrame, core: DataFrame, loans: DataFrame, life: DataFrame,
-                     strict_life_join: bool = True) -> DataFrame:
+                     strict_life_join: bool = True, as_of: dt.date | str | None = None) -> DataFrame:
     """Producers (distinct role strings) INNER core sums, LEFT loan sums, LEFT life sums.
 
     ``strict_life_join`` joins life balances on plan and participant prefix
     (D6); False reproduces the plan-only join of the reference.
-    Core sums group by the defaulted cycle date (D23).
+    Core sums group by the defaulted cycle date (D23): the day before
+    ``as_of`` (None: today).
     """
-    zero = F.lit(0)
+    zero = F.lit(0).cast(OUT_DECIMAL)
+    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+
+    def money(c: str | Column) -> Column:
+        return (F.col(c) if isinstance(c, str) else c).try_cast(OUT_DECIMAL)
+
     pr = distinct_concat(
         producer, ["participant_id", "plan_number", "rep_tax_id_ssn"],
         {"producer_role_code": F.col("producer_role_code_desc"),
          "producer_role_type": role_type_code(F.col("producer_role_type"))},
     )
-    yesterday = F.date_sub(F.current_date(), 1)
+    yesterday = F.date_sub(today, 1)
     m1 = core.select(
         "participant_id", "plan_number",
-        F.coalesce(F.col("source_cycle_date"), yesterday).alias("source_cycle_date"),
-        F.coalesce("cash_value_amount", zero).alias("_cash"),
-        F.coalesce("sdba_cash_value_amount", zero).alias("_sdba"),
-        F.coalesce("ytd_contributions", zero).alias("_ytd"),
-        F.when(F.col("money_type_description") == MONEY_EE, F.col("cash_value_amount")).alias("_ee"),
-        F.when(F.col("money_type_description") == MONEY_ER, F.col("cash_value_amount")).alias("_er"),
+        F.coalesce(F.col("source_cycle_date").try_cast("date"), yesterday).alias("source_cycle_date"),
+        F.coalesce(money("cash_value_amount"), zero).alias("_cash"),
+        F.coalesce(money("sdba_cash_value_amount"), zero).alias("_sdba"),
+        F.coalesce(money("ytd_contributions"), zero).alias("_ytd"),
+        F.when(F.col("money_type_description") == MONEY_EE, money("cash_value_amount")).alias("_ee"),
+        F.when(F.col("money_type_description") == MONEY_ER, money("cash_value_amount")).alias("_er"),
     ).groupBy("plan_number", "participant_id", "source_cycle_date").agg(
         F.sum("_cash").alias("core"), F.sum(F.coalesce("_ee", zero)).alias("ee"), F.sum(F.coalesce("_er", zero)).alias("er"),
         F.sum("_ytd").alias("ytd"), F.sum("_sdba").alias("sdba"),
     ).withColumnsRenamed({"plan_number": "m1_plan", "participant_id": "m1_pid", "source_cycle_date": "m1_cycle"})
     m2 = loans.select(
         sentinel(F.col("plan_number")).alias("m2_plan"), sentinel(F.col("participant_id")).alias("m2_pid"),
-        F.when(F.col("source_system") == PRINCIPAL_SYSTEM, F.col("outstanding_principal_balance"))
-        .otherwise(F.col("loan_balance")).alias("_loan"),
+        F.when(F.col("source_system") == PRINCIPAL_SYSTEM, money("outstanding_principal_balance"))
+        .otherwise(money("loan_balance")).alias("_loan"),
     ).groupBy("m2_plan", "m2_pid").agg(F.sum(F.coalesce("_loan", zero)).alias("loan"))
     m3 = life.groupBy("plan_number", "valuation_date", "participant_id").agg(
-        F.sum(F.coalesce("cash_value_amt", zero)).alias("life")
+        F.sum(F.coalesce(money("cash_value_amt"), zero)).alias("life")
     ).withColumnsRenamed({"plan_number": "m3_plan", "participant_id": "m3_pid", "valuation_date": "life_valuation_date"})
 
     j = pr.join(m1, (sentinel(pr["plan_number"]) == sentinel(m1["m1_plan"]))

@@ -4,7 +4,10 @@ Reads the batch from the staging table, cleanses, normalises dates,
 flags bad rows, splits valid / rejected, writes both (rejected by
 dynamic partition overwrite, valid by overwrite or MERGE), applies
 participant-id changes for incremental feeds (T9) and records an audit
-row.  The valid/rejected frames come from one persisted frame.
+row.  The valid/rejected frames come from one persisted frame.  An
+incremental load and its id changes are one write of the table, old
+versions beyond ``keep_versions`` go, and with a ``database`` the tables
+are registered in the catalog under the feed's table name.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.amounts import parse_txn_amounts
 from ledgerflow.functions.cleansing import fill_client_id, fill_cycle_dates, fill_loan_type, remap_loan_funds, remove_junk_values
 from ledgerflow.functions.dates import normalize_date_columns
-from ledgerflow.operators.merge import upsert_spec
+from ledgerflow.operators.merge import rewrite_keys, upsert_spec
 from ledgerflow.operators.quality import (
     flag_duplicates,
     flag_invalid_plan_ids,
@@ -28,7 +31,7 @@ from ledgerflow.operators.quality import (
     valid_rows,
 )
 from ledgerflow.operators.windows import number_within_key
-from ledgerflow.plans.id_rewrite import apply_id_changes
+from ledgerflow.plans.id_rewrite import id_changes as id_change_rows, id_changes_for
 from ledgerflow.sinks import writers
 
 # File-name markers that switch feed-specific steps on.
@@ -118,14 +121,34 @@ def staging_to_raw(
     raw_base: str,
     audit_path: str | None = None,
     id_changes: DataFrame | None = None,
+    database: str | None = None,
+    keep_versions: int | None = None,
 ) -> dict[str, str]:
     """Run the job; returns the written locations ({'valid', 'rejected'}).
 
-    ``id_changes`` (see :func:`ledgerflow.plans.id_rewrite.id_changes_for`)
-    is applied after the load of an incremental, non-history feed."""
+    An incremental, non-history feed has participant-id changes applied to
+    the merged table: those in ``id_changes``, else those that
+    :func:`ledgerflow.plans.id_rewrite.id_changes_for` finds in ``database``."""
     table_base = f"{raw_base.rstrip('/')}/{params.source_name}/{params.table_name}"
     rejected_path = f"{table_base}_rejected"
 
+    rules = params.rules or rules_for_file(params.file_name)
+    keys = list(params.primary_keys or [])
+    merged = rules.seqhist or params.file_load == "incremental"
+    if merged and not keys:
+        raise ValueError(f"{params.table_name}: a merged feed needs primary keys")
+
+    def changes() -> DataFrame | None:
+        if params.file_load != "incremental" or rules.seqhist:
+            return None
+        if id_changes is None and database is not None:
+            return id_changes_for(spark, params.source_name, params.file_name, params.file_load, database)
+        return id_changes
+
+    def register(table: str, path: str, parts: list[str] | None = None) -> None:
+        if database is not None:
+            writers.register_table(spark, f"{database}.{table}", path, writers.read_declared(spark, path).schema, parts)
+
     def job() -> dict[str, str]:
         batch = staging.where(F.col("batch_date") == batch_date)  # partition filter at the scan
         flagged = cleanse_batch(batch, params, batch_date).persist(StorageLevel.MEMORY_AND_DISK)
@@ -133,19 +156,22 @@ def staging_to_raw(
             out = {}
             if "to_drop" in flagged.columns:
                 parts = ["batch_date", "file_segment"] if params.segmented else ["batch_date"]
-                writers.overwrite(rejected_rows(flagged), rejected_path, parts)
+                rejected = rejected_rows(flagged)
+                writers.overwrite(rejected, rejected_path, parts)
+                writers.save_schema(spark, rejected_path, rejected.schema)
+                register(f"{params.table_name}_rejected", rejected_path, parts)
                 out["rejected"] = rejected_path
             valid = valid_rows(flagged)
-            rules = params.rules or rules_for_file(params.file_name)
-            if rules.seqhist or params.file_load == "incremental":
-                out["valid"] = writers.merge_into(spark, table_base, valid, upsert_spec(list(params.primary_keys or [])))
+            if merged:
+                found = changes()
+                rewrite = None if found is None else lambda df: rewrite_keys(df, id_change_rows(found))
+                # history feeds are merged without deletes, like the others
+                out["valid"] = writers.merge_into(spark, table_base, valid, upsert_spec(keys), then=rewrite, keep=keep_versions)
             else:
-                out["valid"] = writers.write_version(valid, table_base)
+                out["valid"] = writers.write_version(valid, table_base, keep=keep_versions)
+            register(params.table_name, out["valid"])
         finally:
             flagged.unpersist()
-        if params.file_load == "incremental" and not (params.rules or rules_for_file(params.file_name)).seqhist \
-                and id_changes is not None:
-            out["valid"] = apply_id_changes(spark, table_base, id_changes)
         return out
 
     if audit_path is None:

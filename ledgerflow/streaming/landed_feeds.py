@@ -1,9 +1,12 @@
 """Process newly landed delimited feed segments with Structured Streaming.
 
 The batch jobs hand over between stages with marker files; here the
-file source's own checkpoint remembers which segments were processed,
-and each micro-batch runs the ordinary staging -> raw job
-(:func:`ledgerflow.plans.raw_load.staging_to_raw`).  With
+file source's own checkpoint remembers which segments were processed.
+Each micro-batch is written to a staging table (once, even if it is run
+again), and the ordinary staging -> raw job
+(:func:`ledgerflow.plans.raw_load.staging_to_raw`) then runs over all that
+is staged for its batch dates: segments of one date that land in several
+micro-batches are loaded together.  With
 ``availableNow`` the stream processes everything present and stops, so it
 fits a scheduled run as well as a long-running one.  The checkpoint lives
 under the shared ``spark.checkpoint.dir``.
@@ -15,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerflow.plans.raw_load import FeedParams, staging_to_raw
+from ledgerflow.plans.raw_load import FeedParams, rules_for_file, staging_to_raw
 from ledgerflow.session import ensure_checkpoint_dir
+from ledgerflow.sinks import writers
+from ledgerflow.sinks.writers import read_partitioned
 from ledgerflow.sources.files import DELIMITERS, normalize_headers_and_trim
 
 
@@ -33,9 +38,20 @@ def run_landed_feeds(spark: SparkSession, landing_dir: str, schema: StructType |
     stream = normalize_headers_and_trim(stream).withColumn(
         "batch_date", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})/", 1))
 
+    staging_path = f"{raw_base.rstrip('/')}/{params.source_name}/{params.table_name}_staging"
+    parts = ["batch_date", "micro_batch"]
+
     def load(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.select("batch_date").distinct().collect():  # one row per batch date in this micro-batch
-            staging_to_raw(spark, batch, params, row.batch_date, raw_base)
+        part = batch.withColumn("micro_batch", F.lit(str(batch_id)))
+        writers.overwrite(part, staging_path, parts)  # dynamic: a repeated micro-batch replaces its own partitions
+        staged = read_partitioned(spark, staging_path, parts).drop("micro_batch")
+        dates = sorted(r.batch_date for r in batch.select("batch_date").distinct().collect())  # one row per batch date
+        if params.file_load == "full_load" and not (params.rules or rules_for_file(params.file_name)).seqhist:
+            # the current version is the latest date's; an older date that lands late does not replace it
+            newest = staged.agg(F.max("batch_date")).first()[0]
+            dates = [d for d in dates if d == newest]
+        for date in dates:
+            staging_to_raw(spark, staged, params, date, raw_base)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", f"{base}/streams/{name}").queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
