@@ -22,6 +22,7 @@ HEADLINE = (
     "transfer_balance", "txn", "rule_join", "date_formats", "txn_amounts", "dup_flag", "drop_duplicates",
     "surrogate_key", "latest", "two_latest", "last_batches", "set_agg", "set_flag", "merge_delete",
     "key_rewrite", "producer_balance", "div_sub", "conform_union", "prefix_join", "raw_load",
+    "plan", "partition_merge", "transform_load", "split_valid",
 )
 
 

@@ -16,48 +16,22 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table.  A scan that lands in fewer partitions than the
-    session has cores (the test tables are single-row-group files) is
-    spread round-robin so the per-row work after it runs in parallel; a
-    large multi-file input already has enough splits and is left alone."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A supplied table.  ``spread`` deals the rows out over the shuffle
+    partitions first: the test tables are single-row-group files, which one
+    task reads, and some bindings do heavy per-row work on them.  It is off
+    unless a binding asks for it, and does not look at sizes."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access just skip the spreading
-        return df
-    if splits < cores and df.inputFiles() and _rows_hint(df) > SPREAD_MIN_ROWS:
-        # hash on the leading key column: deterministic under retries without
-        # the sort a round-robin repartition needs, and it keeps column pruning
-        return df.repartition(cores, F.col(df.columns[0]))
-    return df
-
-
-SPREAD_MIN_ROWS = 50_000
-
-
-def _rows_hint(df: DataFrame) -> int:
-    """Row count from parquet footers (no data scan) of a small input."""
-    import pyarrow.parquet as pq
-
-    total = 0
-    for f in df.inputFiles():
-        path = f[len("file:"):] if f.startswith("file:") else f
-        try:
-            total += pq.ParquetFile(path).metadata.num_rows
-        except OSError:
-            return SPREAD_MIN_ROWS + 1
-    return total
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if spread else df
 
 
 def _tables_in(sql: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", sql)))
 
 
-def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def spark_sql(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
     """Run a feed template on Spark, binding ``{table}`` to the parquet scans."""
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in _tables_in(sql)})
+    return spark.sql(sql, **{t: table(spark, sf_dir, t, spread) for t in _tables_in(sql)})
 
 
 def duck_sql(sql: str) -> str:
@@ -203,7 +177,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
 FROM {{lineitem}}"""
 
 PLAN_FLAGS_FEED = """
-SELECT o_orderkey, lpad(cast(o_custkey AS string), 6, '0') AS plan_number,
+SELECT o_orderkey, CASE o_orderkey % 40 WHEN 0 THEN '999999' WHEN 1 THEN '999998' WHEN 2 THEN '999997' WHEN 3 THEN NULL
+            ELSE lpad(cast(o_custkey AS string), 6, '0') END AS plan_number,
        CASE WHEN o_orderstatus = 'F' THEN 'NG' ELSE 'JB' END AS client_id, o_orderpriority
 FROM {orders}"""
 
@@ -224,7 +199,7 @@ SELECT l_orderkey, l_linenumber,
        CASE WHEN l_returnflag = 'A' THEN l_linestatus END AS usage_code_2,
        CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN cast(8 + l_linenumber % 2 AS string) END AS usage_code_3,
        CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN CASE WHEN l_linenumber < 3 THEN 'WR' ELSE 'X' END END AS usage_code_4,
-       cast(NULL AS string) AS usage_code_5,
+       CASE WHEN l_returnflag = 'R' AND l_linenumber >= 6 THEN '9' END AS usage_code_5,
        CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'R' END AS standard_usage_code_4
 FROM {lineitem}"""
 
@@ -233,7 +208,7 @@ SELECT CASE WHEN p_type = 'ECONOMY' THEN cast(p_size % 6 AS string) END AS usage
        CASE WHEN p_type = 'SMALL' THEN 'O' END AS usage_code_2,
        CASE WHEN p_type = 'MEDIUM' THEN cast(8 + p_size % 2 AS string) END AS usage_code_3,
        CASE WHEN p_type = 'LARGE' THEN CASE WHEN p_size % 2 = 0 THEN 'WR' ELSE 'X' END END AS usage_code_4,
-       cast(NULL AS string) AS usage_code_5,
+       CASE WHEN p_type = 'STANDARD' AND p_size % 3 = 0 THEN '9' END AS usage_code_5,
        cast(NULL AS string) AS standard_usage_code_1, cast(NULL AS string) AS standard_usage_code_2,
        cast(NULL AS string) AS standard_usage_code_3,
        CASE WHEN p_type = 'PROMO' THEN 'R' END AS standard_usage_code_4,
@@ -271,6 +246,7 @@ TXN_RAW_EXPR = {
     "usage_code_2": "CASE WHEN l_returnflag = 'A' THEN l_linestatus END",
     "usage_code_3": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN cast(8 + l_linenumber % 2 AS string) END",
     "usage_code_4": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN CASE WHEN l_linenumber < 3 THEN 'WR' ELSE 'X' END END",
+    "usage_code_5": "CASE WHEN l_returnflag = 'R' AND l_linenumber >= 6 THEN '9' END",
     "standard_usage_code_4": "CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'R' END",
     "rev_code": "CASE WHEN l_linenumber = 1 THEN '' ELSE l_returnflag END",
     "run_time": "lpad(cast(l_partkey % 2400 AS string), 4, '0')",
@@ -294,8 +270,16 @@ TXN_RAW_EXPR = {
 }
 
 
+def _txn_filler(place: int, name: str) -> str:
+    """A value for a column without a rule: a date, or a number that differs
+    from column to column, so a wrong mapping shows."""
+    if name.endswith("_date"):
+        return f"CASE WHEN l_linenumber = 2 THEN 'no date' ELSE {iso('l_shipdate')} END"
+    return f"cast((l_partkey + {place}) % 89 AS string)"
+
+
 def txn_raw_feed(where: str) -> str:
-    cols = [f"{TXN_RAW_EXPR.get(c, 'cast(NULL AS string)')} AS {c}" for c in TXN_RAW_COLUMNS]
+    cols = [f"{TXN_RAW_EXPR.get(c) or _txn_filler(i, c)} AS {c}" for i, c in enumerate(TXN_RAW_COLUMNS)]
     return "SELECT " + ",\n       ".join(cols) + f"\nFROM {{lineitem}} WHERE {where}"
 
 
@@ -318,9 +302,12 @@ DETAILS_FEED = """SELECT lpad(cast(o_orderkey AS string), 9, '0') AS part_number
        CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'AUT' WHEN '2' THEN 'BUI' WHEN '3' THEN 'FUR' WHEN '4' THEN 'HOU'
             ELSE '' END AS div_sub_id
 FROM {orders}"""
-ACCOUNTS_FEED = """SELECT lpad(cast(l_orderkey AS string), 9, '0') AS participant_id, lpad(cast(l_orderkey % 25 AS string), 6, '0') AS plan_number,
-       CASE l_returnflag WHEN 'A' THEN 'alloc' WHEN 'N' THEN 'ALOC ' ELSE l_linestatus END AS participant_account_type_code
-FROM {lineitem} WHERE l_shipdate < TIMESTAMP '1998-06-01'"""
+# Plans under 8 hold allocated accounts only, plans from 20 on no account that meets a participant.
+ACCOUNTS_FEED = """SELECT CASE WHEN l_orderkey % 25 >= 20 OR l_shipdate >= TIMESTAMP '1998-06-01' THEN 'no participant'
+            ELSE lpad(cast(l_orderkey AS string), 9, '0') END AS participant_id, lpad(cast(l_orderkey % 25 AS string), 6, '0') AS plan_number,
+       CASE WHEN l_returnflag = 'A' OR l_orderkey % 25 < 4 THEN 'alloc' WHEN l_returnflag = 'N' OR l_orderkey % 25 < 8 THEN 'ALOC '
+            ELSE l_linestatus END AS participant_account_type_code
+FROM {lineitem}"""
 
 
 # ---- producer balance inputs -----------------------------------------------------
@@ -331,22 +318,22 @@ PRODUCER_FEED = """SELECT lpad(cast(o_custkey AS string), 9, '0') AS rep_tax_id_
 FROM {orders}"""
 CORE_FEED = f"""SELECT lpad(cast(l_orderkey AS string), 13, '0') || lpad(cast(l_linenumber AS string), 2, '0') AS participant_id,
        lpad(cast(l_orderkey % 10 AS string), 6, '0') AS plan_number,
-       CASE WHEN l_linestatus = 'O' THEN NULL ELSE cast(l_shipdate AS date) END AS source_cycle_date,
-       cast(l_extendedprice AS decimal(15,2)) AS cash_value_amount,
-       cast(l_tax AS decimal(15,2)) * 100 AS sdba_cash_value_amount,
-       CASE WHEN l_linenumber = 1 THEN NULL ELSE cast(l_quantity AS decimal(15,2)) END AS ytd_contributions,
+       CASE WHEN l_linestatus = 'O' THEN NULL WHEN l_linenumber = 5 THEN 'not a date' ELSE {iso('l_shipdate')} END AS source_cycle_date,
+       CASE WHEN l_linenumber = 6 THEN 'n/a' ELSE cast(cast(l_extendedprice AS decimal(15,2)) AS string) END AS cash_value_amount,
+       cast(cast(cast(l_tax AS decimal(15,2)) * 100 AS decimal(15,2)) AS string) AS sdba_cash_value_amount,
+       CASE WHEN l_linenumber = 1 THEN NULL ELSE cast(cast(l_quantity AS decimal(15,2)) AS string) END AS ytd_contributions,
        CASE l_returnflag WHEN 'A' THEN 'EE' WHEN 'R' THEN 'ER' ELSE 'XX' END AS money_type_description
 FROM {{lineitem}}"""
 LOANS_FEED = """SELECT lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_number,
-       lpad(cast(o_orderkey AS string), 13, '0') || 'L1' AS participant_id,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'no loan ' ELSE '' END || lpad(cast(o_orderkey AS string), 13, '0') || 'L1' AS participant_id,
        CASE WHEN o_orderstatus = 'F' THEN 'PREMIER' ELSE 'OTHER' END AS source_system,
-       cast(cast(o_totalprice AS decimal(15,2)) * 0.5 AS decimal(15,2)) AS outstanding_principal_balance,
-       cast(o_totalprice AS decimal(15,2)) AS loan_balance
-FROM {orders} WHERE o_orderpriority <> '3-MEDIUM'"""
+       cast(cast(cast(o_totalprice AS decimal(15,2)) * 0.5 AS decimal(15,2)) AS string) AS outstanding_principal_balance,
+       CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE cast(cast(o_totalprice AS decimal(15,2)) AS string) END AS loan_balance
+FROM {orders}"""
 LIFE_FEED = f"""SELECT lpad(cast(o_orderkey % 10 AS string), 6, '0') AS plan_number,
-       lpad(cast(o_orderkey AS string), 13, '0') || 'X9' AS participant_id,
-       cast(cast(o_totalprice AS decimal(15,2)) * 0.25 AS decimal(15,2)) AS cash_value_amt, {iso('o_orderdate')} AS valuation_date
-FROM {{orders}} WHERE o_orderstatus <> 'P'"""
+       CASE WHEN o_orderstatus = 'P' THEN 'no life ' ELSE '' END || lpad(cast(o_orderkey AS string), 13, '0') || 'X9' AS participant_id,
+       cast(cast(cast(o_totalprice AS decimal(15,2)) * 0.25 AS decimal(15,2)) AS string) AS cash_value_amt, {iso('o_orderdate')} AS valuation_date
+FROM {{orders}}"""
 
 
 # ---- staging feed for the raw job --------------------------------------------------

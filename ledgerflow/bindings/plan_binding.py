@@ -15,9 +15,9 @@ _REGION_OF = ("CASE c_nationkey % 5 WHEN 0 THEN 'AFRICA' WHEN 1 THEN 'AMERICA' W
 _PLAN_NO = f"CASE WHEN c_custkey = 7 THEN '666896' ELSE {_P} END"
 
 FEEDS = {
-    "contacts": f"""SELECT {_P} AS plan_id, c_name AS crm_name, lower(c_name) || '@example' AS crm_email,
+    "contacts": f"""SELECT CASE WHEN c_nationkey < 20 THEN {_P} ELSE 'no plan ' || {_P} END AS plan_id, c_name AS crm_name, lower(c_name) || '@example' AS crm_email,
         cast(c_nationkey AS string) AS crm_phone, c_mktsegment AS trustee_name, cast(NULL AS string) AS trustee_email,
-        cast(c_custkey AS string) AS trustee_phone FROM {{customer}} WHERE c_nationkey < 20""",
+        cast(c_custkey AS string) AS trustee_phone FROM {{customer}}""",
     "cef": """SELECT CASE WHEN s_nationkey < 12 THEN 'NG' ELSE 'JB' END AS plan_client_id,
         lpad(cast(s_suppkey AS string), 6, '0') AS plan_number, 'SYS' || cast(s_suppkey AS string) AS plan_sys_key,
         'CEF' AS plan_src_system, substring(s_name, 1, 3) AS plan_comp_code, s_name AS plan_manager, s_name AS plan_name,
@@ -33,7 +33,7 @@ FEEDS = {
         'PDAB' AS plan_source_system, substring(s_name, 10, 3) AS plan_company_code, s_name AS plan_name,
         CASE WHEN s_nationkey = 3 THEN 'bad' ELSE '2019-07-01' END AS plan_issue_date, 'a1' AS plan_spon_add_line1,
         'a2' AS plan_spon_add_line2, 'a3' AS plan_spon_add_line3, 'Town' AS plan_spon_city, 'CA' AS plan_spon_country,
-        '99999' AS plan_spon_zip_code, 'ON' AS plan_spon_state FROM {supplier} WHERE s_acctbal > 0""",
+        '99999' AS plan_spon_zip_code, 'ON' AS plan_spon_state FROM {supplier}""",
 }
 
 
@@ -73,6 +73,7 @@ def _daily(where: str) -> str:
 
 
 FEEDS.update({
+    "ext_all": _extract("c_custkey IS NOT NULL"),
     "ext_ng": _extract("c_mktsegment IN ('BUILDING', 'MACHINERY')"),
     "ext_jb": _extract("c_mktsegment = 'AUTOMOBILE'"),
     "daily_ng": _daily("c_mktsegment IN ('MACHINERY', 'HOUSEHOLD')"),
@@ -84,6 +85,8 @@ FEEDS.update({
     "acct_jb": """SELECT lpad(cast(o_orderkey AS string), 9, '0') AS participant_id, lpad(cast(o_custkey AS string), 6, '0') AS plan_number,
         CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE 'alloc' END AS participant_account_type_code
         FROM {orders} WHERE o_orderpriority >= '3'""",
+    "acct_all": """SELECT lpad(cast(o_orderkey AS string), 9, '0') AS participant_id, lpad(cast(o_custkey AS string), 6, '0') AS plan_number,
+        CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE 'alloc' END AS participant_account_type_code FROM {orders}""",
     "tpa_map": """SELECT lpad(cast(n_nationkey * 3 AS string), 6, '0') AS plan_code, 'T' || cast(n_regionkey AS string) AS tpa_code FROM {nation}""",
     "tpa_names": """SELECT 'T' || cast(r_regionkey AS string) AS tpa_code, ' ' || r_name || ' ' AS name FROM {region}""",
     "role_helper": """SELECT CASE WHEN r_regionkey < 4 THEN 'CASE PROF' ELSE 'OTHER' END AS source_system_nm,
@@ -92,10 +95,10 @@ FEEDS.update({
         r_name AS specification_nm FROM {region}""",
     "producer_roles": """SELECT lpad(cast(o_custkey AS string), 6, '0') AS plan_id, o_orderpriority AS role_key FROM {orders}""",
     "sponsor_country": """SELECT lpad(cast(n_nationkey AS string), 6, '0') AS plan_number, n_name AS sponsor_country FROM {nation}""",
-    "service_info": f"""SELECT {_P} AS plan_id, CASE WHEN c_nationkey < 3 THEN '' ELSE 'NG' END AS client_id,
+    "service_info": f"""SELECT CASE WHEN c_acctbal > 0 THEN {_P} ELSE 'no plan ' || {_P} END AS plan_id, CASE WHEN c_nationkey < 3 THEN '' ELSE 'NG' END AS client_id,
         'Y' AS uses_eligibility_module, 'N' AS uses_loan_sweep_module, 'V' AS vesting_data_source,
         'Z' AS acp_irc_section, 'E' AS uses_contribution_rate_escalator, 'PT' AS so_product_information_prod_tp,
-        'MK' AS so_plan_service_info_mkt_ind FROM {{customer}} WHERE c_acctbal > 0""",
+        'MK' AS so_plan_service_info_mkt_ind FROM {{customer}}""",
 })
 DIMS = ("tpa_map", "tpa_names", "contacts", "role_helper", "product_helper", "producer_roles", "sponsor_country", "service_info")
 
@@ -113,7 +116,7 @@ def q_plan(spark, sf):
 
 def q_plan_allocated(spark, sf):
     f = _inputs(spark, sf)
-    return ints_as_double(for_compare(P.plan_allocated(f["ext_jb"], {k: f[k] for k in DIMS}, f["acct_jb"])))
+    return ints_as_double(for_compare(P.plan_allocated(f["ext_all"], {k: f[k] for k in DIMS}, f["acct_all"])))
 
 
 # ---- oracle -------------------------------------------------------------------
@@ -180,8 +183,8 @@ def oracle_sql(cols: dict[str, list[str]], allocated: bool = False) -> str:
     pdab_e = _mapped(cols["pdab"], P.PDAB_RENAMES, P.PDAB_SAME) | _contacts() | {
         "client_id": "coalesce(b.client_id, '-9999')", "underlying_source_system": "b.plan_source_system"}
 
-    def extract(ch, address=False):
-        e = _mapped(cols[f"ext_{ch}"], P.EXTRACT_RENAMES, P.EXTRACT_SAME) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
+    def extract(ch, address=False):  # ch: ng, jb, or all (jb rules over every customer)
+        e = _mapped(cols["ext_ng"], P.EXTRACT_RENAMES, P.EXTRACT_SAME) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
             "ein_full": "concat(b.ein_number, b.ein_suffix)", "irc_code_desc": "pr.source_system_field_value_txt",
             "tpa_name": "trim(stpa.name)"}
         if ch == "ng":
@@ -223,7 +226,7 @@ def oracle_sql(cols: dict[str, list[str]], allocated: bool = False) -> str:
 
     head = f"WITH {ctes}\n".replace("{contacts}", "contacts")
     if allocated:
-        body = extract("jb", address=True)
+        body = extract("all", address=True)
         keep = ", ".join(n for n, _ in P.PLAN_TARGET)
         return (head + f"SELECT {keep} FROM ({body}) z").replace("{contacts}", "contacts")
     body = (f"SELECT {_project(cef_e, 'cast(NULL AS varchar)')}\nFROM cef b\n{_DT}\nUNION ALL\n"

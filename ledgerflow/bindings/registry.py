@@ -204,7 +204,7 @@ def q_drop_duplicates(spark, sf):
 
 # ---------------------------------------------------------------- Q2/Q3 ----
 @register("range_flag", with_feed(fd.PLAN_FLAGS_FEED, """SELECT o_orderkey, plan_number, client_id, o_orderpriority,
-  (plan_number BETWEEN '000001' AND '000040') OR (client_id = 'NG' AND plan_number IN ('999999', '999998', '999997')) AS to_drop,
+  coalesce((plan_number BETWEEN '000001' AND '000040') OR (client_id = 'NG' AND plan_number IN ('999999', '999998', '999997')), false) AS to_drop,
   CASE WHEN (plan_number BETWEEN '000001' AND '000040') OR (client_id = 'NG' AND plan_number IN ('999999', '999998', '999997'))
        THEN 'invalid plan id' END AS drop_record_remarks FROM f"""))
 def q_range_flag(spark, sf):
@@ -321,20 +321,23 @@ def q_prefix_join(spark, sf):
 
 
 # ---------------------------------------------------------------- J11/J13 --
-_RULE0 = ", ".join(f"'{c}'" for c in joins.RULE0_CODES)
-
-
-def _in(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
-_ACT = "coalesce(try_cast({x}.activity_type AS integer), -9999)"
-_CASE_ON = f"""CASE WHEN t.base_transaction_code IN ({_RULE0}) THEN t.base_transaction_code = tt.base_transaction_code
-""" + "".join(
-    f"""  WHEN t.{col} IN ({_in(vals)}) THEN t.{col} = tt.{col} AND t.base_transaction_code = tt.base_transaction_code
-       AND {_ACT.format(x='t')} = {_ACT.format(x='tt')}
-""" for col, vals in joins.RULES) + f"""  ELSE CASE WHEN {' AND '.join(f'tt.{c} IS NULL' for c in joins.TYPE_CODE_COLUMNS)}
-       THEN t.base_transaction_code = tt.base_transaction_code AND {_ACT.format(x='t')} = {_ACT.format(x='tt')} END END"""
+_SAME = """t.base_transaction_code = tt.base_transaction_code
+       AND coalesce(try_cast(t.activity_type AS integer), -9999) = coalesce(try_cast(tt.activity_type AS integer), -9999)"""
+# The rules as SQL of their own, not from the engine's tables.
+_CASE_ON = f"""CASE
+  WHEN t.base_transaction_code IN ('035', '363', '383', '387', '801', '813', '815', '820', '833', '844', '850', '851', '966')
+    THEN t.base_transaction_code = tt.base_transaction_code
+  WHEN t.usage_code_1 IN ('1', '2', '3', '4', '5', '6', '7', '8', '9', 'A', 'B', 'C', 'L') THEN t.usage_code_1 = tt.usage_code_1 AND {_SAME}
+  WHEN t.usage_code_2 IN ('3', '7', '8', '9', 'A', 'C', 'L', 'O', 'T', 'U', 'V') THEN t.usage_code_2 = tt.usage_code_2 AND {_SAME}
+  WHEN t.usage_code_3 IN ('8', '9') THEN t.usage_code_3 = tt.usage_code_3 AND {_SAME}
+  WHEN t.usage_code_4 IN ('1', '2', '3', '4', '5', '6', '7', '8', '9', 'A', 'B', 'C', 'D', 'L', 'R', 'WR', 'X', 'Z')
+    THEN t.usage_code_4 = tt.usage_code_4 AND {_SAME}
+  WHEN t.usage_code_5 IN ('9') THEN t.usage_code_5 = tt.usage_code_5 AND {_SAME}
+  WHEN t.standard_usage_code_4 IN ('1', '2', 'R') THEN t.standard_usage_code_4 = tt.standard_usage_code_4 AND {_SAME}
+  ELSE CASE WHEN tt.usage_code_1 IS NULL AND tt.usage_code_2 IS NULL AND tt.usage_code_3 IS NULL AND tt.usage_code_4 IS NULL
+      AND tt.usage_code_5 IS NULL AND tt.standard_usage_code_1 IS NULL AND tt.standard_usage_code_2 IS NULL
+      AND tt.standard_usage_code_3 IS NULL AND tt.standard_usage_code_4 IS NULL AND tt.standard_usage_code_5 IS NULL
+    THEN {_SAME} END END"""
 
 
 @register("rule_join", f"""WITH t AS ({duck_sql(fd.RULE_TXN_FEED)}), tt AS ({duck_sql(fd.TYPES_FEED)})
@@ -420,13 +423,12 @@ _ACCT = """CASE o_orderstatus WHEN 'F' THEN ' alloc ' WHEN 'O' THEN 'ALOC' ELSE
 
 
 @register("set_flag", f"""WITH m AS (SELECT o_custkey,
-     CASE WHEN upper(trim({_ACCT})) IN ('ALLOC', 'ALOC') THEN 'ALLOC' ELSE {_ACCT} END AS acct FROM orders
-     WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+     CASE WHEN upper(trim({_ACCT})) IN ('ALLOC', 'ALOC') THEN 'ALLOC' ELSE {_ACCT} END AS acct FROM orders),
   s AS (SELECT o_custkey, list_distinct(list(acct)) AS st FROM m GROUP BY o_custkey)
 SELECT c.c_custkey, CASE WHEN len(s.st) = 1 AND s.st[1] = 'ALLOC' THEN 'N' ELSE 'Y' END AS plan_unallocated_flag
 FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey""")
 def q_set_flag(spark, sf):
-    o = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    o = table(spark, sf, "orders")
     acct = F.when(F.col("o_orderstatus") == "F", F.lit(" alloc ")).when(F.col("o_orderstatus") == "O", F.lit("ALOC")) \
         .otherwise(F.substring("o_orderpriority", 1, 1))
     summary = aggregates.allocation_summary(o.withColumn("acct", acct), ["o_custkey"], "acct")
@@ -674,6 +676,9 @@ from ledgerflow.plans.entities.div_sub import div_sub  # noqa: E402
 from ledgerflow.plans.entities.producer_balance import producer_balance  # noqa: E402
 
 
+AS_OF = "2024-02-01"  # fills missing dates in the bound entities, so results do not follow the clock
+
+
 def _txn_duck_value(name, src, kind, label, client_default):
     c = f"t1.{src}" if src else None
     if kind == "k":
@@ -683,7 +688,7 @@ def _txn_duck_value(name, src, kind, label, client_default):
     if kind == "rev":
         return f"coalesce(nullif({c}, ''), '0') AS {name}"
     if kind == "dk":
-        return f"cast(coalesce(try_cast({c} AS date), current_date) AS varchar) AS {name}"
+        return f"cast(coalesce(try_cast({c} AS date), DATE '{AS_OF}') AS varchar) AS {name}"
     if kind == "d":
         return f"cast(try_cast({c} AS date) AS varchar) AS {name}"
     if kind == "i":
@@ -701,14 +706,14 @@ def _txn_duck_value(name, src, kind, label, client_default):
     return f"{c} AS {name}"
 
 
-def _txn_duck_channel(feed, fund_col, label, client_default):
+def _txn_duck_channel(feed, fund_col, label, client_default, latest=True, rules=_CASE_ON):
     cols = ",\n  ".join(_txn_duck_value(n, s, k, label, client_default) for n, s, k in txn_entity.TXN_LAYOUT)
     return f"""SELECT {cols}, t1.batch_date
-FROM (SELECT * FROM ({duck_sql(feed)}) x WHERE batch_date IN (SELECT DISTINCT batch_date FROM ({duck_sql(feed)}) y ORDER BY 1 DESC LIMIT 2)) t1
+FROM (SELECT * FROM ({duck_sql(feed)}) x {f"WHERE batch_date IN (SELECT DISTINCT batch_date FROM ({duck_sql(feed)}) y ORDER BY 1 DESC LIMIT 2)" if latest else ""}) t1
 LEFT JOIN (SELECT fund_iv, plan_number, {fund_col} AS fund_number FROM ({duck_sql(fd.TXN_FUNDS_FEED)})) pf
   ON t1.fund_id = pf.fund_iv AND t1.plan_number = pf.plan_number
 LEFT JOIN (SELECT plan_number, client_id FROM ({duck_sql(fd.TXN_PLANS_FEED)})) pld ON pld.plan_number = t1.plan_number
-LEFT JOIN ({duck_sql(fd.TYPES_FEED)}) tt1 ON {_CASE_ON.replace('t.', 't1.').replace('tt1.', 'tt.').replace('tt.', 'tt1.')}
+LEFT JOIN ({duck_sql(fd.TYPES_FEED)}) tt1 ON {rules.replace('t.', 't1.').replace('tt1.', 'tt.').replace('tt.', 'tt1.')}
 WHERE t1.participant_id <> '000000000' AND tt1.process_flag = 'Y'"""
 
 
@@ -721,15 +726,25 @@ SELECT {', '.join(txn_entity.TXN_COLUMNS)} FROM r WHERE rk = 1"""
 
 def _txn_inputs(spark, sf):
     funds, plans = spark_sql(spark, sf, fd.TXN_FUNDS_FEED), spark_sql(spark, sf, fd.TXN_PLANS_FEED)
-    ng = {"feed": spark_sql(spark, sf, fd.TXN_NG_FEED), "funds": funds, "plans": plans}
-    jb = {"feed": spark_sql(spark, sf, fd.TXN_JB_FEED), "funds": funds, "plans": plans}
+    ng = {"feed": spark_sql(spark, sf, fd.TXN_NG_FEED, spread=True), "funds": funds, "plans": plans}
+    jb = {"feed": spark_sql(spark, sf, fd.TXN_JB_FEED, spread=True), "funds": funds, "plans": plans}
     return ng, jb, spark_sql(spark, sf, fd.TYPES_FEED)
 
 
 @register("txn", _TXN_ORACLE)
 def q_txn(spark, sf):
     ng, jb, types = _txn_inputs(spark, sf)
-    return ints_as_double(for_compare(txn_entity.txn(ng, jb, types)))
+    return ints_as_double(for_compare(txn_entity.txn(ng, jb, types, as_of=AS_OF)))
+
+
+_TXN_SINGLE_RULES = _CASE_ON.replace("'035', ", "'35', ").replace("'815', ", "")
+
+
+@register("txn_single_feed", f"""SELECT {', '.join(txn_entity.TXN_COLUMNS)} FROM (
+{_txn_duck_channel(fd.TXN_JB_FEED, 'price_id', 'VRP-SP', '-9999', latest=False, rules=_TXN_SINGLE_RULES)}) u""")
+def q_txn_single_feed(spark, sf):
+    _, jb, types = _txn_inputs(spark, sf)
+    return ints_as_double(for_compare(txn_entity.txn_single_feed(jb["feed"], jb["funds"], jb["plans"], types, as_of=AS_OF)))
 
 
 # ---------------------------------------------------------------- T4 -------
@@ -750,6 +765,12 @@ def q_div_sub(spark, sf):
 
 # ---------------------------------------------------------------- T6 -------
 _ROLE_T = "CASE WHEN producer_role_type = 'RIA/IAR' THEN producer_role_type ELSE substring(producer_role_type, 1, 3) END"
+
+
+def _money(column):
+    return f"try_cast({column} AS decimal(17,2))"
+
+
 _PRODUCER_ORACLE = f"""WITH producer AS ({duck_sql(fd.PRODUCER_FEED)}), participant_core_balance AS ({duck_sql(fd.CORE_FEED)}),
 participant_loan AS ({duck_sql(fd.LOANS_FEED)}), participant_life_fund_monthly AS ({duck_sql(fd.LIFE_FEED)}),
 pr AS (SELECT rep_tax_id_ssn,
@@ -761,18 +782,18 @@ m1 AS (SELECT plan_number, participant_id, source_cycle_date,
     sum(cash_value) AS core_cash_value_amount, sum(coalesce(ee_cash_value, 0)) AS ee_cash_value_amount,
     sum(coalesce(er_cash_value, 0)) AS er_cash_value_amount, sum(ytd_contributions) AS ytd_contributions,
     sum(brokerage_account_cash_value) AS sdba_cash_value_amount
-  FROM (SELECT participant_id, plan_number, coalesce(source_cycle_date, current_date - 1) AS source_cycle_date,
-          coalesce(cash_value_amount, 0) AS cash_value, coalesce(sdba_cash_value_amount, 0) AS brokerage_account_cash_value,
-          coalesce(ytd_contributions, 0.00) AS ytd_contributions,
-          CASE WHEN money_type_description = 'EE' THEN cash_value_amount END AS ee_cash_value,
-          CASE WHEN money_type_description = 'ER' THEN cash_value_amount END AS er_cash_value
+  FROM (SELECT participant_id, plan_number, coalesce(try_cast(source_cycle_date AS date), DATE '{AS_OF}' - 1) AS source_cycle_date,
+          coalesce({_money('cash_value_amount')}, 0) AS cash_value, coalesce({_money('sdba_cash_value_amount')}, 0) AS brokerage_account_cash_value,
+          coalesce({_money('ytd_contributions')}, 0.00) AS ytd_contributions,
+          CASE WHEN money_type_description = 'EE' THEN {_money('cash_value_amount')} END AS ee_cash_value,
+          CASE WHEN money_type_description = 'ER' THEN {_money('cash_value_amount')} END AS er_cash_value
         FROM participant_core_balance) x
   GROUP BY plan_number, participant_id, source_cycle_date),
 m2 AS (SELECT plan_number, participant_id, sum(coalesce(total_loan_balance, 0)) AS total_loan_balance FROM (
     SELECT coalesce(plan_number, '-9999') AS plan_number, coalesce(participant_id, '-9999') AS participant_id,
-      CASE WHEN source_system = 'PREMIER' THEN outstanding_principal_balance ELSE loan_balance END AS total_loan_balance
+      CASE WHEN source_system = 'PREMIER' THEN {_money('outstanding_principal_balance')} ELSE {_money('loan_balance')} END AS total_loan_balance
     FROM participant_loan) y GROUP BY plan_number, participant_id),
-m3 AS (SELECT plan_number, sum(coalesce(cash_value_amt, 0)) AS life_cash_value_amount_monthly, participant_id,
+m3 AS (SELECT plan_number, sum(coalesce({_money('cash_value_amt')}, 0)) AS life_cash_value_amount_monthly, participant_id,
     valuation_date AS life_valuation_date FROM participant_life_fund_monthly GROUP BY plan_number, valuation_date, participant_id),
 m AS (SELECT pr.rep_tax_id_ssn, pr.plan_number, pr.producer_role_code, pr.producer_role_type, pr.participant_id,
     m1.source_cycle_date, m1.core_cash_value_amount, m1.ee_cash_value_amount, m1.er_cash_value_amount, m1.ytd_contributions,
@@ -795,7 +816,7 @@ SELECT coalesce(rep_tax_id_ssn, '-9999') AS rep_tax_id_ssn, coalesce(plan_number
   cast(cast(coalesce(life_cash_value_amount_monthly, 0) AS decimal(17,2)) AS double) AS life_cash_value_amount_monthly,
   life_valuation_date,
   cast(cast(coalesce(ytd_contributions, 0) AS decimal(17,2)) AS double) AS ytd_contributions,
-  cast(coalesce(source_cycle_date, current_date - 1) AS varchar) AS source_cycle_date
+  cast(source_cycle_date AS varchar) AS source_cycle_date
 FROM m"""
 
 
@@ -803,7 +824,7 @@ FROM m"""
 def q_producer_balance(spark, sf):
     return for_compare(producer_balance(
         spark_sql(spark, sf, fd.PRODUCER_FEED), spark_sql(spark, sf, fd.CORE_FEED),
-        spark_sql(spark, sf, fd.LOANS_FEED), spark_sql(spark, sf, fd.LIFE_FEED)))
+        spark_sql(spark, sf, fd.LOANS_FEED), spark_sql(spark, sf, fd.LIFE_FEED), as_of=AS_OF))
 
 
 # ---------------------------------------------------------------- T7-T9 ----
@@ -830,7 +851,7 @@ WHERE rn = 1 AND NOT coalesce(plan_number BETWEEN '000001' AND '000040', false)
 
 @register("raw_load", _RAW_ORACLE)
 def q_raw_load(spark, sf):
-    staging = spark_sql(spark, sf, fd.STAGING_FEED)
+    staging = spark_sql(spark, sf, fd.STAGING_FEED, spread=True)
     base = scratch_path(spark, "raw")
     out = raw_load.staging_to_raw(spark, staging, _RAW_PARAMS, "20240131", base, audit_path=f"{base}/_audit")
     return spark.read.parquet(out["valid"])
@@ -897,3 +918,8 @@ def _select_names(sql: str) -> list[str]:
 _PLAN_COLS = {k: _select_names(v) for k, v in plan_binding.FEEDS.items()}
 register("plan", plan_binding.oracle_sql(_PLAN_COLS))(plan_binding.q_plan)
 register("plan_allocated", plan_binding.oracle_sql(_PLAN_COLS, allocated=True))(plan_binding.q_plan_allocated)
+
+from ledgerflow.bindings import jobs  # noqa: E402
+
+QUERIES.update(jobs.QUERIES)
+ORACLES.update(jobs.ORACLES)
