@@ -9,6 +9,7 @@ Both stay splittable, so a large segment is read by many tasks.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,46 @@ def fixed_width_from_lines(lines: DataFrame, layout: Mapping[str, Mapping], valu
     )
 
 
+# Byte-order marks.
+BYTE_ORDER_MARKS = {b"\xff\xfe": "UTF-16LE", b"\xfe\xff": "UTF-16BE"}
+
+
+def _utf16_files(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files under ``path`` by byte order: two bytes of each are read.  A file
+    without a mark is big-endian, as ``UTF-16`` means it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[str, list[str]] = {}
+    for one in [path] if isinstance(path, str) else path:
+        pattern = jvm.org.apache.hadoop.fs.Path(one)
+        fs = pattern.getFileSystem(conf)
+        listed = [st for top in fs.globStatus(pattern) or [] for st in (fs.listStatus(top.getPath()) if top.isDirectory() else [top])]
+        for st in listed:
+            if st.isDirectory() or st.getPath().getName().startswith(("_", ".")):
+                continue
+            stream = fs.open(st.getPath())
+            try:
+                head = bytes(max(stream.read(), 0) for _ in range(2)) if st.getLen() >= 2 else b""
+            finally:
+                stream.close()
+            found.setdefault(BYTE_ORDER_MARKS.get(head, "UTF-16BE"), []).append(st.getPath().toString())
+    return found
+
+
+def _encoded_lines(spark: SparkSession, path: str | list[str], encoding: str, extra: list[Column]) -> DataFrame:
+    """Lines of files in ``encoding`` with one record separator.  The text source cuts
+    files at the separator's bytes, so they stay splittable, and leaves the
+    bytes alone; they are decoded here.  In UTF-16 a separator's bytes can also
+    lie across two characters; the piece they would cut has an odd length and
+    fails the query."""
+    raw = spark.read.option("encoding", encoding).option("lineSep", "\n").text(path)
+    value = F.col("value").cast("binary")
+    if encoding.startswith("UTF-16"):
+        value = F.when(F.octet_length(value) % 2 == 0, value).otherwise(
+            F.raise_error(F.lit("a line separator's bytes lie across two UTF-16 characters")).cast("binary"))
+    text = F.regexp_replace(F.decode(value, encoding), "^\uFEFF|\r$", "")
+    return raw.select(text.alias("value"), *extra)
+
+
 def read_fixed_width(
     spark: SparkSession,
     path: str | list[str],
@@ -95,21 +136,20 @@ def read_fixed_width(
 ) -> DataFrame:
     """Fixed-width scan.  ``layout`` is ``{column: {start, end, type}}``, 1-based inclusive.
 
-    UTF-8 files go through the splittable text source.  The text source
-    ignores an ``encoding`` option, so UTF-16 files are read whole with the
-    binary-file source, decoded, and split into lines; each such file must
-    fit one task (D16).
+    Every encoding goes through the splittable text source; ``UTF-16`` takes
+    the byte order from each file's mark.  Blank lines are rows of empty fields.
     """
-    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        lines = spark.read.text(path)
-        if with_file_name:
-            lines = lines.withColumn("file_segment", F.col("_metadata.file_name"))
+    name = encoding.upper().replace("_", "-")
+    extra = [F.col("_metadata.file_name").alias("file_segment")] if with_file_name else []
+    if name in ("UTF-8", "UTF8"):
+        lines = spark.read.text(path).select("value", *extra)
+    elif name in ("UTF-16", "UTF16"):
+        parts = [_encoded_lines(spark, files, order, extra) for order, files in sorted(_utf16_files(spark, path).items())]
+        if not parts:
+            raise FileNotFoundError(f"no files under {path}")
+        lines = reduce(lambda a, b: a.unionByName(b), parts)
     else:
-        blobs = spark.read.format("binaryFile").load(path)
-        text = F.decode(F.col("content"), encoding)
-        exploded = F.explode(F.split(F.regexp_replace(text, "\r\n", "\n"), "\n"))
-        extra = [F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_segment")] if with_file_name else []
-        lines = blobs.select(exploded.alias("value"), *extra).where(F.col("value") != "")
+        lines = _encoded_lines(spark, path, name, extra)
     return fixed_width_from_lines(lines, layout)
 
 
