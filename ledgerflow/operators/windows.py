@@ -40,54 +40,33 @@ def latest_per_key(
     return out.withColumn(rank_col, F.lit(1)) if rank_col else out
 
 
-def _on(left: DataFrame, right: DataFrame, lcols: Sequence[str], rcols: Sequence[str]) -> Column:
-    cond = None
-    for a, b in zip(lcols, rcols):
-        c = left[a].eqNullSafe(right[b])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def top_ranks(
     df: DataFrame, keys: Sequence[str], order_col: str, n: int = 2, dense: bool = False
 ) -> DataFrame:
     """Rows with ``rank() <= n`` (or ``dense_rank() <= n``) by ``order_col``
     desc (NULLs last).
 
-    Built only from combinable aggregates and key joins, so neither a hot
-    key nor a high-cardinality order column is gathered into one task:
-    rows are counted per (key, value); ``n`` rounds then take each key's
-    next-highest value below the previous one with ``max(struct(value,
-    count))`` and carry the running row count that gives its rank; the
-    NULL group ranks after all values.  The kept (key, value) pairs select
-    the rows with a semi join.
+    Rows are counted per (key, value), a combinable aggregate.  Of those
+    counts each key's ``n`` highest values are taken with a limited window:
+    every task keeps at most ``n`` per key before the shuffle, so neither a
+    hot key nor a high-cardinality order column is gathered.  A running
+    sum over the ``n`` gives the ranks; the NULL group ranks after all
+    values.  The kept (key, value) pairs select the rows with a semi join.
     """
     keys = list(keys)
     kk = [f"_k{i}" for i in range(len(keys))]
     counts = df.groupBy(*[q(k).alias(c) for k, c in zip(keys, kk)], q(order_col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
-    values = counts.where(F.col("_v").isNotNull())
-    picks = []
-    state = None
-    for i in range(1, n + 1):
-        if state is None:
-            cand = values.withColumn("_pcum", F.lit(0).cast("long"))
-        else:
-            st = state.select(*[F.col(c).alias("s" + c) for c in kk], F.col("_d").alias("_lv"), F.col("_cum").alias("_pcum"))
-            cand = values.join(st, _on(values, st, kk, ["s" + c for c in kk]), "inner").where(F.col("_v") < F.col("_lv"))
-        top = cand.groupBy(*kk, "_pcum").agg(F.max(F.struct(F.col("_v").alias("v"), F.col("_c").alias("c"))).alias("_t"))
-        top = top.select(*kk, F.col("_t.v").alias("_d"), (F.col("_pcum") + F.col("_t.c")).alias("_cum"),
-                         (F.lit(i) if dense else F.col("_pcum") + 1).alias("_rank"))
-        picks.append(top.where(F.col("_rank") <= n).select(*kk, F.col("_d").alias("_v")))
-        state = top
+    falling = Window.partitionBy(*kk).orderBy(F.desc("_v"))
+    top = counts.where(F.col("_v").isNotNull()).withColumn("_i", F.row_number().over(falling)).where(F.col("_i") <= n)
+    before = F.sum("_c").over(falling.rowsBetween(Window.unboundedPreceding, -1))
+    rank = F.col("_i") if dense else F.coalesce(before, F.lit(0)) + 1
+    kept = top.withColumn("_rank", rank).where(F.col("_rank") <= n).select(*kk, "_v")
     totals = counts.groupBy(*kk).agg(
         F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))).alias("_nn"), F.count("_v").alias("_dv"),
         F.max(F.col("_v").isNull()).alias("_has_null"))
     null_rank = 1 + (F.col("_dv") if dense else F.coalesce(F.col("_nn"), F.lit(0)))
-    picks.append(totals.where(F.col("_has_null") & (null_rank <= n)).select(*kk, F.lit(None).cast(df.schema[order_col].dataType).alias("_v")))
-    kept = picks[0]
-    for p in picks[1:]:
-        kept = kept.unionByName(p)
+    kept = kept.unionByName(totals.where(F.col("_has_null") & (null_rank <= n)).select(*kk, F.lit(None).cast(df.schema[order_col].dataType).alias("_v")))
     cond = null_safe_on(df, kept, [(k, c) for k, c in zip(keys, kk)]) & df[order_col].eqNullSafe(kept["_v"])
     return df.join(kept, cond, "left_semi")
 
