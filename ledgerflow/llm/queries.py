@@ -13,6 +13,7 @@ import public_tokenizers
 
 from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, multi_index, near_dup, secret_scan, suffix_levels, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
+from ledgerflow.llm.oracles import ORACLES  # noqa: F401  (with QUERIES, what the package registers)
 from ledgerflow.session import scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -117,4 +118,3 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
-ORACLES: dict[str, str] = {}
