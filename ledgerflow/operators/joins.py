@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.cleansing import NULL_KEY
 from ledgerflow.operators.copies import q
 
-# A dimension side is broadcast only when a bounded probe proves it has at
+# A dimension side is broadcast only when counting it proves that it has at
 # most this many rows and about this many bytes; otherwise it stays a
 # shuffle join (AQE may still switch it at run time from measured sizes).
 BROADCAST_MAX_ROWS = 1_000_000
@@ -19,10 +19,10 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when a probe of at most ``max_rows + 1`` rows
-    shows it has at most ``max_rows`` rows and ``max_bytes`` of values."""
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and
+    ``max_bytes`` of values: one combinable aggregate, one row to the driver."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(8))
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
     return F.broadcast(df) if small else df
 

@@ -58,6 +58,7 @@ def flag_duplicates(
     base = df.select(*[q(c) for c in cols])
     winners = base.groupBy(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
         F.min(order_struct(base, list(order_by), exclude=keys)).alias("_w"))
+    winners = winners.hint("merge")  # one row per key: its size follows the data, so no estimate may broadcast it
     joined = base.join(winners, null_safe_on(base, winners, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left")
     is_first = F.coalesce(order_struct(base, list(order_by), exclude=keys).eqNullSafe(F.col("_w")), F.lit(False))
     remark = F.lit(REMARK_DUPLICATE)
