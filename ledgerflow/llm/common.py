@@ -7,7 +7,9 @@ executor costs the tasks that are running, not the work already committed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.session import scratch_path
 
-#: Text bytes handled by one numpy step inside a task; working arrays are a
-#: small multiple of it, whatever the size of the Arrow batch.
-CHUNK_BYTES = 2 << 20
+#: Text bytes handled by one numpy step inside a task; working arrays take
+#: about a hundred times as much, whatever the size of the Arrow batch.
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +62,29 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             start = end
 
 
+def give_back() -> None:
+    """Return memory that this Python worker holds but does not use: workers
+    outlive their tasks, and what the last one needed is not the next one's."""
+    SpanHash.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A map task that gives memory back when it ends."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def binary_array(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Binary column whose value i is ``flat[bounds[i]:bounds[i+1]]`` (bytes)."""
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(flat).tobytes())])
@@ -91,10 +116,14 @@ class SpanHash:
     _powers = np.ones(1, np.uint64)
     _inverse = np.ones(1, np.uint64)
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._powers = cls._inverse = np.ones(1, np.uint64)
+
     @classmethod
     def _grow(cls, n: int) -> None:
         if len(cls._powers) <= n:
-            size = 1 << (n + 1).bit_length()
+            size = n + n // 4 + 64
             def powers(base: int) -> np.ndarray:
                 return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, base, np.uint64))])
             cls._powers, cls._inverse = powers(cls.BASE), powers(pow(cls.BASE, -1, 1 << 64))

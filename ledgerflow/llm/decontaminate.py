@@ -192,7 +192,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 own = [batch.column(n) for n in names] + ([] if last else [batch.column("raw")])
                 yield pa.RecordBatch.from_arrays([*own, pa.array(counts, pa.int64()), pa.array(ranges, CARRIED), pa.array(owners, pa.list_(pa.string()))], [*names, *([] if last else ["raw"]), "n_words", "hits", "items"])
 
-        rows = rows.mapInArrow(task, f"{schema}, {'' if last else 'raw binary, '}{state}")
+        rows = rows.mapInArrow(common.lean(task), f"{schema}, {'' if last else 'raw binary, '}{state}")
     return rows.select(*[F.col(n).alias(c) for n, c in zip(names, (id_col, *keep))], "n_words", "hits", "items")
 
 

@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,7 +80,7 @@ def subwords_by_order(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
             if 0 < k < order - 1:
                 inside &= ~gap[k:k + size]
         take = np.flatnonzero(inside)
-        out.append(((value[take] * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.int64) & (BUCKETS - 1), np.searchsorted(take, edges)))
+        out.append(((value[take] * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.int32) & np.int32(BUCKETS - 1), np.searchsorted(take, edges)))
     return out
 
 
@@ -207,7 +206,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
             buckets, bounds = subwords(piece.column("raw"))
             yield pa.RecordBatch.from_arrays([piece.column("id").cast(pa.string()), piece.column("label"), common.binary_array(buckets.astype("<u2").view(np.uint8), bounds * 2)], ["id", "label", "buckets"])
 
-    found = sorted(rows.mapInArrow(task, "id string, label string, buckets binary").collect(), key=lambda r: (r["id"], r["buckets"]))
+    found = sorted(rows.mapInArrow(common.lean(task), "id string, label string, buckets binary").collect(), key=lambda r: (r["id"], r["buckets"]))
     return train([np.frombuffer(r["buckets"], "<u2").astype(np.int64) for r in found], [r["label"] for r in found])
 
 
@@ -215,15 +214,16 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out_col: str
     """``docs`` with ``out_col``: struct of ``lang`` and calibrated ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang:string,score:double>")
-    def language(raw: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def language(raw: pa.Array) -> pa.Array:
         names, scores = [], []
-        batch = pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], ["raw"])
+        batch = pa.RecordBatch.from_arrays([raw], ["raw"])
         for piece in common.slices(iter([batch]), "raw"):
             lang, score = shared.value.predict(piece.column("raw"))
             names += lang
             scores.append(score)
-        return pd.DataFrame({"lang": pd.Series(names, dtype=object), "score": np.concatenate(scores) if scores else np.zeros(0)})
+        common.give_back()
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))], ["lang", "score"])
 
     return docs.withColumn(out_col, language(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
 

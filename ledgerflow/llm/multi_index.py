@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import common
 from ledgerflow.llm.common import stage
 
 #: Rows that the centroids are fitted on.
@@ -54,8 +55,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & F.coalesce(sound, F.lit(False)))
-    common = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("vector") == (common[0]["d"] if common else 0))
+    usual = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    return rows.where(F.size("vector") == (usual[0]["d"] if usual else 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -128,7 +129,7 @@ def _with_cells(rows: DataFrame, index: Index) -> DataFrame:
             cell = shared.value.cells(_matrix(batch.column("vector"))) if batch.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(cell, pa.int64())], ["vec_id", "vector", "cell"])
 
-    return rows.mapInArrow(task, "vec_id long, vector array<double>, cell long")
+    return rows.mapInArrow(common.lean(task), "vec_id long, vector array<double>, cell long")
 
 
 def _best(distance: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -185,7 +186,7 @@ def _enough(placed: DataFrame, index: Index, asked: dict[int, np.ndarray], k: in
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64()), pa.array([f[3] for f in found], pa.int64())], ["q", "score", "vec_id", "cell"])
 
-    near = placed.mapInArrow(task, "q int, score double, vec_id long, cell long")
+    near = placed.mapInArrow(common.lean(task), "q int, score double, vec_id long, cell long")
     near = near.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id", "cell"))), 1, k).alias("near")).collect()
     needed = []
     for r in near:
@@ -224,7 +225,7 @@ def search(placed: DataFrame, index: Index, queries: DataFrame, k: int = 10, buc
             yield pa.RecordBatch.from_arrays([batch.column("cell"), pa.array((batch.column("hash").to_numpy().view(np.uint64) % split.astype(np.uint64)).astype(np.int32)), pa.array(np.zeros(len(cell), np.int8)), batch.column("vec_id"), batch.column("vector")], ["cell", "bucket", "kind", "vec_id", "vector"])
 
     kinds = "cell long, bucket int, kind byte, vec_id long, vector array<double>"
-    both = placed.withColumn("hash", F.xxhash64("vec_id")).mapInArrow(entries, kinds).unionByName(queries.select("vec_id", "vector").mapInArrow(probes, kinds))
+    both = placed.withColumn("hash", F.xxhash64("vec_id")).mapInArrow(common.lean(entries), kinds).unionByName(queries.select("vec_id", "vector").mapInArrow(common.lean(probes), kinds))
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, list[tuple[float, int]]] = {}
@@ -257,6 +258,6 @@ def search(placed: DataFrame, index: Index, queries: DataFrame, k: int = 10, buc
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())], ["query_id", "vec_id", "score"])
 
-    near = both.repartition("cell", "bucket").sortWithinPartitions("cell", "bucket", "kind").mapInArrow(rerank, "query_id long, vec_id long, score double")
+    near = both.repartition("cell", "bucket").sortWithinPartitions("cell", "bucket", "kind").mapInArrow(common.lean(rerank), "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -66,7 +66,7 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists], ["doc_id", "n_shingles", "digest", "signature"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw"))
-    return rows.mapInArrow(task, "doc_id long, n_shingles long, digest binary, signature array<int>")
+    return rows.mapInArrow(common.lean(task), "doc_id long, n_shingles long, digest binary, signature array<int>")
 
 
 def _listed(postings: DataFrame, matches: int) -> DataFrame:
@@ -191,7 +191,7 @@ def confirmed_links(members: DataFrame, size: int = SHINGLE) -> DataFrame:
             yield links()
 
     rows = members.select("bundle", "block", "cid", "known", "part", "raw")
-    return rows.repartition("bundle", "block").sortWithinPartitions("bundle", "block").mapInArrow(task, "a long, b long")
+    return rows.repartition("bundle", "block").sortWithinPartitions("bundle", "block").mapInArrow(common.lean(task), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -18,8 +18,8 @@ import pyarrow as pa
 
 from ledgerflow.llm import common, pretoken
 
-#: Pieces remembered by one Python worker before its cache is emptied.
-CACHE_PIECES = 1_000_000
+#: Pieces remembered by one task before its cache is emptied.
+CACHE_PIECES = 300_000
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,9 +40,10 @@ class PieceEncoder:
 
     def __init__(self, encode: Callable[[list[bytes]], Iterable[Iterable[int]]], cache: int = CACHE_PIECES):
         self.encode, self.cache = encode, cache
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all pieces; tasks do so when they end, for what runs next."""
         self.index: dict[int, int] = {}
         self.flat, self.starts = array("I"), array("q", [0])
 
@@ -59,7 +60,7 @@ class PieceEncoder:
         keys = common.SpanHash(raw).spans(at[:-1], at[1:])
         codes, distinct = pd.factorize(keys)
         if len(self.index) > self.cache:
-            self._clear()
+            self.clear()
         names = distinct.tolist()
         known = [self.index.get(k, -1) for k in names]
         new = [k for k, v in enumerate(known) if v < 0]

@@ -95,7 +95,7 @@ def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = suffix_levels.keyed(table(spark, sf_dir, "documents"))
     covered = stage(suffix_levels.repeats(docs), "suffix-covers")
-    with suffix_levels.runtime_filters(spark):
+    with suffix_levels.settings(spark):
         kept = suffix_levels.kept_bytes(docs, covered)
         kept = stage(kept.select("doc_id", "crc", F.size("ranges").cast("long").alias("runs"), F.octet_length("kept").alias("left"), F.sha2("kept", 256).alias("sha")).dropDuplicates(["doc_id", "crc"]), "suffix-kept")
     # documents that lose nothing are digested where they are read

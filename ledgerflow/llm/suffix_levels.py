@@ -44,16 +44,20 @@ GRAM = 64
 #: Batches that a whole table is added in.
 BATCHES = 2
 #: Contexts of one gram that one task compares; classes beyond go by window hashes.
-HOT_CONTEXTS = 8192
-#: Contexts compared at once inside a task.
-CHUNK_CONTEXTS = 4096
+HOT_CONTEXTS = 4096
+#: Contexts compared at once inside a task (a class of more is one step).
+CHUNK_CONTEXTS = 1024
+#: Text bytes of one step: every byte takes about a hundred bytes of arrays.
+STEP_BYTES = 512 << 10
 
 
 @contextmanager
-def runtime_filters(spark: SparkSession):
+def settings(spark: SparkSession):
     """Let Spark filter a scan by a bloom filter of the join's other side,
-    whose size it bounds itself, whatever the scan's size."""
+    whose size it bounds itself, whatever the scan's size; and hand texts to
+    Python in batches of fewer rows."""
     wanted = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
         "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64MB",
@@ -100,7 +104,7 @@ def entries(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     place, low, high`` (the context's bounds in the text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in common.slices(batches, "raw"):
+        for piece in common.slices(batches, "raw", STEP_BYTES):
             at = common.offsets(piece.column("raw"))
             raw = common.data(piece.column("raw"), at)
             at = at - at[0]
@@ -118,7 +122,7 @@ def entries(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                 [pa.array((head ^ np.uint64(1 << 63)).view(np.int64)), pa.array(grams.view(np.int64)), pa.array(context.view(np.int64)), piece.column("doc_id").take(pa.array(row)), piece.column("crc").take(pa.array(row)), pa.array((found - at[row]).astype(np.int32)), pa.array((low - at[row]).astype(np.int32)), pa.array((high - at[row]).astype(np.int32))],
                 ["head", "gram", "context", "doc_id", "crc", "place", "low", "high"])
 
-    return rows.where(F.octet_length("raw") >= length).mapInArrow(task, "head long, gram long, context long, doc_id long, crc long, place int, low int, high int")
+    return rows.where(F.octet_length("raw") >= length).mapInArrow(common.lean(task), "head long, gram long, context long, doc_id long, crc long, place int, low int, high int")
 
 
 ENTRY = ["head", "gram", "context", "doc_id", "crc", "place", "low", "high"]
@@ -164,7 +168,7 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
     kinds = "head long, gram long, context long, doc_id long, crc long, place int, low int, high int, mates long, contexts long, first boolean, edge boolean"
     # the range goes down to single entries, so a class of any size spreads over tasks
     rows = rows.select(*ENTRY).repartitionByRange("head", "gram", "context", "doc_id", "place").sortWithinPartitions("head", "gram", "context", "doc_id", "place")
-    return stage(rows.mapInArrow(task, kinds), "suffix-level", path)
+    return stage(rows.mapInArrow(common.lean(task), kinds), "suffix-level", path)
 
 
 @dataclass(frozen=True)
@@ -222,7 +226,7 @@ def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
     places = stage(found.groupBy("doc_id", "crc").agg(F.collect_set(F.struct("place", "gram", "low", "high")).alias("places")), "suffix-places")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in common.slices(batches, "raw"):
+        for piece in common.slices(batches, "raw", STEP_BYTES):
             at = common.offsets(piece.column("raw"))
             raw = common.data(piece.column("raw"), at)
             at = at - at[0]
@@ -236,7 +240,7 @@ def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
                 [piece.column("doc_id").take(pa.array(row)), piece.column("crc").take(pa.array(row)), flat.field("gram"), flat.field("place"), flat.field("low"), common.binary_array(raw[common.ragged(at[row] + low, lengths)], np.concatenate([[0], np.cumsum(lengths)]))],
                 ["doc_id", "crc", "gram", "place", "low", "raw"])
 
-    return _with_text(docs, places).select("doc_id", "crc", "raw", "places").mapInArrow(task, CONTEXT)
+    return _with_text(docs, places).select("doc_id", "crc", "raw", "places").mapInArrow(common.lean(task), CONTEXT)
 
 
 def _window_keys(piece: pa.RecordBatch, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,7 +294,7 @@ def compared(found: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
             twice[order[:-1][same]] = True
             yield _covers(piece, row[twice], start[twice], length)
 
-        for piece in common.slices(batches, "raw"):
+        for piece in common.slices(batches, "raw", STEP_BYTES):
             held.append(piece)
             rows += piece.num_rows
             if rows >= CHUNK_CONTEXTS:
@@ -304,7 +308,7 @@ def compared(found: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
         if rows:
             yield from resolve(pa.Table.from_batches(held))
 
-    return found.repartition("gram").sortWithinPartitions("gram").mapInArrow(task, COVER)
+    return found.repartition("gram").sortWithinPartitions("gram").mapInArrow(common.lean(task), COVER)
 
 
 def compared_by_windows(docs: DataFrame, found: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -313,7 +317,7 @@ def compared_by_windows(docs: DataFrame, found: DataFrame, length: int = LENGTH,
 
     def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a window reaches half of what it has besides the gram on one side at least
-        for piece in common.slices(batches, "raw"):
+        for piece in common.slices(batches, "raw", STEP_BYTES):
             at = common.offsets(piece.column("raw"))
             raw = common.data(piece.column("raw"), at)
             at = at - at[0]
@@ -326,16 +330,16 @@ def compared_by_windows(docs: DataFrame, found: DataFrame, length: int = LENGTH,
                 yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("crc"), own.column("gram"), own.column("place"), pa.array(key.view(np.int64))], ["doc_id", "crc", "gram", "place", "key"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in common.slices(batches, "raw", common.CHUNK_BYTES // 4):
+        for piece in common.slices(batches, "raw", STEP_BYTES // 2):
             keys, row, start = _window_keys(piece, length, gram)
             owner = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), piece.column("doc_id").take(owner), piece.column("crc").take(owner), pa.array(start.astype(np.int32))], ["key", "doc_id", "crc", "start"])
 
     around = stage(contexts(docs, found), "suffix-hot")
-    sides = around.mapInArrow(halves, "doc_id long, crc long, gram long, place int, key long")
+    sides = around.mapInArrow(common.lean(halves), "doc_id long, crc long, gram long, place int, key long")
     shared = sides.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     left = sides.join(shared, "key").select("doc_id", "crc", "gram", "place").distinct()
-    rows = stage(around.join(left, ["doc_id", "crc", "gram", "place"], "left_semi").mapInArrow(windows, "key long, doc_id long, crc long, start int"), "suffix-windows")
+    rows = stage(around.join(left, ["doc_id", "crc", "gram", "place"], "left_semi").mapInArrow(common.lean(windows), "key long, doc_id long, crc long, start int"), "suffix-windows")
     twice = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     return rows.join(twice, "key").select("doc_id", "crc", "start", (F.col("start") + length).alias("end"))
 
@@ -345,14 +349,15 @@ def repeats(docs: DataFrame, batches: int = BATCHES, length: int = LENGTH, gram:
     (start, end) in any order, which may overlap."""
     spark = docs.sparkSession
     family = SuffixFamily(spark, length, gram)
-    for k in range(batches):
-        family.add(docs.where(F.pmod(F.xxhash64("doc_id", "crc"), F.lit(batches)) == k))
-    found = family.matches()
+    with settings(spark):
+        for k in range(batches):
+            family.add(docs.where(F.pmod(F.xxhash64("doc_id", "crc"), F.lit(batches)) == k))
+        found = family.matches()
     if len(family.levels) > 1:
         found = stage(found, "suffix-matches")
     whole = found.where((F.col("mates") > 1) & (F.col("high") - F.col("low") >= length)).select("doc_id", "crc", F.col("low").alias("start"), F.col("high").alias("end"))
     unlike = found.where("contexts > 1 and first")
-    with runtime_filters(spark):
+    with settings(spark):
         covers = whole.unionByName(stage(compared(contexts(docs, unlike.where(F.col("contexts") <= hot)), length, gram), "suffix-compared"))
         many = unlike.where(F.col("contexts") > hot)
         if not many.isEmpty():
@@ -365,7 +370,7 @@ def kept_bytes(docs: DataFrame, covered: DataFrame) -> DataFrame:
     runs (start, end), ascending, and what is left."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in common.slices(batches, "raw"):
+        for piece in common.slices(batches, "raw", STEP_BYTES):
             at = common.offsets(piece.column("raw"))
             raw = common.data(piece.column("raw"), at)
             at = at - at[0]
@@ -390,4 +395,4 @@ def kept_bytes(docs: DataFrame, covered: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("crc"), spans, common.binary_array(raw[~gone], before[at])], ["doc_id", "crc", "ranges", "kept"])
 
     rows = _with_text(docs, covered).select("doc_id", "crc", "raw", "covers")
-    return rows.mapInArrow(task, "doc_id long, crc long, ranges array<struct<start:int,end:int>>, kept binary")
+    return rows.mapInArrow(common.lean(task), "doc_id long, crc long, ranges array<struct<start:int,end:int>>, kept binary")

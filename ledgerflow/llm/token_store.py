@@ -166,12 +166,13 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int | N
                 if held >= BLOCK_IDS:
                     yield block()
                     seq, names, counts, parts, held = seq + 1, [], [], [], 0
+        encoder.clear()
         if names:
             yield block()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw"))
     rows = rows.repartitionByRange("id", F.crc32("raw")).sortWithinPartitions("id", F.crc32("raw"))
-    rows.mapInArrow(blocks, BLOCK_SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    rows.mapInArrow(common.lean(blocks), BLOCK_SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
     return read_blocks(spark, path)
 
 
@@ -203,4 +204,4 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                     [pa.array([row["part"]] * n, pa.int32()), pa.array([row["seq"]] * n, pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(bounds[:-1]), common.binary_array(ids.view(np.uint8), bounds * 4)],
                     ["part", "seq", "doc_id", "before", "ids"])
 
-    return blocks.mapInArrow(documents, "part int, seq int, doc_id bigint, before bigint, ids binary")
+    return blocks.mapInArrow(common.lean(documents), "part int, seq int, doc_id bigint, before bigint, ids binary")
