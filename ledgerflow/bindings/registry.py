@@ -116,7 +116,7 @@ def _duck_date(c: str) -> str:
 @register("date_formats", with_feed(fd.DATES_FEED, f"""SELECT o_orderkey, batch_date, o_orderpriority,
   {_duck_date('order_date')} AS order_date, {_duck_date('promise_dt')} AS promise_dt FROM f"""))
 def q_date_formats(spark, sf):
-    return dates.normalize_date_columns(spark_sql(spark, sf, fd.DATES_FEED))
+    return dates.normalize_date_columns(spark_sql(spark, sf, fd.DATES_FEED, spread=True))
 
 
 # ---------------------------------------------------------------- C9 -------
@@ -161,7 +161,7 @@ def q_overpunch(spark, sf):
   CASE l_linenumber WHEN 1 THEN '0' WHEN 2 THEN '0' ELSE cast(l_linenumber AS varchar) END AS rev_code
 FROM lineitem""")
 def q_txn_amounts(spark, sf):
-    df = amounts.parse_txn_amounts(spark_sql(spark, sf, fd.TXN_AMOUNTS_FEED))
+    df = amounts.parse_txn_amounts(spark_sql(spark, sf, fd.TXN_AMOUNTS_FEED, spread=True))
     return df.select(
         "l_orderkey", "l_linenumber",
         *[F.col(c).try_cast(f"decimal({p},{s})").cast("double").alias(c)
@@ -183,23 +183,23 @@ r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 @register("dup_flag", _LI_CTE + f"""SELECT {', '.join(_LI_ALL)}, rn > 1 AS to_drop,
   CASE WHEN rn > 1 THEN 'duplicate record' END AS drop_record_remarks FROM r""")
 def q_dup_flag(spark, sf):
-    return quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED), _LI_KEYS, ["batch_date"])
+    return quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED, spread=True), _LI_KEYS, ["batch_date"])
 
 
 @register("split_valid", _LI_CTE + f"SELECT {', '.join(_LI_ALL)} FROM r WHERE rn = 1")
 def q_split_valid(spark, sf):
-    return quality.valid_rows(quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED), _LI_KEYS, ["batch_date"]))
+    return quality.valid_rows(quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED, spread=True), _LI_KEYS, ["batch_date"]))
 
 
 @register("split_rejected", _LI_CTE + f"""SELECT {', '.join(_LI_ALL)}, true AS to_drop,
   'duplicate record' AS drop_record_remarks FROM r WHERE rn > 1""")
 def q_split_rejected(spark, sf):
-    return quality.rejected_rows(quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED), _LI_KEYS, ["batch_date"]))
+    return quality.rejected_rows(quality.flag_duplicates(spark_sql(spark, sf, fd.LINEITEM_FEED, spread=True), _LI_KEYS, ["batch_date"]))
 
 
 @register("drop_duplicates", _LI_CTE + f"SELECT {', '.join(_LI_ALL)} FROM r WHERE rn = 1")
 def q_drop_duplicates(spark, sf):
-    return quality.drop_duplicates_by_key(spark_sql(spark, sf, fd.LINEITEM_FEED), _LI_KEYS, ["batch_date"])
+    return quality.drop_duplicates_by_key(spark_sql(spark, sf, fd.LINEITEM_FEED, spread=True), _LI_KEYS, ["batch_date"])
 
 
 # ---------------------------------------------------------------- Q2/Q3 ----
@@ -346,7 +346,7 @@ SELECT t.l_orderkey, t.l_linenumber, t.base_transaction_code, t.activity_type, t
 FROM t LEFT JOIN tt ON {_CASE_ON}
 WHERE tt.process_flag = 'Y'""")
 def q_rule_join(spark, sf):
-    t = spark_sql(spark, sf, fd.RULE_TXN_FEED)
+    t = spark_sql(spark, sf, fd.RULE_TXN_FEED, spread=True)
     tt = spark_sql(spark, sf, fd.TYPES_FEED).where(F.col("process_flag") == "Y")
     j = joins.rule_join(t, tt, how="inner")
     return j.select("l_orderkey", "l_linenumber", "base_transaction_code", "activity_type",
@@ -760,7 +760,7 @@ SELECT client_id, dpg.plan_number, dpg.div_sub_id, cast(NULL AS varchar) AS div_
   CASE WHEN len(ptd.st) = 1 AND ptd.st[1] = 'ALLOC' THEN 'N' WHEN len(ptd.st) = 0 THEN NULL ELSE 'Y' END AS plan_unallocated_flag
 FROM dpg LEFT JOIN ptd ON dpg.plan_number = ptd.plan_number AND dpg.div_sub_id = ptd.div_sub_id""")
 def q_div_sub(spark, sf):
-    return div_sub(spark_sql(spark, sf, fd.DIVISIONS_FEED), spark_sql(spark, sf, fd.ACCOUNTS_FEED), spark_sql(spark, sf, fd.DETAILS_FEED))
+    return div_sub(spark_sql(spark, sf, fd.DIVISIONS_FEED), spark_sql(spark, sf, fd.ACCOUNTS_FEED, spread=True), spark_sql(spark, sf, fd.DETAILS_FEED))
 
 
 # ---------------------------------------------------------------- T6 -------
@@ -823,7 +823,7 @@ FROM m"""
 @register("producer_balance", _PRODUCER_ORACLE)
 def q_producer_balance(spark, sf):
     return for_compare(producer_balance(
-        spark_sql(spark, sf, fd.PRODUCER_FEED), spark_sql(spark, sf, fd.CORE_FEED),
+        spark_sql(spark, sf, fd.PRODUCER_FEED), spark_sql(spark, sf, fd.CORE_FEED, spread=True),
         spark_sql(spark, sf, fd.LOANS_FEED), spark_sql(spark, sf, fd.LIFE_FEED), as_of=AS_OF))
 
 
@@ -862,7 +862,7 @@ def q_raw_load(spark, sf):
     "SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r\nWHERE rn > 1 OR") .replace(
     "AND NOT coalesce(client_id = 'NG'", "OR coalesce(client_id = 'NG'"))
 def q_raw_rejected(spark, sf):
-    staging = spark_sql(spark, sf, fd.STAGING_FEED)
+    staging = spark_sql(spark, sf, fd.STAGING_FEED, spread=True)
     base = scratch_path(spark, "raw")
     out = raw_load.staging_to_raw(spark, staging, _RAW_PARAMS, "20240131", base)
     return writers.read_partitioned(spark, out["rejected"], ["batch_date"]).drop("to_drop", "drop_record_remarks")
