@@ -133,8 +133,10 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
 
     Written with every entry: ``mates`` (entries of the same gram and context),
     ``contexts`` (unlike contexts of its gram), ``first`` (it stands for its
-    context) and ``edge``: its class touches an end of the task's range, so the
-    class may go on in the next task and the counts are partial.
+    context) and ``edge``: it is the first entry of the first or the last run of
+    equal contexts in its task's range, so run and class may go on in the next
+    task and its counts are partial.  All other entries' counts tell enough:
+    a longer run has mates in its own task, and a class of several runs contexts.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +149,7 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
             new_context = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))
             run, cls = np.cumsum(new_context) - 1, np.cumsum(new_gram) - 1
             mates, contexts = np.bincount(run)[run], np.bincount(cls[new_context])[cls]
-            edge = (first_edge & (cls == 0)) | (last_edge & (cls == cls[-1]))
+            edge = new_context & ((first_edge & (run == 0)) | (last_edge & (run == run[-1])))
             out = part.append_column("mates", pa.array(mates, pa.int64())).append_column("contexts", pa.array(contexts, pa.int64()))
             out = out.append_column("first", pa.array(new_context)).append_column("edge", pa.array(edge))
             return out.combine_chunks().to_batches()[0]
@@ -204,9 +206,9 @@ class SuffixFamily:
             for level in self.levels:
                 rows = level.rows.select(*ENTRY) if rows is None else rows.unionByName(level.rows.select(*ENTRY))
             scanned = merge_scan(rows, scratch_path(self.spark, "suffix-all"))
-        cut = scanned.where("edge")
-        runs = cut.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("mates"))
-        classes = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"))
+        cut = scanned.where("edge")  # two entries a task at most
+        runs = cut.groupBy("gram", "context").agg(F.sum("mates").alias("mates"))
+        classes = cut.groupBy("gram").agg(F.greatest(F.max("contexts"), F.count_distinct("context")).alias("contexts"))
         mended = cut.drop("mates", "contexts").join(runs, ["gram", "context"]).join(classes, "gram")
         both = scanned.where("not edge").drop("edge").unionByName(mended.drop("edge"))
         return both.where("mates > 1 or contexts > 1")
