@@ -137,6 +137,9 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
     equal contexts in its task's range, so run and class may go on in the next
     task and its counts are partial.  All other entries' counts tell enough:
     a longer run has mates in its own task, and a class of several runs contexts.
+    ``open`` holds for all entries of a class that touches an end of the range:
+    a class of several tasks touches one in each, so all its entries have it.
+    ``own`` is the task's count of contexts, on one edge entry of each open class.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +153,13 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
             run, cls = np.cumsum(new_context) - 1, np.cumsum(new_gram) - 1
             mates, contexts = np.bincount(run)[run], np.bincount(cls[new_context])[cls]
             edge = new_context & ((first_edge & (run == 0)) | (last_edge & (run == run[-1])))
+            outer = np.flatnonzero(edge)
+            outer = outer[np.unique(cls[outer], return_index=True)[1]]
+            own = np.zeros(len(gram), np.int64)
+            own[outer] = contexts[outer]
+            open_class = (first_edge & (cls == 0)) | (last_edge & (cls == cls[-1]))
             out = part.append_column("mates", pa.array(mates, pa.int64())).append_column("contexts", pa.array(contexts, pa.int64()))
-            out = out.append_column("first", pa.array(new_context)).append_column("edge", pa.array(edge))
+            out = out.append_column("first", pa.array(new_context)).append_column("edge", pa.array(edge)).append_column("open", pa.array(open_class)).append_column("own", pa.array(own))
             return out.combine_chunks().to_batches()[0]
 
         for batch in batches:
@@ -167,7 +175,7 @@ def merge_scan(rows: DataFrame, path: str) -> DataFrame:
         if held is not None and held.num_rows:
             yield flagged(held, not opened, True)
 
-    kinds = "head long, gram long, context long, doc_id long, crc long, place int, low int, high int, mates long, contexts long, first boolean, edge boolean"
+    kinds = "head long, gram long, context long, doc_id long, crc long, place int, low int, high int, mates long, contexts long, first boolean, edge boolean, open boolean, own long"
     # the range goes down to single entries, so a class of any size spreads over tasks
     rows = rows.select(*ENTRY).repartitionByRange("head", "gram", "context", "doc_id", "place").sortWithinPartitions("head", "gram", "context", "doc_id", "place")
     return stage(rows.mapInArrow(common.lean(task), kinds), "suffix-level", path)
@@ -198,7 +206,7 @@ class SuffixFamily:
 
     def matches(self) -> DataFrame:
         """Entries with equal grams elsewhere, over all levels: ENTRY, ``mates``,
-        ``contexts``, ``first``."""
+        ``contexts`` (right where ``first`` holds), ``first``."""
         if len(self.levels) == 1:
             scanned = self.levels[0].rows
         else:
@@ -207,10 +215,13 @@ class SuffixFamily:
                 rows = level.rows.select(*ENTRY) if rows is None else rows.unionByName(level.rows.select(*ENTRY))
             scanned = merge_scan(rows, scratch_path(self.spark, "suffix-all"))
         cut = scanned.where("edge")  # two entries a task at most
-        runs = cut.groupBy("gram", "context").agg(F.sum("mates").alias("mates"))
-        classes = cut.groupBy("gram").agg(F.greatest(F.max("contexts"), F.count_distinct("context")).alias("contexts"))
-        mended = cut.drop("mates", "contexts").join(runs, ["gram", "context"]).join(classes, "gram")
-        both = scanned.where("not edge").drop("edge").unionByName(mended.drop("edge"))
+        runs = cut.groupBy("gram", "context").agg(F.sum("mates").alias("mates"), F.sum("own").alias("own"), F.count(F.lit(1)).alias("tasks"))
+        # a run of several tasks is a context of each of them
+        classes = runs.groupBy("gram").agg(F.sum(F.col("own") - F.col("tasks") + 1).alias("contexts"))
+        firsts = scanned.where("open and first and not edge").select(*ENTRY, "first", "mates")
+        firsts = firsts.unionByName(cut.select(*ENTRY, "first").join(runs.select("gram", "context", "mates"), ["gram", "context"]))
+        mended = stage(firsts.join(classes, "gram"), "suffix-border")
+        both = scanned.where("not (open and first)").select(*ENTRY, "first", "mates", "contexts").unionByName(mended)
         return both.where("mates > 1 or contexts > 1")
 
 

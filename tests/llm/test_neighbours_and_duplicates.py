@@ -136,6 +136,40 @@ def test_levels_batches_and_hot_classes_agree(spark, docs_of, batches, hot):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [12, 119, 120])
+def test_a_class_over_several_tasks_is_compared_as_one(spark, docs_of, hot):
+    """One line in 120 unlike contexts, sorted over several tasks with unlike
+    shares of it; two documents each have 400 bytes around it in common."""
+    rng = random.Random(11)
+
+    def prose(k):
+        return "".join(rng.choice("abcdefgh ") for _ in range(k))
+
+    pool = prose(60000)
+    at = np.arange(len(pool) - suffix_levels.GRAM + 1)
+    hashes = suffix_levels.common.SpanHash(np.frombuffer(pool.encode(), np.uint8).copy()).spans(at, at + suffix_levels.GRAM)
+    least = int(np.argmin(hashes))  # the anchor of nearly every window that holds it
+    line = pool[least:least + suffix_levels.GRAM]
+    texts = []
+    for _ in range(60):
+        shared = prose(170) + line + prose(170)
+        texts += [prose(250) + shared + prose(250) for _ in range(2)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = suffix_levels.keyed(docs_of(texts))
+        family = suffix_levels.SuffixFamily(spark)
+        family.add(docs)
+        gram = int(hashes[least].astype(np.int64))
+        assert {r["contexts"] for r in family.matches().where((F.col("gram") == gram) & F.col("first")).collect()} == {len(texts)}
+        covered = suffix_levels.repeats(docs, hot=hot)
+        got = {r["doc_id"]: len(r["kept"]) for r in suffix_levels.kept_bytes(docs, covered).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = {k: n - gone for k, (n, gone, _, _) in enumerate(brute_kept(texts)) if gone}
+    assert len(want) == len(texts) and got == want
+
+
 def test_levels_grow_geometrically(spark, docs_of):
     docs = suffix_levels.keyed(docs_of(passages(4, 12)))
     family, sizes = suffix_levels.SuffixFamily(spark), []
