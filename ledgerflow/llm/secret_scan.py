@@ -38,12 +38,13 @@ HEX = re.compile(r"[0-9a-f]+")
 #: The same matches as HEX with 24 or more characters, found faster.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: Where a credential is expected; group 1 is the value.
+#: Where a credential is expected; group 1 is the value, of any length (one
+#: class of characters, without going back, so matching stays linear).
 CONTEXTS = (
-    re.compile(r"""(?ai:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|credential|client_secret|auth_?token|private_?key))["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?([^\s"'`,;<>]{6,128})"""),
-    re.compile(r"""(?ai:[a-z][a-z0-9+.-]{1,16}://[^\s/:@]{1,64}):([^\s/@]{6,128})@"""),
-    re.compile(r"""(?ai:\b(?:bearer|basic))\x20+([A-Za-z0-9+/_.~=-]{6,256})"""),
-    re.compile(r"""--(?ai:password|passwd|token|secret)[\x20=]([^\s"'`,;<>]{6,128})"""),
+    re.compile(r"""(?ai:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|credential|client_secret|auth_?token|private_?key))["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?([^\s"'`,;<>]{6,}+)"""),
+    re.compile(r"""(?ai:[a-z][a-z0-9+.-]{1,16}://[^\s/:@]++):([^\s/@]{6,}+)@"""),
+    re.compile(r"""(?ai:\b(?:bearer|basic))\x20+([A-Za-z0-9+/_.~=-]{6,}+)"""),
+    re.compile(r"""--(?ai:password|passwd|token|secret)[\x20=]([^\s"'`,;<>]{6,}+)"""),
 )
 
 #: Rows of a QWERTY keyboard; a walk goes along a row either way.
@@ -165,6 +166,16 @@ class GuessCost:
             parts += [(base + a, base + b, kind) for a, b, kind in own]
         return total, parts
 
+    def reaches(self, value: str, threshold: float) -> bool:
+        """Whether the whole value costs ``threshold`` or more: costs of pieces
+        add up, so the first ones of a long value mostly tell."""
+        total = 0.0
+        for base in range(0, len(value), SCORED_AT_ONCE):
+            total += self._piece(value[base:base + SCORED_AT_ONCE])[0]
+            if total >= threshold:
+                return True
+        return False
+
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Matches of the three patterns: start, end, kind."""
@@ -185,7 +196,7 @@ def guess_spans(text: str, cost: GuessCost, threshold: float, taken: list[tuple[
                 for start, end, _ in taken:
                     covered[start:end] = b"\x01" * (end - start)
             a, b = m.span(1)
-            if 1 not in covered[a:b] and cost.segmentation(m[1])[0] >= threshold:
+            if 1 not in covered[a:b] and cost.reaches(m[1], threshold):
                 found.append((a, b, "guess"))
                 covered[a:b] = b"\x01" * (b - a)
     return found

@@ -93,6 +93,19 @@ def test_redaction(spark, docs_of):
     assert out[5].startswith("token:token:abcdefgh") and "abc123def" not in out[5]
 
 
+@pytest.mark.parametrize("length", [129, 257, 2000])
+def test_values_of_any_length_are_scored_and_redacted_whole(spark, docs_of, cost, length):
+    value = "".join(random.Random(length).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=length))
+    around = [("my passphrase: '", "' end"), ("see postgres://bob:", "@host/db"), (f"see postgres://{'bob' * 30}:", "@host/db"), ("Authorization: Bearer ", " end"), ("run --password ", " end")]
+    texts = [a + value + b for a, b in around]
+    for (a, _), text in zip(around, texts):
+        assert secret_scan.guess_spans(text, cost, secret_scan.MIN_LOG10_GUESSES, []) == [(len(a), len(a) + length, "guess")]
+        assert cost.reaches(value, secret_scan.MIN_LOG10_GUESSES) and not cost.reaches("a" * length, 20 * length)
+    docs = docs_of(texts)
+    out = secret_scan.redact(secret_scan.scan(docs, secret_scan.words_by_rank(queries.RANKS), out_col="_s"), "_s")
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {k: f"{a}[secret]{b}" for k, (a, b) in enumerate(around)}
+
+
 # ---- shards -------------------------------------------------------------------
 
 def test_op5_law_and_positions(spark, docs_of, save):
