@@ -39,9 +39,11 @@ HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Where a credential is expected; group 1 is the value, of any length (one
-#: class of characters, without going back, so matching stays linear).
+#: class of characters, without going back, so matching stays linear).  The
+#: words of ASSIGN also stand at the end of a longer name, as they do there; a
+#: value that begins with one of them and a separator belongs to the inner word.
 CONTEXTS = (
-    re.compile(r"""(?ai:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|credential|client_secret|auth_?token|private_?key))["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?([^\s"'`,;<>]{6,}+)"""),
+    re.compile(r"""(?ai:\b(?:pwd|pass|passphrase|passcode|credential|auth_?token|private_?key)|password|passwd|secret|token|api_?key)["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?(?!(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=])([^\s"'`,;<>]{6,}+)"""),
     re.compile(r"""(?ai:[a-z][a-z0-9+.-]{1,16}://[^\s/:@]++):([^\s/@]{6,}+)@"""),
     re.compile(r"""(?ai:\b(?:bearer|basic))\x20+([A-Za-z0-9+/_.~=-]{6,}+)"""),
     re.compile(r"""--(?ai:password|passwd|token|secret)[\x20=]([^\s"'`,;<>]{6,}+)"""),
@@ -187,7 +189,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def guess_spans(text: str, cost: GuessCost, threshold: float, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Values in a credential context that cost ``threshold`` or more and do
-    not touch a span found already."""
+    not lie wholly in spans found already; they may overlap them."""
     found, covered = [], None
     for pattern in CONTEXTS:
         for m in pattern.finditer(text):
@@ -196,7 +198,7 @@ def guess_spans(text: str, cost: GuessCost, threshold: float, taken: list[tuple[
                 for start, end, _ in taken:
                     covered[start:end] = b"\x01" * (end - start)
             a, b = m.span(1)
-            if 1 not in covered[a:b] and cost.reaches(m[1], threshold):
+            if 0 in covered[a:b] and cost.reaches(m[1], threshold):
                 found.append((a, b, "guess"))
                 covered[a:b] = b"\x01" * (b - a)
     return found

@@ -106,6 +106,25 @@ def test_values_of_any_length_are_scored_and_redacted_whole(spark, docs_of, cost
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {k: f"{a}[secret]{b}" for k, (a, b) in enumerate(around)}
 
 
+def test_values_beyond_a_base_span_are_scored_whole(spark, docs_of, cost):
+    found = [
+        ("password: ", "Tr0ub4dor&3xyz!", " end", 1), ("api_key='", "P@x9w!Kq7#zL", "' end", 0), ("DB_PASSWORD=", "Tr0ub4dor&3xyz!", " end", 1),
+        ("token: ", "k9$Xw!2pQz7", " end", 0), ("run --password=", "Tr0ub4dor&3xyz!", " end", 1),
+    ]
+    texts = ["".join(x[:3]) for x in found]
+    for (a, value, _, n), text in zip(found, texts):
+        base = secret_scan.base_spans(text)
+        assert len(base) == n
+        assert secret_scan.guess_spans(text, cost, secret_scan.MIN_LOG10_GUESSES, base) == [(len(a), len(a) + len(value), "guess")]
+    inside = f"token = '{HEX40}' and token: token: abcdefgh"  # wholly in a base span; an inner word's value, a keyboard walk
+    assert secret_scan.guess_spans(inside, cost, secret_scan.MIN_LOG10_GUESSES, secret_scan.base_spans(inside)) == []
+    docs = docs_of(texts)
+    out = secret_scan.redact(secret_scan.scan(docs, secret_scan.words_by_rank(queries.RANKS), out_col="_s"), "_s")
+    for r in out.collect():
+        a, value, rest, n = found[r["doc_id"]]
+        assert r["text"].endswith(f"[secret]{rest}") and value[-6:] not in r["text"]
+
+
 # ---- shards -------------------------------------------------------------------
 
 def test_op5_law_and_positions(spark, docs_of, save):
