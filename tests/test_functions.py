@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import amounts, cleansing, dates
-from tests.conftest import rows
+from frame_rows import rows
 
 
 def test_date_patterns_and_sentinels(spark):

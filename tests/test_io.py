@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks import writers
 from ledgerflow.sources import catalog, files
-from tests.conftest import rows
+from frame_rows import rows
 
 LAYOUT = {"ID": {"start": 1, "end": 4, "type": "int"}, "NAME": {"start": 5, "end": 10, "type": "string"},
           "FLAG": {"start": 11, "end": 11, "type": "string"}}

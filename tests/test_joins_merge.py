@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import aggregates, joins, merge
-from tests.conftest import rows
+from frame_rows import rows
 
 CODES = ["035", "100", "851"]
 USAGE = [None, "1", "3", "8", "9", "O", "R", "WR", "0"]

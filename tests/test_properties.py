@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import amounts, dates
 from ledgerflow.operators import merge, quality
-from tests.conftest import rows
+from frame_rows import rows
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 

@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import quality, windows
-from tests.conftest import rows
+from frame_rows import rows
 
 
 def _dups(spark):

@@ -7,7 +7,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
