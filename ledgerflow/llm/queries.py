@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, multi_index, near_dup, secret_scan, suffix_levels, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, multi_index, near_dup, periodic_runs, secret_scan, suffix_levels, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.oracles import ORACLES  # noqa: F401  (with QUERIES, what the package registers)
 from ledgerflow.session import scratch_path
@@ -117,4 +117,21 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup)}
+def op13_lcp_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    drawn = F.col("h") % 10 == 0
+    # every tenth document, drawn by its id: its words from a on become the first p of them, again and again
+    words = docs.withColumn("w", F.when(drawn, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))).selectExpr("*", "cast(floor(h / 10) as long) as g", "size(w) as n")
+    words = words.selectExpr("*", "if(n > 0, g % n, 0) as a").selectExpr("*", "1 + (n - a) div (3 + g % 8) as p")
+    again = F.expr("array_join(transform(sequence(0, n - 1), i -> get(w, cast(if(i < a, i, a + (i - a) % p) as int))), ' ')")
+    texts = words.select("doc_id", F.when(drawn & (F.col("n") > 0), again).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(texts)
+    longest = F.expr("array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup, op13_lcp_kruskal_runs)}
