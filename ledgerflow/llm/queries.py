@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, multi_index, near_dup, periodic_runs, secret_scan, suffix_levels, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, metric_join, multi_index, near_dup, periodic_runs, secret_scan, suffix_levels, token_store, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.oracles import ORACLES  # noqa: F401  (with QUERIES, what the package registers)
 from ledgerflow.session import scratch_path
@@ -117,6 +117,10 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lcp_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
     drawn = F.col("h") % 10 == 0
@@ -134,4 +138,4 @@ def op13_lcp_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup, op13_lcp_kruskal_runs)}
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup, op12_metric_range_join, op13_lcp_kruskal_runs)}
