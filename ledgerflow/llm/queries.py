@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, metric_join, multi_index, near_dup, periodic_runs, secret_scan, suffix_levels, token_store, virtual_slots
+from ledgerflow.llm import byte_bpe, chat_format, decontaminate, language_id, metric_join, multi_index, near_dup, periodic_runs, secret_scan, suffix_levels, token_store, turn_repair, virtual_slots
 from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.oracles import ORACLES  # noqa: F401  (with QUERIES, what the package registers)
 from ledgerflow.session import scratch_path
@@ -117,6 +117,24 @@ def op10_coordinate_join_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversation rows with faults drawn by the checksum of their place: one in
+    twenty each is dropped, emptied, cut short, repeated or given to the user."""
+    def text(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    drawn = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), text("role").alias("role"), text("text").alias("text"), drawn.alias("drawn"))
+    return rows.select(
+        "conv_id", "turn", F.expr("case drawn when 0 then '' when 4 then 'user' else role end").alias("role"),
+        F.when(F.col("drawn").isin(0, 1), "").when(F.col("drawn") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.expr("case drawn when 0 then 0 when 3 then 2 else 1 end").alias("copies"),
+    )
+
+
+def op11_scalar_dag_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(damaged(table(spark, sf_dir, "conversations"))).drop("repaired")
+
+
 def op12_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -138,4 +156,4 @@ def op13_lcp_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup, op12_metric_range_join, op13_lcp_kruskal_runs)}
+QUERIES = {f.__name__: f for f in (op1_schema_fingerprint_chat, op2_prefix_dp_bpe, op3_simple8b_token_store, op4_guess_cost_secrets, op5_virtual_slot_shards, op6_wu_manber_decontamination, op7_inverted_multi_index, op8_log_suffix_dedup, op9_hashed_subword_langid, op10_coordinate_join_near_dup, op11_scalar_dag_repair, op12_metric_range_join, op13_lcp_kruskal_runs)}
