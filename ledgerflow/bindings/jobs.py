@@ -18,7 +18,7 @@ from ledgerflow.functions import cleansing
 from ledgerflow.operators import joins, merge, quality
 from ledgerflow.plans import id_rewrite, raw_load, transform_load
 from ledgerflow.session import scratch_path
-from ledgerflow.sinks import writers
+from ledgerflow.sinks import buckets, writers
 from ledgerflow.sources import catalog, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,45 @@ def partition_merge_padded(spark, sf):
     return for_compare(writers.read_partitioned(spark, path, ["plan_number"]).select("plan_number", "o_orderkey", "amount"))
 
 
+# ---- K5 and K8 in hash buckets, K9 by a switch ------------------------------------------
+_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, cast(1 AS bigint) AS lines, 'U' AS op FROM {orders}"
+# orders with a returned line change; those with nothing but returned lines go
+_RETURNS = """SELECT l_orderkey AS o_orderkey, max(l_suppkey) AS o_custkey, max(l_returnflag) AS o_orderstatus, count(*) AS lines,
+  CASE WHEN min(l_returnflag) = 'R' THEN 'D' ELSE 'U' END AS op FROM {lineitem} GROUP BY l_orderkey HAVING max(l_returnflag) = 'R'"""
+
+
+@register("merge_buckets", f"""WITH t AS ({duck_sql(_ORDERS)}), s AS ({duck_sql(_RETURNS)})
+SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)
+UNION ALL SELECT * FROM s WHERE op <> 'D' OR o_orderkey NOT IN (SELECT o_orderkey FROM t)""")
+def merge_buckets(spark, sf):
+    base = scratch_path(spark, "order-buckets")
+    name, orders = f"ledger_{base.rsplit('-', 1)[1]}.orders", spark_sql(spark, sf, _ORDERS)
+    buckets.create(spark, name, base, orders.schema, ["o_orderkey"], 64)
+    buckets.merge_into_buckets(spark, name, orders, merge.upsert_spec(["o_orderkey"], "op"))
+    buckets.merge_into_buckets(spark, name, spark_sql(spark, sf, _RETURNS), merge.upsert_spec(["o_orderkey"], "op"))
+    return spark.table(name)
+
+
+@register("rewrite_bucket_keys", "SELECT o_orderkey + CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') THEN 1000000000 ELSE 0 END AS o_orderkey, o_custkey FROM orders")
+def rewrite_bucket_keys(spark, sf):
+    base = scratch_path(spark, "key-buckets")
+    name, orders = f"ledger_{base.rsplit('-', 1)[1]}.orders", table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    buckets.create(spark, name, base, orders.schema, ["o_orderkey"], 64)
+    buckets.merge_into_buckets(spark, name, orders, merge.upsert_spec(["o_orderkey"]))
+    moved = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("old"), (F.col("l_orderkey") + 1_000_000_000).alias("new")).distinct()
+    buckets.rewrite_bucket_keys(spark, name, moved, "old", "new")
+    return spark.table(name)
+
+
+@register("table_switch", "SELECT o_orderkey, o_orderstatus FROM orders")
+def table_switch(spark, sf):
+    base, o = scratch_path(spark, "switch"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    name = f"ledger_{base.rsplit('-', 1)[1]}.orders"
+    for rows in (o.where("o_orderstatus = 'F'"), o):  # the second version takes the first one's place in one statement
+        writers.register_table(spark, name, writers.write_version(rows, base), rows.schema)
+    return spark.table(name)
+
+
 # ---- T7 over two loads, with id changes, in the catalog ------------------------------
 # one batch per half; the second brings back a tenth of the first's keys with other values
 _BATCHES = """SELECT lpad(cast(o_orderkey AS string), 9, '0') AS participant_id, '1' || lpad(cast(o_custkey AS string), 5, '0') AS plan_number,
@@ -113,6 +152,21 @@ def raw_incremental(spark, sf):
     return spark.table(f"{database}.balances")
 
 
+@register("raw_incremental_buckets", f"""WITH {_MERGED}, c AS ({duck_sql(_CHANGES)}),
+once AS (SELECT old_participant_id, new_participant_id FROM c WHERE admin_tran_code IN ('850', '851'))
+SELECT coalesce(once.new_participant_id, m.participant_id) AS participant_id, m.plan_number, m.amount, m.batch_date
+FROM m LEFT JOIN once ON m.participant_id = once.old_participant_id""")
+def raw_incremental_buckets(spark, sf):
+    database = f"ledger_{scratch_path(spark, 'db').rsplit('-', 1)[1]}"
+    changes, base, staging = scratch_path(spark, "changes"), scratch_path(spark, "raw"), spark_sql(spark, sf, _BATCHES)
+    params = _raw_params("FEED.NG", "incremental")
+    raw_load.staging_to_raw(spark, staging, params, "20240131", base, database=database, bucketed=("participant_id", 32))
+    spark_sql(spark, sf, _CHANGES).write.parquet(changes)
+    writers.register_table(spark, f"{database}.{id_rewrite.CHANGE_TABLE.format(channel='NG')}", changes, spark.read.parquet(changes).schema)
+    out = raw_load.staging_to_raw(spark, staging, params, "20240201", base, database=database, bucketed=("participant_id", 32))
+    return spark.table(out["valid"])
+
+
 @register("raw_seqhist", f"WITH {_MERGED} SELECT participant_id, plan_number, amount, batch_date FROM m")
 def raw_seqhist(spark, sf):
     params = raw_load.FeedParams(id_rewrite.ID_REWRITE_SOURCE, "FEED_SEQHIST.NG", "balances", "full_load", ("plan_number", "participant_id"),
@@ -127,12 +181,12 @@ _CYCLE_1 = _CYCLES.format(year=2023, value="o_orderstatus", where="o_orderkey %
 _CYCLE_2 = _CYCLES.format(year="CASE WHEN o_orderkey % 8 = 0 THEN 2023 ELSE 2024 END", value="' new '", where="o_orderkey % 4 = 0 OR o_orderkey % 2 = 1")
 
 
-def _transformed(spark, sf, entity: str, keys: list[str], loads: list[str]) -> dict[str, str]:
+def _transformed(spark, sf, entity: str, keys: list[str], loads: list[str], bucketed: int | None = None) -> dict[str, str]:
     base = scratch_path(spark, "transform")
     database = f"ledger_{base.rsplit('-', 1)[1]}"
     for sql in loads:
         out = transform_load.raw_to_transform(spark, lambda sql=sql: spark_sql(spark, sf, sql), entity, keys, "incremental",
-                                              f"{base}/tables", f"{base}/export", "20240131", database=database, keep_versions=2)
+                                              f"{base}/tables", f"{base}/export", "20240131", database=database, keep_versions=2, bucketed=bucketed)
     return out | {"name": f"{database}.{entity}"}
 
 
@@ -152,10 +206,19 @@ def transform_incremental_by_cycle(spark, sf):
     return writers.read_declared(spark, out["table"])
 
 
-_TXN_ROWS = """SELECT cast(o_orderkey AS string) AS participant_id, cast(date_trunc('year', o_orderdate) AS date) AS run_date, {amount} AS amount, {code} AS seq_oper_code
-FROM {{orders}} WHERE {where}"""
-_TXN_1 = _TXN_ROWS.format(amount="cast(o_custkey AS string)", code="'A'", where="o_orderkey % 3 < 2")
-_TXN_2 = _TXN_ROWS.format(amount="'0'", code="CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'C' END", where="o_orderkey % 3 > 0 AND o_orderstatus = 'F'")
+@register("transform_incremental_buckets", f"""WITH a AS ({duck_sql(_CYCLE_1)}), b AS ({duck_sql(_CYCLE_2)})
+SELECT plan_number, source_cycle_date, trim(status) AS status FROM b
+UNION ALL SELECT plan_number, source_cycle_date, status FROM a WHERE plan_number NOT IN (SELECT plan_number FROM b)""")
+def transform_incremental_buckets(spark, sf):
+    return spark.table(_transformed(spark, sf, "plan_status", ["plan_number"], [_CYCLE_1, _CYCLE_2], bucketed=32)["table"])
+
+
+_TXN_ROWS = """SELECT {key} AS participant_id, cast(date_trunc('year', o_orderdate) AS date) AS run_date, {amount} AS amount, {code} AS seq_oper_code
+FROM {{orders}}"""
+# the second load brings all orders again, two thirds of them under keys of their own
+_TXN_1 = _TXN_ROWS.format(key="cast(o_orderkey AS string)", amount="cast(o_custkey AS string)", code="'A'")
+_TXN_2 = _TXN_ROWS.format(key="CASE WHEN o_orderkey % 3 > 0 THEN 'N' ELSE '' END || cast(o_orderkey AS string)", amount="'0'",
+                          code="CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'C' END")
 
 
 @register("transform_txn", f"""WITH a AS ({duck_sql(_TXN_1)}), b AS ({duck_sql(_TXN_2)})

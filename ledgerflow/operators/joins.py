@@ -156,9 +156,12 @@ def keep_latest_batches(
 ) -> DataFrame:
     """Rows whose batch is among the ``n`` latest batches of ``reference``
     (default: the frame itself, D4).  The kept list has at most ``n`` rows,
-    so it is broadcast into a semi join."""
+    so it is broadcast into a semi join.  Where ``df`` is partitioned by the
+    batch, the broadcast list prunes its partitions at run time."""
     kept = latest_batches(reference if reference is not None else df, batch_col, n, distinct)
-    kept = F.broadcast(kept.withColumnRenamed(batch_col, "_kept_batch"))
+    kept = kept.withColumnRenamed(batch_col, "_kept_batch")
+    # holds for every batch that can match; a comparison on this side is what makes Spark prune the other one by it
+    kept = F.broadcast(kept.where(F.length(F.col("_kept_batch").cast("string")) >= 0))
     return df.join(kept, df[batch_col] == kept["_kept_batch"], "left_semi")
 
 

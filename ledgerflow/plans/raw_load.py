@@ -32,7 +32,7 @@ from ledgerflow.operators.quality import (
 )
 from ledgerflow.operators.windows import number_within_key
 from ledgerflow.plans.id_rewrite import id_changes as id_change_rows, id_changes_for
-from ledgerflow.sinks import writers
+from ledgerflow.sinks import buckets, writers
 
 # File-name markers that switch feed-specific steps on.
 UNIQUE_KEY_FILE = "TRANSACTION_VNQ_WC.TXT"
@@ -123,9 +123,15 @@ def staging_to_raw(
     id_changes: DataFrame | None = None,
     database: str | None = None,
     keep_versions: int | None = None,
+    bucketed: tuple[str, int] | None = None,
 ) -> dict[str, str]:
     """Run the job; returns the written locations ({'valid', 'rejected'}).
 
+    ``bucketed`` (a primary key column, a number of buckets) keeps a merged feed
+    in hash buckets of the catalog's ``database``, so a load costs the buckets it
+    touches; the id changes are part of the same switch, and 'valid' is the
+    table's name.
+
     An incremental, non-history feed has participant-id changes applied to
     the merged table: those in ``id_changes``, else those that
     :func:`ledgerflow.plans.id_rewrite.id_changes_for` finds in ``database``."""
@@ -137,6 +143,8 @@ def staging_to_raw(
     merged = rules.seqhist or params.file_load == "incremental"
     if merged and not keys:
         raise ValueError(f"{params.table_name}: a merged feed needs primary keys")
+    if bucketed and not (merged and database is not None and bucketed[0] in keys):
+        raise ValueError(f"{params.table_name}: buckets need a merged feed, a database, and a primary key to hash")
 
     def changes() -> DataFrame | None:
         if params.file_load != "incremental" or rules.seqhist:
@@ -162,6 +170,11 @@ def staging_to_raw(
                 register(f"{params.table_name}_rejected", rejected_path, parts)
                 out["rejected"] = rejected_path
             valid = valid_rows(flagged)
+            if bucketed:
+                found, name = changes(), f"{database}.{params.table_name}"
+                buckets.create(spark, name, f"{table_base}_buckets", valid.schema, [bucketed[0]], bucketed[1])
+                buckets.merge_into_buckets(spark, name, valid, upsert_spec(keys), moves=None if found is None else id_change_rows(found))
+                return out | {"valid": name}
             if merged:
                 found = changes()
                 rewrite = None if found is None else lambda df: rewrite_keys(df, id_change_rows(found))

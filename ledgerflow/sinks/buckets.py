@@ -154,23 +154,34 @@ def replace_buckets(spark: SparkSession, name: str, keys: Sequence[tuple[DataFra
     return after
 
 
-def merge_into_buckets(spark: SparkSession, name: str, source: DataFrame, spec: MergeSpec, check_unique: bool = True) -> Bucketed:
-    """K5-K7: MERGE ``source`` into a bucketed table whose key columns are merge keys."""
+def merge_into_buckets(spark: SparkSession, name: str, source: DataFrame, spec: MergeSpec, check_unique: bool = True, moves: DataFrame | None = None,
+                       old_col: str = "old_participant_id", new_col: str = "new_participant_id") -> Bucketed:
+    """K5-K7: MERGE ``source`` into a bucketed table whose key columns are merge
+    keys.  ``moves`` (old and new values of a single key column) are applied to
+    the merged rows in the same switch (K8)."""
     table, source_of = describe(spark, name), dict(spec.on)
     if not set(table.keys) <= set(source_of):
         raise ValueError(f"{name}: bucket keys must be merge keys")
     if any(set(c.values or ()) & set(table.keys) for c in spec.clauses if c.kind == "update"):
         raise ValueError(f"{name}: an update of the key moves rows; use rewrite_bucket_keys")
-    return replace_buckets(spark, name, [(source, [source_of[k] for k in table.keys])], lambda target: merge_frame(target, source, spec, check_unique))
+    touched = [(source, [source_of[k] for k in table.keys])]
+    if moves is None:
+        return replace_buckets(spark, name, touched, lambda target: merge_frame(target, source, spec, check_unique))
+    more, rewrite = _moved(table, moves, old_col, new_col)
+    return replace_buckets(spark, name, touched + more, lambda target: rewrite(merge_frame(target, source, spec, check_unique)))
 
 
-def rewrite_bucket_keys(spark: SparkSession, name: str, changes: DataFrame, old_col: str = "old_participant_id", new_col: str = "new_participant_id") -> Bucketed:
-    """K8/T9 on a table with one key column: rows move from the buckets of old ids to those of new ones."""
-    table = describe(spark, name)
+def _moved(table: Bucketed, moves: DataFrame, old_col: str, new_col: str) -> tuple[list[tuple[DataFrame, Sequence[str]]], Callable[[DataFrame], DataFrame]]:
     if len(table.keys) != 1:
-        raise ValueError(f"{name}: ids are rewritten in tables with one key column")
-    known = changes.where(F.col(old_col).isNotNull())
-    return replace_buckets(spark, name, [(known, [old_col]), (known, [new_col])], lambda target: rewrite_keys(target, known, table.keys[0], old_col, new_col))
+        raise ValueError(f"{table.name}: ids are rewritten in tables with one bucket key")
+    known = moves.where(F.col(old_col).isNotNull())
+    return [(known, [old_col]), (known, [new_col])], lambda rows: rewrite_keys(rows, known, table.keys[0], old_col, new_col)
+
+
+def rewrite_bucket_keys(spark: SparkSession, name: str, changes: DataFrame, old_col: str = "old_participant_id", new_col: str = "new_participant_id") -> Bucketed:
+    """K8/T9 on a table with one bucket key: rows move from the buckets of old ids to those of new ones."""
+    touched, rewrite = _moved(describe(spark, name), changes, old_col, new_col)
+    return replace_buckets(spark, name, touched, rewrite)
 
 
 def expire(spark: SparkSession, name: str) -> list[str]:

@@ -286,17 +286,42 @@ def merge_into_partitions(spark: SparkSession, path: str, source: DataFrame, spe
 
 def register_table(spark: SparkSession, table: str, path: str, schema: StructType, partition_cols: Sequence[str] | None = None) -> None:
     """K9: (re)point ``database.table`` of the catalog at ``path``.  The table is
-    external: dropping or re-pointing it leaves the data."""
+    external: dropping or re-pointing it leaves the data.
+
+    A table that exists with the same columns is never dropped: an unpartitioned
+    one is re-pointed by one statement, so readers meet the old rows or the new
+    ones, and a partitioned one in its old place has its partitions listed again."""
     ensure_database(spark, table)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
     name = ".".join(f"`{x}`" for x in table.split("."))
+    if spark.catalog.tableExists(table) and _same_shape(spark, table, schema, partition_cols):
+        if not partition_cols:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        if _location(spark, name) == _fs(spark, path)[0].makeQualified(_fs(spark, path)[1]).toString():
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+            return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def _same_shape(spark: SparkSession, table: str, schema: StructType, partition_cols: Sequence[str] | None) -> bool:
+    found = spark.catalog.listColumns(table)
+    parts = list(partition_cols or [])
+    wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields if f.name not in parts] + [(c, schema[c].dataType.simpleString()) for c in parts]
+    return [(c.name, c.dataType) for c in found] == wanted and [c.name for c in found if c.isPartition] == parts
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    fs, p, _ = _fs(spark, detail["Location"])
+    return fs.makeQualified(p).toString()
+
+
 # The directory name Hive-style partitioning uses for a NULL value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -338,8 +363,11 @@ def run_with_audit(spark: SparkSession, audit_path: str, job: Callable[[], objec
     start = now_text()
     try:
         result = job()
-    except Exception:
-        append(audit_row(spark, source_name, file_name, batch_date, table_name, start, now_text(), STATUS_FAILED), audit_path)
+    except Exception as failed:
+        try:
+            append(audit_row(spark, source_name, file_name, batch_date, table_name, start, now_text(), STATUS_FAILED), audit_path)
+        except Exception as unwritten:  # the job's own error is what the caller must see
+            failed.add_note(f"the audit row could not be written: {unwritten}")
         raise
     append(audit_row(spark, source_name, file_name, batch_date, table_name, start, now_text(), STATUS_SUCCESS), audit_path)
     return result

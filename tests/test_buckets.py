@@ -112,3 +112,67 @@ def test_null_keys_and_refused_changes(spark, accounts):
     assert rows(spark.table(name)) == before
     with pytest.raises(ValueError, match="several source rows"):
         buckets.merge_into_buckets(spark, name, changed(spark, ["1", "1"]), upsert_spec(["id"]))
+
+
+def test_a_feed_in_buckets_moves_ids_in_the_same_switch(spark):
+    from ledgerflow.plans import raw_load
+
+    database, base = f"bk_{uuid.uuid4().hex[:8]}", scratch_path(spark, "raw")
+    staging = spark.createDataFrame([(f"p{k}", "1", str(k), "20240131") for k in range(200)] + [("p1", "1", "new", "20240201"), ("p900", "1", "900", "20240201")],
+                                    "participant_id string, plan_number string, amount string, batch_date string")
+    moves = spark.createDataFrame([("850", "p2", "q2"), ("900", "p3", "q3")], "admin_tran_code string, old_participant_id string, new_participant_id string")
+    params = raw_load.FeedParams("omni_7.4", "FEED.NG", "balances", "incremental", ("plan_number", "participant_id"))
+    switched = []
+    for date, found in (("20240131", None), ("20240201", moves)):
+        out = raw_load.staging_to_raw(spark, staging, params, date, base, database=database, bucketed=("participant_id", 16), id_changes=found)
+        switched.append(buckets.describe(spark, out["valid"]).folders)
+    assert rows(spark.table(out["valid"]).where("participant_id in ('p1', 'p2', 'p3', 'q2', 'p900')"), "participant_id", "amount") == [("p1", "new"), ("p3", "3"), ("p900", "900"), ("q2", "2")]
+    assert spark.table(out["valid"]).count() == 201
+    assert 1 <= sum(switched[0].get(b) != f for b, f in switched[1].items()) <= 4  # the buckets of p1, p900, p2 and q2
+    with pytest.raises(ValueError, match="primary key to hash"):
+        raw_load.staging_to_raw(spark, staging, params, "20240131", base, database=database, bucketed=("amount", 4))
+
+
+def test_a_registered_table_is_switched_without_a_gap(spark, monkeypatch):
+    from ledgerflow.sinks import writers
+
+    name, base = f"bk_{uuid.uuid4().hex[:8]}.plain", scratch_path(spark, "plain")
+    one, two = (spark.createDataFrame([(k, "x")], "id int, v string") for k in (1, 2))
+    writers.register_table(spark, name, writers.write_version(one, base), one.schema)
+    said, real = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (said.append(text), real(text, *a, **k))[1])
+    writers.register_table(spark, name, writers.write_version(two, base), two.schema)
+    assert rows(spark.table(name)) == [(2, "x")] and not any(t.startswith(("DROP", "CREATE TABLE")) for t in said)
+    path = scratch_path(spark, "parted")
+    for n in (2, 3):
+        parted = spark.range(n).selectExpr("id", "cast(id as string) as part")
+        writers.overwrite(parted, path, ["part"])
+        writers.register_table(spark, f"{name}_parts", path, parted.schema, ["part"])
+        assert spark.table(f"{name}_parts").count() == n
+    assert not any(t.startswith("DROP") for t in said[1:] if "SYNC" in t)
+    other = spark.createDataFrame([(1.5,)], "w double")
+    writers.register_table(spark, name, writers.write_version(other, base), other.schema)
+    assert rows(spark.table(name)) == [(1.5,)]
+
+
+def test_latest_batches_prune_the_partitions_of_a_feed(spark):
+    from ledgerflow.operators.joins import keep_latest_batches
+
+    path = scratch_path(spark, "feed")
+    spark.range(100).selectExpr("id", "cast(20240101 + id % 10 as string) as batch_date").write.partitionBy("batch_date").parquet(path)
+    kept = keep_latest_batches(spark.read.schema("id long, batch_date string").parquet(path))
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+    assert {r[0] for r in kept.select("batch_date").distinct().collect()} == {"20240109", "20240110"} and kept.count() == 20
+
+
+def test_the_job_error_is_seen_when_the_audit_cannot_be_written(spark, tmp_path):
+    from ledgerflow.sinks import writers
+
+    (tmp_path / "audit").write_text("a file where the folder should be")
+
+    def job():
+        raise ValueError("the job's own")
+
+    with pytest.raises(ValueError, match="the job's own") as failed:
+        writers.run_with_audit(spark, f"{tmp_path}/audit/x", job, source_name="s", file_name="f", batch_date="b", table_name="t")
+    assert any("audit row" in n for n in failed.value.__notes__)
