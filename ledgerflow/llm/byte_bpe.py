@@ -271,7 +271,6 @@ def encode(docs: DataFrame, rank_file: str, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), common.binary_array(ids.astype("<u4").view(np.uint8), bounds * 4), common.binary_array(flat, at[bounds])],
                 ["id", "ids", "decoded"])
-        encoder.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw"))

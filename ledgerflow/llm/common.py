@@ -102,39 +102,66 @@ def random_words(seed: int, n: int) -> np.ndarray:
     return mix64((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 20)) * np.uint64(0x9E3779B97F4A7C15))
 
 
+#: 2^31 - 1, a prime: products of two residues fit 64 bits, and reducing them takes shifts.
+PRIME = np.uint64((1 << 31) - 1)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Below 2^32 + 2 and the same residue, for x below 2^63."""
+    return (x & PRIME) + (x >> np.uint64(31))
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
 class SpanHash:
     """Hash of any byte span of a buffer in O(1), all with numpy.
 
-    ``prefix[e] - prefix[s]`` is the polynomial of the span times ``base**s``;
-    the base is odd, so multiplying by its inverse power takes the position
-    out and equal spans hash alike wherever they stand.  Powers are kept for
-    the longest buffer seen.
+    Two polynomials of the span's bytes modulo a prime, at two bases that were
+    drawn once; each byte value stands for a drawn number, so spans of other
+    lengths differ as well.  ``prefix[e] - prefix[s]`` is the polynomial times
+    ``base**s``; multiplying by its inverse power takes the position out, and
+    equal spans hash alike wherever they stand.  (Modulo a power of two there
+    are texts that collide at every base.)  Powers are kept for the longest
+    buffer seen.
     """
 
-    BASE = 0x9E3779B97F4A7C55
-    _values = random_words(7, 256)
-    _powers = np.ones(1, np.uint64)
-    _inverse = np.ones(1, np.uint64)
+    BASES = (1_234_977_679, 811_570_583)
+    _values = [(random_words(7 + k, 256) % (PRIME - np.uint64(1))) + np.uint64(1) for k in range(2)]
+    _powers: list[np.ndarray] = []
+    _inverse: list[np.ndarray] = []
 
     @classmethod
     def forget(cls) -> None:
-        cls._powers = cls._inverse = np.ones(1, np.uint64)
+        cls._powers, cls._inverse = [], []
 
     @classmethod
     def _grow(cls, n: int) -> None:
-        if len(cls._powers) <= n:
-            size = n + n // 4 + 64
-            def powers(base: int) -> np.ndarray:
-                return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, base, np.uint64))])
-            cls._powers, cls._inverse = powers(cls.BASE), powers(pow(cls.BASE, -1, 1 << 64))
+        if cls._powers and len(cls._powers[0]) > n:
+            return
+
+        def powers(base: int) -> np.ndarray:
+            out = np.ones(1, np.uint64)
+            while len(out) <= n + n // 4 + 64:
+                out = np.concatenate([out, _residue(out * np.uint64(pow(base, len(out), int(PRIME))))])
+            return out
+
+        cls._powers = [powers(b) for b in cls.BASES]
+        cls._inverse = [powers(pow(b, -1, int(PRIME))) for b in cls.BASES]
 
     def __init__(self, raw: np.ndarray):
         self._grow(len(raw))
-        self.prefix = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(self._values[raw] * self._powers[:len(raw)], out=self.prefix[1:])
+        self.prefix = []
+        for values, powers in zip(self._values, self._powers):
+            prefix = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(_folded(values[raw] * powers[:len(raw)]), out=prefix[1:])
+            self.prefix.append(prefix)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.prefix[end] - self.prefix[start]) * self._inverse[start])
+        one, two = (_residue(_residue(prefix[end] - prefix[start]) * inverse[start]) for prefix, inverse in zip(self.prefix, self._inverse))
+        return mix64(one << np.uint64(31) | two)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -1,16 +1,18 @@
 """Token ids of whole texts, piece by piece, for tasks that read Arrow batches.
 
 A piece is one match of the pre-token pattern.  ``PieceEncoder`` splits a
-batch with numpy, finds the distinct pieces by a 64-bit hash of their bytes,
-encodes those it has not met yet with the function it is given, and joins the
-ids of all pieces again.  Its memory of pieces is a cache of bounded size;
-emptying it changes the time, never the result.
+batch with numpy, looks every piece up by its bytes, encodes those it has not
+met yet with the function it is given, and joins the ids of all pieces again.
+Its memory of pieces is a cache that lives as long as its Python worker and is
+bounded in bytes; emptying it changes the time, never the result.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -18,8 +20,10 @@ import pyarrow as pa
 
 from ledgerflow.llm import common, pretoken
 
-#: Pieces remembered by one task before its cache is emptied.
-CACHE_PIECES = 300_000
+#: Bytes that a worker's memory of pieces may take before it is emptied, and
+#: what a piece takes besides its own bytes.
+CACHE_BYTES = 96 << 20
+PIECE_BYTES = 200
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -35,48 +39,79 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)
 
 
+def distinct(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which distinct piece each piece of ``raw`` (bounds ``at``) is, and where
+    each of those stands first.  A hash groups them and their bytes decide: if
+    two unlike pieces share a hash, all are told apart by their bytes."""
+    which, names = pd.factorize(common.SpanHash(raw).spans(at[:-1], at[1:]))
+    first = np.zeros(len(names), np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    lengths = np.diff(at)
+    # pieces tile the text, so all of it is compared with the first pieces in their places
+    if (lengths[first][which] == lengths).all() and (raw[common.ragged(at[first][which], lengths)] == raw[at[0]:at[-1]]).all():
+        return which, first
+    text = raw.tobytes()
+    which, names = pd.factorize(np.array([text[a:b] for a, b in pairwise(at.tolist())], object))
+    first = np.zeros(len(names), np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    return which, first
+
+
 class PieceEncoder:
-    """``encode`` turns a list of distinct pieces (bytes) into their id lists."""
+    """``encode`` turns a list of distinct pieces (bytes) into their id lists.
+    ``tokens``: strings with an id of their own, which are cut out of a text
+    before it is split."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Iterable[Iterable[int]]], cache: int = CACHE_PIECES):
-        self.encode, self.cache = encode, cache
+    def __init__(self, encode: Callable[[list[bytes]], Iterable[Iterable[int]]], tokens: Mapping[bytes, int] | None = None, cache: int = CACHE_BYTES):
+        self.encode, self.cache, self.tokens = encode, cache, dict(tokens or {})
+        self.pattern = re.compile(b"|".join(re.escape(t) for t in sorted(self.tokens, key=len, reverse=True))) if self.tokens else None
         self.clear()
 
     def clear(self) -> None:
-        """Forget all pieces; tasks do so when they end, for what runs next."""
-        self.index: dict[int, int] = {}
-        self.flat, self.starts = array("I"), array("q", [0])
-
-    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
-        for key, ids in zip(keys, self.encode(pieces), strict=True):
-            self.index[key] = len(self.starts) - 1
-            self.flat.extend(ids)
+        """Forget all pieces."""
+        self.index: dict[bytes, int] = {}
+        self.flat, self.starts, self.size = array("I"), array("q", [0]), 0
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain = iter(self.encode([p for p in pieces if p not in self.tokens]))
+        for piece in pieces:
+            own = (self.tokens[piece],) if piece in self.tokens else next(plain)
+            self.flat.extend(own)
             self.starts.append(len(self.flat))
+            self.size += len(piece) + PIECE_BYTES
+
+    def split(self, text: bytes, raw: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+        """Bounds of the pieces of the texts that begin at ``breaks``."""
+        if self.pattern is None or not self.pattern.search(text):
+            return pretoken.split_utf8(raw, breaks[:-1])
+        spans = [(m.start() + a, m.end() + a) for a, b in pairwise(breaks.tolist()) for m in self.pattern.finditer(text[a:b])]
+        if not spans:  # one that two texts make together
+            return pretoken.split_utf8(raw, breaks[:-1])
+        low, high = np.array(spans, np.int64).T
+        at = pretoken.split_utf8(raw, np.unique(np.concatenate([breaks[:-1], low, high])))
+        last = np.searchsorted(low, at, "left") - 1  # the token that begins before a bound
+        return at[(last < 0) | (at >= high[np.maximum(last, 0)])]
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the column's rows (uint32), and the bounds of each row."""
         raw, breaks = utf8(column)
-        at = pretoken.split_utf8(raw, breaks[:-1])
-        keys = common.SpanHash(raw).spans(at[:-1], at[1:])
-        codes, distinct = pd.factorize(keys)
-        if len(self.index) > self.cache:
+        text = raw.tobytes()
+        at = self.split(text, raw, breaks)
+        if self.size > self.cache:
             self.clear()
-        names = distinct.tolist()
-        known = [self.index.get(k, -1) for k in names]
-        new = [k for k, v in enumerate(known) if v < 0]
-        if new:
-            first = np.full(len(distinct), -1, np.int64)
-            first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-            text, lows, highs = raw.tobytes(), at[first[new]].tolist(), at[first[new] + 1].tolist()
-            for j, k in enumerate(new):
-                known[k] = len(self.starts) - 1 + j
-            self._learn([names[k] for k in new], [text[a:b] for a, b in zip(lows, highs)])
+        index, known = self.index, len(self.index)
+        which, first = distinct(raw, at)
+        # a piece not met yet gets the next number
+        numbers = np.array([index.setdefault(text[a:b], len(index)) for a, b in zip(at[first].tolist(), at[first + 1].tolist())], np.int64)
+        if len(index) > known:
+            try:
+                self._learn(list(islice(reversed(index), len(index) - known))[::-1])
+            except BaseException:
+                self.clear()  # numbers without ids must not stay
+                raise
         starts = np.frombuffer(self.starts, np.int64)
-        which = np.array(known, np.int64)
-        low = starts[which]
-        length = starts[which + 1] - low
-        lengths = length[codes]
-        ids = np.frombuffer(self.flat, np.uint32)[common.ragged(low[codes], lengths)] if len(self.flat) else np.zeros(0, np.uint32)
+        low, lengths = starts[numbers][which], (starts[numbers + 1] - starts[numbers])[which]
+        ids = np.frombuffer(self.flat, np.uint32)[common.ragged(low, lengths)] if len(self.flat) else np.zeros(0, np.uint32)
         del starts  # an array that numpy still looks at cannot grow
         before = np.concatenate([[0], np.cumsum(lengths)])
         return ids, before[np.searchsorted(at, breaks)]

@@ -14,6 +14,9 @@ lower sixty.  Values that need more than sixty bits are escapes: the word
 holds their place in the escape list.  No word spans two groups, so a reader
 can decode any group alone, and all words of one selector at once.
 
+An added token of the tokenizer that stands in a text is one id, as in the
+library.
+
 Defined cases: a null text is read as an empty one, which leaves the end id
 alone; rows that repeat a document id stand next to each other; an empty
 table gives a store without blocks.
@@ -22,9 +25,10 @@ table gives a store without blocks.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,11 @@ WIDEST = SELECTORS[0][0]
 #: A block is closed once it holds this many ids.
 BLOCK_IDS = 1 << 16
 HEADER = struct.Struct("<III")
+#: Pieces that the library encodes as one text, and the end of the Latin letters.
+PIECES_AT_ONCE = 100
+LATIN_END = "\u0250"
+#: Fixed value: how byte-level vocabularies write a space.
+SPACE = "\u0120"
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -126,8 +135,31 @@ def _encoder(source: str) -> PieceEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(source)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return PieceEncoder(lambda pieces: (e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)))
+    added = json.loads(source)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError("added tokens that look at what stands beside them are not cut out")
+    tokens = {t["content"].encode(): t["id"] for t in added}
+    opening = {i for t, i in tokenizer.get_vocab().items() if t.startswith(SPACE)}
+
+    def encode(pieces: list[bytes]) -> list[Sequence[int]]:
+        texts = [p.decode() for p in pieces]
+        out: list[Sequence[int]] = [()] * len(texts)
+        # a space and Latin letters: such pieces are split again as they were, so many go in one text
+        plain = [k for k, t in enumerate(texts) if t[0] == " " and t[1:].isalpha() and max(t) < LATIN_END]
+        runs = [plain[k:k + PIECES_AT_ONCE] for k in range(0, len(plain), PIECES_AT_ONCE)]
+        for run, e in zip(runs, tokenizer.encode_batch_fast(["".join([texts[k] for k in run]) for run in runs], add_special_tokens=False)):
+            ids = e.ids
+            bounds = [k for k, i in enumerate(ids) if i in opening]  # only a piece's first token holds its space
+            if len(bounds) != len(run):
+                raise ValueError("the tokenizer splits pieces otherwise")
+            for k, low, high in zip(run, bounds, [*bounds[1:], len(ids)]):
+                out[k] = ids[low:high]
+        rest = sorted(set(range(len(texts))) - set(plain))
+        for k, e in zip(rest, tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
+    return PieceEncoder(encode, tokens)
 
 
 BLOCK_SCHEMA = "part int, seq int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, payload binary"
@@ -166,7 +198,6 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int | N
                 if held >= BLOCK_IDS:
                     yield block()
                     seq, names, counts, parts, held = seq + 1, [], [], [], 0
-        encoder.clear()
         if names:
             yield block()
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -16,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerflow.llm import byte_bpe, pretoken, queries, token_store
+from ledgerflow.llm import byte_bpe, pieces, pretoken, queries, token_store
 
 with open(queries.RANKS, "rb") as _f:
     VOCABULARY = byte_bpe.vocabulary(_f.read())
@@ -101,7 +103,6 @@ def test_op3_reads_its_files_back(spark, docs_of, save, monkeypatch):
     ids = [7, 3, 50, 4, 900, 12, 1, 8, 60, 2]
     path = save(documents=docs_of(TEXTS, ids=ids))
     tokenizer = Tokenizer.from_file(queries.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     got, start = {r["doc_id"]: r for r in queries.op3_simple8b_token_store(spark, path).collect()}, 0
     assert len(got) == len(ids)
     for doc_id, text in sorted(zip(ids, TEXTS)):
@@ -115,3 +116,33 @@ def test_op3_reads_its_files_back(spark, docs_of, save, monkeypatch):
 def test_store_keeps_repeated_ids(spark, docs_of, tmp_path):
     blocks = token_store.write_store(docs_of(["a b", "c", "a b"], ids=[1, 1, 1]), f"{tmp_path}/store", queries.TOKENIZER)
     assert token_store.read_documents(blocks).count() == 3
+
+
+def thue_morse(one, two, n):
+    """Words that every polynomial hash modulo a power of two confuses."""
+    return "".join(two if bin(k).count("1") % 2 else one for k in range(n))
+
+
+HARD = [thue_morse(*pair, n) for n in (512, 1024, 2048) for pair in ("ab", "ba", "ad", "da")]
+HARD += ["a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "don't<|endoftext|>'s 12<|endoftext|>3  ", "<|endo", "ftext|>", "end <|endoftext|>", "<|endoftext|", "|>"]
+
+
+def test_words_that_collide_under_a_hash_and_added_tokens(spark, docs_of, save):
+    path = save(documents=docs_of(HARD))
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    want3 = {k: zlib.crc32(np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for k, t in enumerate(HARD)}
+    assert {r["doc_id"]: r["ids_crc32"] for r in queries.op3_simple8b_token_store(spark, path).collect()} == want3
+    want2 = {k: hashlib.sha256(np.array(TIKTOKEN.encode_ordinary(t), "<u4").tobytes()).hexdigest() for k, t in enumerate(HARD)}
+    got2 = queries.op2_prefix_dp_bpe(spark, path).collect()
+    assert {r["doc_id"]: r["ids_sha256"] for r in got2} == want2
+    assert {r["doc_id"]: r["decoded_sha256"] for r in got2} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in enumerate(HARD)}
+
+
+def test_piece_memory_is_bounded_and_changes_no_result():
+    words = ["".join(x) for x in itertools.product("abcdef", repeat=4)]
+    column = pa.array([" ".join(words[k:k + 50]).encode() for k in range(0, 1200, 50)], pa.binary())
+    large, small = (pieces.PieceEncoder(VOCABULARY.encode_all, cache=c) for c in (1 << 30, 1 << 10))
+    for part in (column, column.slice(3, 5), column):
+        assert all((a == b).all() for a, b in zip(large.ids(part), small.ids(part)))
+        small.ids(pa.array([b"x"], pa.binary()))
+        assert len(small.index) < 10 < len(large.index)
