@@ -62,8 +62,6 @@ MIN_LOG10_GUESSES = 9.0
 SEGMENT_COST = math.log10(3)
 #: Segments longer than this are put together from shorter ones.
 LONGEST_SEGMENT = 32
-#: Longer values are scored in pieces of this length, whose costs add up.
-SCORED_AT_ONCE = 256
 
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d")
 
@@ -112,10 +110,12 @@ class GuessCost:
             return math.log10(2)
         return math.log10(sum(math.comb(len(word), k) for k in range(1, min(upper, len(word) - upper) + 1)) + 1)
 
-    def segments(self, value: str, at: int) -> Iterator[tuple[int, float, str]]:
-        """Segments that start at ``at``: end, cost, kind."""
-        n, lower = len(value), value.lower()
-        plain = lower.translate(LOOKALIKE)
+    def segments(self, value: str, at: int, forms: tuple[str, str] | None = None, stops: dict[int, int] | None = None) -> Iterator[tuple[int, float, str]]:
+        """Segments that start at ``at``: end, cost, kind.  ``stops`` keeps, from
+        place to place, where each period breaks off, so a value is read once."""
+        lower, plain = forms or self.forms(value)
+        stops = {} if stops is None else stops
+        n = len(value)
         for end in range(at + 3, min(n, at + self.longest) + 1):
             rank = self.ranked.get(lower[at:end])
             if rank is not None:
@@ -126,10 +126,12 @@ class GuessCost:
             if at + length <= n and DATE.fullmatch(value, at, at + length):
                 yield at + length, math.log10(365 * 120 if length > 4 else 120), "date"
         for period in (1, 2, 3, 4):
-            end = at + period
-            while end < n and value[end] == value[end - period]:
-                end += 1
-            times = (end - at) // period
+            if stops.get(period, -1) < at:
+                stop = at
+                while stop + period < n and value[stop] == value[stop + period]:
+                    stop += 1
+                stops[period] = stop
+            times = (period + stops[period] - at) // period
             if times >= 2 and (period > 1 or times >= 3):
                 base = sum(self.alphabet(c) for c in value[at:at + period])
                 yield at + times * period, base + math.log10(times), "repeat"
@@ -139,16 +141,33 @@ class GuessCost:
             if end - at >= 3:
                 yield end, math.log10(47 * 2 * (end - at)), "walk"
 
-    def _piece(self, value: str) -> tuple[float, list[tuple[int, int, str]]]:
-        best = [0.0] + [math.inf] * len(value)
-        back: list[tuple[int, str]] = [(0, "")] * (len(value) + 1)
+    @staticmethod
+    def forms(value: str) -> tuple[str, str]:
+        """The value in lower case (where that keeps its length), and with lookalikes as letters."""
+        lower = value.lower()
+        lower = lower if len(lower) == len(value) else value
+        return lower, lower.translate(LOOKALIKE)
+
+    def _paths(self, value: str, best: list[float], back: list[tuple[int, str]], below: float = math.inf) -> Iterator[tuple[int, int]]:
+        """Fill the cheapest way to every place.  Yields each place that is done
+        and the last place reached so far at a cost under ``below``."""
+        forms, stops, last = self.forms(value), {}, 0
         for at in range(len(value)):
             brute = back[at][1] == "brute"  # a brute-force span goes on at no cost but the character's
             moves = [(at + 1, self.alphabet(value[at]) - (SEGMENT_COST if brute else 0.0), "brute")]
-            for end, cost, kind in (*moves, *self.segments(value, at)):
+            for end, cost, kind in (*moves, *self.segments(value, at, forms, stops)):
                 cost += best[at] + SEGMENT_COST
                 if cost < best[end]:
                     best[end], back[end] = cost, (at, kind)
+                if cost < below and end > last:
+                    last = end
+            yield at, last
+
+    def segmentation(self, value: str) -> tuple[float, list[tuple[int, int, str]]]:
+        """log10 guesses of the whole value, and its segments (start, end, kind)."""
+        best, back = [0.0] + [math.inf] * len(value), [(0, "")] * (len(value) + 1)
+        for _ in self._paths(value, best, back):
+            pass
         parts, end = [], len(value)
         while end:
             at, kind = back[end]
@@ -159,24 +178,16 @@ class GuessCost:
             end = at
         return best[-1], parts[::-1]
 
-    def segmentation(self, value: str) -> tuple[float, list[tuple[int, int, str]]]:
-        """log10 guesses of the whole value, and its segments (start, end, kind)."""
-        total, parts = 0.0, []
-        for base in range(0, len(value), SCORED_AT_ONCE):
-            cost, own = self._piece(value[base:base + SCORED_AT_ONCE])
-            total += cost
-            parts += [(base + a, base + b, kind) for a, b, kind in own]
-        return total, parts
-
     def reaches(self, value: str, threshold: float) -> bool:
-        """Whether the whole value costs ``threshold`` or more: costs of pieces
-        add up, so the first ones of a long value mostly tell."""
-        total = 0.0
-        for base in range(0, len(value), SCORED_AT_ONCE):
-            total += self._piece(value[base:base + SCORED_AT_ONCE])[0]
-            if total >= threshold:
+        """Whether the whole value costs ``threshold`` or more.  Told early: once
+        one way to the end is cheaper, or no place ahead is reached below it."""
+        best, back = [0.0] + [math.inf] * len(value), [(0, "")] * (len(value) + 1)
+        for at, last in self._paths(value, best, back, threshold):
+            if best[-1] < threshold:
+                return False
+            if last <= at:
                 return True
-        return False
+        return best[-1] >= threshold
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:

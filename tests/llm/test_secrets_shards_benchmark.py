@@ -234,3 +234,21 @@ def test_op6_whole_and_in_blocks(spark, docs_of, save, monkeypatch, limit):
         assert r["items_sha256"] == hashlib.sha256(",".join(owners).encode()).hexdigest()
     nothing = queries.op6_wu_manber_decontamination(spark, save(documents=docs_of(texts), benchmark=bench.limit(0)))
     assert nothing.where("contaminated").count() == 0 and nothing.count() == len(texts)
+
+
+@pytest.mark.parametrize("length", [255, 257, 700, 2000])
+def test_length_alone_makes_no_secret(cost, length):
+    for value in ("a" * length, "-" * length, "abc" * length, "x1" * length):
+        assert not cost.reaches(value, secret_scan.MIN_LOG10_GUESSES)
+    assert not cost.reaches("a" * 50 * length, secret_scan.MIN_LOG10_GUESSES)
+    strong = "".join(random.Random(length).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=40))
+    assert cost.reaches("a" * length + strong, secret_scan.MIN_LOG10_GUESSES)
+
+
+def test_early_answers_equal_the_whole_cost(cost):
+    rng = random.Random(5)
+    for _ in range(300):
+        value = "".join(rng.choice(["password", "1999", "aaaa", "qwerty", "x", "Z", "7", "!", "abab"]) for _ in range(rng.randint(1, 9)))
+        whole = cost.segmentation(value)[0]
+        for threshold in (whole - 1e-6, whole + 1e-6, 4.0, 9.0):
+            assert cost.reaches(value, threshold) == (whole >= threshold)
