@@ -17,7 +17,7 @@ many vectors is split by hash of their ids, so no cell is one task's burden.
 
 Defined cases: a vector that is null, zero, of another length than most, or
 that holds a null or a component that is not finite takes no part; ties go to
-the smaller id; rows of the query's own id are no candidates for it; with fewer
+the smaller id; rows that repeat an id count once, by their least vector; with fewer
 than k candidates all are returned; an empty table gives no rows.
 """
 
@@ -50,13 +50,15 @@ BUCKET_ROWS = 4096
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, vector`` (array of doubles) of the rows that take part."""
+    """``vec_id, vector`` (array of doubles) of the rows that take part, one per
+    id: of several rows the one with the least vector."""
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & F.coalesce(sound, F.lit(False)))
     usual = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("vector") == (usual[0]["d"] if usual else 0))
+    rows = rows.where(F.size("vector") == (usual[0]["d"] if usual else 0))
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

@@ -353,3 +353,16 @@ def test_pipeline_on_an_empty_table(spark, docs_of, save):
 
     path = save(documents=docs_of(["a"]).limit(0), benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_op7_repeated_ids_count_once(spark, save):
+    rng = np.random.default_rng(12)
+    rows = [(k, [float(x) for x in rng.normal(size=6).astype(np.float32)], 0) for k in range(40)]
+    again = [rows[0], rows[0], rows[7], (7, [float("inf")] * 6, 0)]
+    once, twice = (save_and_search(spark, save, r) for r in (rows, rows + again))
+    assert once == twice and len(once) == 10
+
+
+def save_and_search(spark, save, rows):
+    folder = save(embeddings=spark.createDataFrame(rows, VECTORS).repartition(2))
+    return sorted(tuple(r) for r in queries.op7_inverted_multi_index(spark, folder).collect())
