@@ -3,10 +3,11 @@
 A text's features are its subwords: all letter n-grams of words with a space
 on either side, hashed into buckets.  Each bucket has an embedding; a text is
 the average of its subwords' embeddings, and a linear layer with softmax reads
-the language off it.  Both are trained by stochastic gradient descent in numpy
-on a bounded sample of labelled documents (``PER_LANGUAGE`` per label, chosen by
-hash), from whole texts and random subsets of them, so short texts are learnt
-as well.  Because average and linear layer commute, prediction needs one table
+the language off it.  Both are trained by stochastic gradient descent in numpy,
+in one Spark task, on a bounded sample of labelled documents (``PER_LANGUAGE``
+per label, chosen by hash, of each at most ``PER_TEXT`` subwords spread evenly
+over the whole text), from all of these and random subsets of them, so short
+texts are learnt as well.  Because average and linear layer commute, prediction needs one table
 of bucket scores.
 
 Confidence is calibrated on labelled documents kept out of training: logits are
@@ -16,7 +17,8 @@ rejected, as is one without letters.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and rejected; so is every text if no label was there to learn from; equal
-scores go to the label first in order; columns not named are not read.
+scores go to the label first in order; rows that repeat id, label and text are
+learnt from once; columns not named are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 #: Labelled documents of each language that training and calibration see.
 PER_LANGUAGE = 400
+#: Subwords of each of them; a longer text gives every k-th, so a sample's size is bounded.
+PER_TEXT = 1 << 16
 EPOCHS = 6
 RATE = 0.5
 MIN_CONFIDENCE = 0.5
@@ -191,23 +195,41 @@ def fold(id_col: str):
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(5))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> Model:
     """Train on the labelled documents outside fold 0: of each label the
-    ``per_language`` first by hash of the id.  Tasks turn whole texts into
-    subword buckets; the driver gets the sample's buckets only."""
+    ``per_language`` first by hash of id and text.  Tasks turn whole texts into
+    subword buckets, one task trains on the sample, and the driver gets the
+    model's table only."""
     known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col) != 0))
-    place = Window.partitionBy(label_col).orderBy(F.xxhash64(id_col), id_col)
-    chosen = known.select(id_col, label_col).withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= per_language).select(id_col).distinct()
-    rows = known.select(id_col, F.col(label_col).alias("label"), F.col(text_col).cast("binary").alias("raw"))
-    rows = rows.join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), "label", "raw")  # per_language ids a label
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = known.select(F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("binary").alias("raw"))
+    known = known.withColumn("digest", F.xxhash64("raw"))
+    place = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "digest")
+    # copies count once: they must not use the bound up
+    chosen = known.select("id", "label", "digest").distinct().withColumn("n", F.row_number().over(place)).where(F.col("n") <= per_language)
+    chosen = chosen.select(F.col("id").alias("i"), F.col("label").alias("l"), F.col("digest").alias("d"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("label") == F.col("l")) & (F.col("digest") == F.col("d"))
+    rows = known.join(F.broadcast(chosen), same, "left_semi").groupBy("id", "label", "digest").agg(F.first("raw").alias("raw"))  # per_language rows a label
+
+    def buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in common.slices(batches, "raw"):
             buckets, bounds = subwords(piece.column("raw"))
-            yield pa.RecordBatch.from_arrays([piece.column("id").cast(pa.string()), piece.column("label"), common.binary_array(buckets.astype("<u2").view(np.uint8), bounds * 2)], ["id", "label", "buckets"])
-
-    found = sorted(rows.mapInArrow(common.lean(task), "id string, label string, buckets binary").collect(), key=lambda r: (r["id"], r["buckets"]))
-    return train([np.frombuffer(r["buckets"], "<u2").astype(np.int64) for r in found], [r["label"] for r in found])
+            parts = [buckets[a:b][::max(1, -(-(b - a) // per_text))].astype("<u2").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("label"), pa.array(parts, pa.binary())], ["id", "label", "buckets"])
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "buckets")))]
+        found.sort(key=lambda r: (r[0] or "", r[1], r[2]))
+        model = train([np.frombuffer(r[2], "<u2") for r in found], [r[1] for r in found])
+        table = np.concatenate([model.scores.ravel(), model.bias, [model.sharpness, model.pivot]])
+        yield pa.RecordBatch.from_arrays([pa.array([list(model.labels)], pa.list_(pa.string())), pa.array([table.astype("<f8").tobytes()], pa.binary())], ["labels", "numbers"])
+
+    sample = rows.mapInArrow(common.lean(buckets_of), "id string, label string, buckets binary")
+    found = sample.repartition(1).mapInArrow(common.lean(trained), "labels array<string>, numbers binary").first()
+    if found is None:
+        return train([], [])
+    labels, numbers = tuple(found["labels"]), np.frombuffer(found["numbers"], "<f8")
+    size = BUCKETS * len(labels)
+    return Model(labels, numbers[:size].reshape(BUCKETS, len(labels)), numbers[size:-2], float(numbers[-2]), float(numbers[-1]))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "language") -> DataFrame:

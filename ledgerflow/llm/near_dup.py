@@ -131,6 +131,38 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def collisions(rows: np.ndarray, part: np.ndarray, matches: int = MATCHES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``a, b, counts``: for every member a of part 0 the members b that agree
+    with it in ``matches`` coordinates or more, each pair once.
+
+    A coordinate and its value are a posting list of the block's members.  Of
+    a's c lists with others on them, the c - matches + 1 shortest are merged; a
+    member on none of them cannot reach the count.  The long lists are never
+    merged: each member met so far is looked up in them."""
+    n, width = rows.shape
+    lists = np.empty((width, n), np.int64)  # members by value, coordinate by coordinate
+    begins, ends = np.empty((n, width), np.int64), np.empty((n, width), np.int64)
+    for k in range(width):
+        order = np.argsort(rows[:, k], kind="stable")
+        value = rows[order, k]
+        lists[k] = order
+        begins[:, k], ends[:, k] = np.searchsorted(value, rows[:, k], "left"), np.searchsorted(value, rows[:, k], "right")
+    lengths = ends - begins
+    for a in np.flatnonzero(part == 0).tolist():
+        shared = np.flatnonzero(lengths[a] > 1)
+        if len(shared) < matches:
+            continue
+        shared = shared[np.argsort(lengths[a, shared], kind="stable")]
+        merged, probed = shared[:len(shared) - matches + 1], shared[len(shared) - matches + 1:]
+        counts = np.bincount(np.concatenate([lists[k, begins[a, k]:ends[a, k]] for k in merged]), minlength=n)
+        met = np.flatnonzero(counts)
+        met = met[(met > a) | (part[met] != 0)]  # of two members of part 0, the first one asks
+        total = counts[met] + (rows[np.ix_(met, probed)] == rows[a, probed]).sum(axis=1)
+        hit = total >= matches
+        if hit.any():
+            yield a, met[hit], total[hit]
+
+
 def block_links(sets: list[np.ndarray], rows: np.ndarray, group: np.ndarray, part: np.ndarray, matches: int = MATCHES, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect what ought to be connected among the members of a
     block.  ``group``: labels known to be connected already (equal: connected);
@@ -143,16 +175,11 @@ def block_links(sets: list[np.ndarray], rows: np.ndarray, group: np.ndarray, par
         seen.setdefault(g, k)
     sizes = np.array([len(s) for s in sets])
     found = []
-    order = np.argsort(part, kind="stable")  # part 0 first
-    rows, last = rows[order], int((part == 0).sum())
-    for k in range(last):
-        same = (rows[k + 1:] == rows[k]).sum(axis=1)
-        hit = np.flatnonzero(same >= matches)
-        a, b = order[k], order[k + 1 + hit]
+    for a, b, same in collisions(rows, part, matches):
         near = 100 * np.minimum(sizes[b], sizes[a]) >= percent * np.maximum(sizes[b], sizes[a])
         if near.any():
             b = b[near]
-            found.append(np.stack([same[hit][near], np.full(len(b), a), b], axis=1))
+            found.append(np.stack([same[near], np.full(len(b), a), b], axis=1))
     if not found:
         return links
     pairs = np.concatenate(found)

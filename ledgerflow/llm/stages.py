@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import byte_bpe, decontaminate as decontamination, language_id as languages, near_dup as near_duplicates, secret_scan
-from ledgerflow.llm.common import table
+from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.queries import RANKS
 
 
@@ -21,9 +21,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: the smallest id."""
-    kept = near_duplicates.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """Keep one document of each group of near duplicates: the smallest id.
+
+    Where ids repeat or are null, every row is a document of its own, so equal
+    and similar rows keep one of them (an id before none) and unlike rows of
+    one id all stay; rows without words are linked with nothing and stay."""
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if repeated.isEmpty():
+        kept = near_duplicates.near_duplicates(docs).where("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    row, component = "_row" + "_" * max(map(len, docs.columns)), "component_id"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "near-dedup-rows")
+    found = near_duplicates.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), component)
+    first = numbered.select(row, F.col("doc_id").alias("_id")).join(found, row).groupBy(component).agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", row)).alias("least"))
+    return numbered.join(first.select(F.col("least")[row].alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -366,3 +366,35 @@ def test_op7_repeated_ids_count_once(spark, save):
 def save_and_search(spark, save, rows):
     folder = save(embeddings=spark.createDataFrame(rows, VECTORS).repartition(2))
     return sorted(tuple(r) for r in queries.op7_inverted_multi_index(spark, folder).collect())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(2, 40), st.integers(1, 4), st.integers(1, 12), st.booleans())
+def test_collisions_from_posting_lists(seed, n, values, matches, two_parts):
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(0, values * 3, (n, 12)) // values
+    part = rng.integers(0, 2, n) if two_parts else np.zeros(n, int)
+    got = [(min(a, b), max(a, b), c) for a, bs, cs in near_dup.collisions(rows, part, matches) for b, c in zip(bs.tolist(), cs.tolist())]
+    same = {(a, b): int((rows[a] == rows[b]).sum()) for a in range(n) for b in range(a + 1, n) if part[a] == 0 or part[b] == 0}
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b, c) for (a, b), c in same.items() if c >= matches}
+
+
+def test_near_dedup_keeps_one_row_of_a_group(spark):
+    copy, other, blank = " ".join(f"word{k}" for k in range(40)), " ".join(f"else{k}" for k in range(30)), " "
+    rows = [(1, copy), (1, copy), (2, copy), (None, copy), (1, other), (None, other + " x"), (5, blank), (5, blank), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("clash")).withColumn("component_id", F.lit(0)).repartition(3)
+    out = stages.near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, copy), (1, other), (5, blank), (5, blank), (None, None)], key=str)
+
+
+def test_language_sample_counts_copies_once_and_is_bounded(spark):
+    words = {"en": "alpha beta gamma delta", "fr": "epsilon zeta theta kappa"}
+    once = [(k, f"{words[lang]} {'xyzw'[k % 4] * 3}", lang) for k, lang in enumerate(["en", "fr"] * 30)]
+    kind = "doc_id long, text string, lang string"
+    label = [r for r in once if zlib.crc32(str(r[0]).encode()) % 5][0]
+    a, b, c = (language_id.fit(spark.createDataFrame(rows, kind), per_language=10, per_text=size) for rows, size in ((once, 1000), (once + [label] * 200, 1000), (once, 4)))
+    assert a.labels == b.labels == c.labels == ("en", "fr")
+    assert np.array_equal(a.scores, b.scores) and not np.array_equal(a.scores, c.scores)
