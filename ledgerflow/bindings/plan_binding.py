@@ -1,7 +1,9 @@
 """Plan entity (T2/T3) bound to the supplied tables, with its DuckDB oracle.
 
-The oracle is generated from the branch column maps (the entity's
-specification) and states the joins, merges and union directly in SQL.
+The oracle states column maps, joins, merges and union by itself: it takes
+nothing from the entity but the names and types of the target.  The feeds fill
+every column that a branch maps, each with values of its own, so an entry that
+is swapped or left out of a map shows.
 """
 
 from __future__ import annotations
@@ -9,6 +11,40 @@ from __future__ import annotations
 from ledgerflow.bindings.feeds import duck_sql, for_compare, ints_as_double, spark_sql
 from ledgerflow.plans.entities import plan as P
 
+# Columns of the daily plan feeds that follow a rule below instead of an expression of their own.
+DAILY_TEXTS = """
+    fiduciary_service_flag roth_ind auto_enroll_eaca_qaca_ind sdbo_status safe_harbor_percent safe_harbor_amount
+    plan_manager_name market_code primary_contact_last_name primary_contact_email primary_contact_phone_no
+    primary_contact_source_system crc_type qdia_portfolio_fund_series exchange_indicator migration_indicator
+    old_product_code old_fixed_fund_number old_billing_group fiduciary_services_program fee_deduction_method
+    mtf_fee_recovery ppf_fee_recovery wealth_management_for_retirement_allowed open_arch_menu_type
+    fid_ser_program_name fid_ser_fund_menu fid_ser_fee_ded_meth managed_accounts_program
+    managed_accounts_program_default_ managed_accounts_program_adoption_type managed_accounts_program_pricing_model
+    managed_account_fee_type ma_init_freelook_start_window ma_init_freelook_start_duration
+    ma_promotional_free_look_start_window ma_promotional_free_look_start_duration is_free_look_re_occurring
+    plan_offers_income_secure_for_managed_accounts asset_allocation_made_easier_is_qdia voya_as_advisor_is_qdia
+    ubs_financial_advisor ubs_plan_rep_id enh_send_notice_flag feed_alternate_account_number_ind
+    hardship_suspension initial_notification_service_ind managed_account_fee managed_account_service_ind
+    money_out_service_model permissible_withdrawal_ind qdia_default_fund_iv qdia_default_fund_number
+    qdia_portfolio_type_fund_name
+""".split()
+DAILY_DATES = """
+    wealth_management_start_date wealth_management_end_date managed_account_start_date managed_account_end_date
+    fid_ser_start_date fid_ser_end_date ma_init_freelook_start_date ma_promotional_free_look_start_date
+""".split()
+DAILY_AMOUNTS = """
+    mam_override_amount ma2_override_amount mtf_override_amout pcf_override_amount ppf_override_amount
+    dac_override_amount managed_account_default_salary
+""".split()
+
+
+def _fillers() -> str:
+    """A text, date or amount that differs from column to column and row to row; some are absent or bad."""
+    texts = [f"CASE WHEN c_custkey % 11 = {i % 11} THEN NULL ELSE '{c} ' || cast(c_custkey % 97 AS string) END AS {c}" for i, c in enumerate(DAILY_TEXTS)]
+    dates = [f"CASE WHEN c_custkey % 13 = {i} THEN 'no date' ELSE '20{10 + i}-0' || cast(1 + c_custkey % 9 AS string) || '-15' END AS {c}" for i, c in enumerate(DAILY_DATES)]
+    amounts = [f"CASE WHEN c_custkey % 17 = {i} THEN 'n/a' ELSE cast(c_custkey % 9 AS string) || '.{10 + i}' END AS {c}" for i, c in enumerate(DAILY_AMOUNTS)]
+    return ",\n        ".join(texts + dates + amounts)
+
 _P = "lpad(cast(c_custkey AS string), 6, '0')"
 _REGION_OF = ("CASE c_nationkey % 5 WHEN 0 THEN 'AFRICA' WHEN 1 THEN 'AMERICA' WHEN 2 THEN 'ASIA' "
               "WHEN 3 THEN 'EUROPE' ELSE 'MIDDLE EAST' END")
@@ -16,7 +52,8 @@ _PLAN_NO = f"CASE WHEN c_custkey = 7 THEN '666896' ELSE {_P} END"
 
 FEEDS = {
     "contacts": f"""SELECT CASE WHEN c_nationkey < 20 THEN {_P} ELSE 'no plan ' || {_P} END AS plan_id, c_name AS crm_name, lower(c_name) || '@example' AS crm_email,
-        cast(c_nationkey AS string) AS crm_phone, c_mktsegment AS trustee_name, cast(NULL AS string) AS trustee_email,
+        cast(c_nationkey AS string) AS crm_phone, c_mktsegment AS trustee_name,
+        CASE WHEN c_custkey % 4 > 0 THEN 'trustee ' || cast(c_custkey AS string) END AS trustee_email,
         cast(c_custkey AS string) AS trustee_phone FROM {{customer}}""",
     "cef": """SELECT CASE WHEN s_nationkey < 12 THEN 'NG' ELSE 'JB' END AS plan_client_id,
         lpad(cast(s_suppkey AS string), 6, '0') AS plan_number, 'SYS' || cast(s_suppkey AS string) AS plan_sys_key,
@@ -26,7 +63,7 @@ FEEDS = {
         'TPA full' AS plan_tpa_full_name, '2020-01-15' AS plan_issue_date, 'N' AS plan_expand_flag, '1231' AS plan_year_end,
         'Y' AS loans_allowed, cast(s_nationkey % 3 AS string) AS number_loans_allowed, 'Y' AS ing_send_notices,
         'H' AS hardship_suspension, 'S' AS sdbo_status, 'E' AS employer_stock, s_name AS plan_spon_addr_line_01,
-        'line 2' AS plan_spon_addr_line_02, cast(NULL AS string) AS plan_spon_addr_line_03, 'City' AS plan_spon_addr_city,
+        'line 2' AS plan_spon_addr_line_02, CASE WHEN s_suppkey % 3 = 0 THEN 'line 3' END AS plan_spon_addr_line_03, 'City' AS plan_spon_addr_city,
         'US' AS plan_spon_addr_country, '12345' AS plan_spon_addr_zip, 'NY' AS plan_spon_addr_state FROM {supplier}""",
     "pdab": """SELECT CASE WHEN s_nationkey < 5 THEN NULL ELSE 'NG' END AS client_id,
         lpad(cast(s_suppkey AS string), 6, '0') AS plan_number, 'PSK' || cast(s_suppkey AS string) AS plan_system_key,
@@ -49,7 +86,7 @@ def _extract(where: str) -> str:
         '2023-05-01' AS proposal_mail_date, CASE WHEN c_nationkey = 1 THEN 'notadate' ELSE '2023-06-01' END AS qdia_effective_date,
         'Q' AS qdia_option, 'E' || cast(c_custkey AS string) AS ease_db_plan_id, 'F' AS financial_engine_fees_ind,
         'Y' AS loan_eligibility, {_REGION_OF} AS irc_code, c_name AS plan_address_line_1, 'x' AS plan_address_line_2,
-        cast(NULL AS string) AS plan_address_line_3,
+        CASE WHEN c_custkey % 3 = 0 THEN 'floor ' || cast(c_custkey % 5 AS string) END AS plan_address_line_3,
         CASE WHEN c_nationkey = 2 THEN '99999-01-01' ELSE '2024-01-31' END AS source_cycle_date,
         'ST' AS state, 'Springfield' AS city, '00' || cast(c_custkey AS string) AS zip
         FROM {{customer}} WHERE {where}"""
@@ -60,15 +97,17 @@ def _daily(where: str) -> str:
         'SPK' AS superior_plan_reference_key, 'Superior' AS superior_plan_name, 'R' || cast(c_custkey AS string) AS planreferencekey,
         'ADM' AS admin_system, c_name AS plan_name_line_1, 'B1' AS billing_group, 'Y' AS erisa_flag, 'S1' AS ss_plan_sep_acct_code,
         upper(c_name) AS sponsor_full_name, 'street ' || cast(c_custkey AS string) AS plan_address_line_1,
-        cast(NULL AS string) AS plan_address_line_2, 'l3' AS plan_address_line_3, 'Metropolis' AS plan_address_city,
+        CASE WHEN c_custkey % 3 > 0 THEN 'suite ' || cast(c_custkey % 7 AS string) END AS plan_address_line_2, 'l3' AS plan_address_line_3, 'Metropolis' AS plan_address_city,
         'NJ' AS plan_address_state, '0123456789012' AS plan_address_zip_code, 'M' AS managed_account_flag,
         cast(cast(c_acctbal / 1000 AS decimal(6,2)) AS string) AS mai_override_amount, '1.234567' AS ma1_override_amount,
         'first' AS primary_contact_first_name, 'Y' AS auto_enroll, cast(c_nationkey AS string) AS portfolio_blueprint_tier_amount,
-        'R' AS pcf_fee_recovery_, '2021-02-03' AS start_date, 'bad-date' AS end_date, 'menu' AS fund_menu,
+        'R' AS pcf_fee_recovery_, '2021-02-03' AS start_date,
+        CASE WHEN c_custkey % 5 = 0 THEN 'bad-date' ELSE '2031-02-03' END AS end_date, 'menu' AS fund_menu,
         'ria' AS ama_ria_firm_name, 'U' AS ubs_program_flag, 'adv' AS ma_cust_adv_pgm, 'D' AS dwe_status,
         'Y' AS ing_send_notice_flag, cast(c_nationkey % 4 AS string) AS number_loans_allowed, 'line2' AS plan_name_line_2,
         '  Qx' AS qdia_indicator, '2018-08-08' AS plan_issue_date, cast(c_nationkey % 5 AS string) AS product_code,
-        '1231' AS plan_end_mmdd, CASE WHEN c_nationkey = 4 THEN '99999-12-31' ELSE '2024-01-30' END AS source_cycle_date
+        '1231' AS plan_end_mmdd, {_fillers()},
+        CASE WHEN c_nationkey = 4 THEN '99999-12-31' ELSE '2024-01-30' END AS source_cycle_date
         FROM {{customer}} WHERE {where}"""
 
 
@@ -137,14 +176,79 @@ def _project(exprs: dict, rk: str) -> str:
     return ",\n  ".join(cols + [f"{rk} AS {P.RECORD_KEEPING_COLUMN}"])
 
 
-def _mapped(cols, renames, same, prefix="b."):
-    out = {t: prefix + s for s, t in renames.items() if s in cols}
-    out.update({c: prefix + c for c in same if c in cols})
-    return out
+# What the branches select from their feeds, as "target" or "target=source".
+CEF_SELECT = """
+    client_id=plan_client_id plan_number plan_system_key=plan_sys_key source_system=plan_src_system
+    plan_company_code=plan_comp_code plan_manager_name=plan_manager plan_name_line_1=plan_name irc_code=plan_irc_code
+    irc_code_desc=plan_irc_code_text plan_product_code plan_product_short_name=plan_product_shrt_name
+    plan_unallocated_flag=plan_allocated_flag tpa_code=plan_tpa_code tpa_name=plan_tpa_full_name plan_issue_date
+    plan_expand_flag plan_end_mmdd=plan_year_end loans_allowed_flag=loans_allowed number_loans_allowed
+    voya_send_notices_flag=ing_send_notices hardship_suspension sdbo_status employer_stock
+    sponsor_address1=plan_spon_addr_line_01 sponsor_address2=plan_spon_addr_line_02
+    sponsor_address3=plan_spon_addr_line_03 sponsor_city=plan_spon_addr_city sponsor_country=plan_spon_addr_country
+    sponsor_zip_code=plan_spon_addr_zip sponsor_state=plan_spon_addr_state underlying_source_system=plan_src_system
+"""
+PDAB_SELECT = """
+    plan_number plan_system_key source_system=plan_source_system plan_company_code plan_name_line_1=plan_name
+    plan_issue_date sponsor_address1=plan_spon_add_line1 sponsor_address2=plan_spon_add_line2
+    sponsor_address3=plan_spon_add_line3 sponsor_city=plan_spon_city sponsor_country=plan_spon_country
+    sponsor_zip_code=plan_spon_zip_code sponsor_state=plan_spon_state underlying_source_system=plan_source_system
+"""
+EXTRACT_SELECT = """
+    plan_number ach_online_payment_flag advice_part_elig_allowed ein_number ein_suffix grp_plan_indicator
+    grp_product_name loan_401k_elective_limit loan_maximum_amount
+    loan_max_pct_vested_curr_val=loan_maximum_percent_of_vested_current_value loan_minimum_amount
+    max_deferral_amount max_deferral_percent model_portfolio_fix_acct_flag=model_portfolio_fixed_account_flag
+    model_portfolio_fix_acct_name=model_portfolio_fixed_account_name
+    model_portfolio_qdia_model_num=model_portfolio_qdia_model_number
+    model_portf_qdia_tgt_date_ind=mp_qdia_model_type_ind plan_administrator_name proposal_mail_date
+    qdia_effective_date qdia_option ease_db_plan_id financial_engine_fees_ind loans_allowed_flag=loan_eligibility
+    irc_code plan_address_line_1 plan_address_line_2 plan_address_line_3
+"""
+DAILY_SELECT = """
+    plan_number superior_plan_reference_key superior_plan_name plan_reference_key=planreferencekey admin_system
+    plan_name_line_1 billing_group erisa_flag ss_plan_sept_act_code=ss_plan_sep_acct_code
+    sponsor_name_line_1=sponsor_full_name sponsor_address1=plan_address_line_1 sponsor_address2=plan_address_line_2
+    sponsor_address3=plan_address_line_3 sponsor_city=plan_address_city sponsor_state=plan_address_state
+    plan_address_state plan_address_city managed_account_flag fiduciary_service_flag roth_ind
+    auto_enroll_eaca_qaca_ind sdbo_status safe_harbor_percent safe_harbor_amount plan_manager_name market_code
+    mam_override_amount mai_override_amount ma1_override_amount ma2_override_amount primary_contact_first_name
+    primary_contact_last_name primary_contact_email primary_contact_phone_no primary_contact_source_system
+    auto_enroll crc_type qdia_portfolio_fund_series exchange_indicator migration_indicator old_product_code
+    old_fixed_fund_number old_billing_group fiduciary_services_program start_date end_date fund_menu
+    fee_deduction_method portfolio_blueprint_tier_amt=portfolio_blueprint_tier_amount mtf_override_amout
+    mtf_fee_recovery pcf_override_amount pcf_fee_recovery=pcf_fee_recovery_ ppf_override_amount ppf_fee_recovery
+    dac_override_amount wealth_mgmt_retirement_allowed=wealth_management_for_retirement_allowed
+    wealth_management_start_date wealth_management_end_date open_arch_menu_type managed_account_end_date
+    managed_account_start_date fid_ser_program_name fid_ser_start_date fid_ser_end_date fid_ser_fund_menu
+    fid_ser_fee_ded_meth managed_accounts_program ma_program_default=managed_accounts_program_default_
+    ma_program_adoption_type=managed_accounts_program_adoption_type
+    ma_program_pricing_model=managed_accounts_program_pricing_model managed_account_fee_type
+    ma_init_freelook_start_date ma_init_freelook_start_window
+    ma_init_freelook_start_durn=ma_init_freelook_start_duration
+    ma_promo_freelook_start_date=ma_promotional_free_look_start_date
+    ma_promo_freelook_start_window=ma_promotional_free_look_start_window
+    ma_promo_freelook_start_durn=ma_promotional_free_look_start_duration
+    is_free_look_recurring=is_free_look_re_occurring ma_ama_ria_firm_name=ama_ria_firm_name
+    income_secure_ma_flag=plan_offers_income_secure_for_managed_accounts managed_account_default_salary
+    asset_alloc_made_easy_is_qdia=asset_allocation_made_easier_is_qdia
+    ma_voya_as_advisor_is_qdia=voya_as_advisor_is_qdia usb_pgm_flag=ubs_program_flag
+    financial_advisor=ubs_financial_advisor rep_id=ubs_plan_rep_id ma_cust_adv_pgv=ma_cust_adv_pgm dwe_status
+    enh_send_notice_flag alternate_acct_number_ind=feed_alternate_account_number_ind hardship_suspension
+    initial_notification_srvc_ind=initial_notification_service_ind managed_account_fee managed_account_service_ind
+    money_out_service_model voya_send_notices_flag=ing_send_notice_flag permissible_withdrawal_ind
+    number_loans_allowed plan_name_line_2 qdia_default_fund_iv qdia_default_fund_number
+    qdia_portfolio_type_fund_name plan_issue_date plan_product_code=product_code plan_end_mmdd
+"""
+
+
+def _selected(listed: str) -> dict[str, str]:
+    pairs = (entry.partition("=") for entry in listed.split())
+    return {target: f"b.{source or target}" for target, _, source in pairs}
 
 
 def _contacts():
-    return {c: f"dt.{c}" for c in P.CONTACT_COLUMNS}
+    return {c: f"dt.{c}" for c in ("crm_name", "crm_email", "crm_phone", "trustee_name", "trustee_email", "trustee_phone")}
 
 
 def _flag():
@@ -176,15 +280,13 @@ def _common_joins(acct):
             " WHERE plan_number IS NOT NULL AND plan_number <> '' GROUP BY plan_number) ptd ON b.plan_number = ptd.plan_number")
 
 
-def oracle_sql(cols: dict[str, list[str]], allocated: bool = False) -> str:
+def oracle_sql(allocated: bool = False) -> str:
     ctes = ",\n".join(f"{k} AS ({duck_sql(v)})" for k, v in FEEDS.items())
-    cef_e = _mapped(cols["cef"], P.CEF_RENAMES, P.CEF_SAME) | _contacts() | {
-        "grp_product_desc": "'PAYOUT'", "underlying_source_system": "b.plan_src_system"}
-    pdab_e = _mapped(cols["pdab"], P.PDAB_RENAMES, P.PDAB_SAME) | _contacts() | {
-        "client_id": "coalesce(b.client_id, '-9999')", "underlying_source_system": "b.plan_source_system"}
+    cef_e = _selected(CEF_SELECT) | _contacts() | {"grp_product_desc": "'PAYOUT'"}
+    pdab_e = _selected(PDAB_SELECT) | _contacts() | {"client_id": "coalesce(b.client_id, '-9999')"}
 
     def extract(ch, address=False):  # ch: ng, jb, or all (jb rules over every customer)
-        e = _mapped(cols["ext_ng"], P.EXTRACT_RENAMES, P.EXTRACT_SAME) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
+        e = _selected(EXTRACT_SELECT) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
             "ein_full": "concat(b.ein_number, b.ein_suffix)", "irc_code_desc": "pr.source_system_field_value_txt",
             "tpa_name": "trim(stpa.name)"}
         if ch == "ng":
@@ -198,11 +300,8 @@ def oracle_sql(cols: dict[str, list[str]], allocated: bool = False) -> str:
                 "LEFT JOIN (SELECT * FROM role_helper WHERE source_system_nm = 'CASE PROF') pr ON b.irc_code = pr.source_system_field_value")
 
     def daily(ch):
-        e = _mapped(cols[f"daily_{ch}"], P.DAILY_RENAMES, P.DAILY_SAME) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
-            "sponsor_address1": "b.plan_address_line_1", "sponsor_address2": "b.plan_address_line_2",
-            "sponsor_address3": "b.plan_address_line_3", "sponsor_city": "b.plan_address_city",
-            "sponsor_state": "b.plan_address_state", "sponsor_zip_code": "substring(b.plan_address_zip_code, 1, 9)",
-            "plan_address_state": "b.plan_address_state", "plan_address_city": "b.plan_address_city",
+        e = _selected(DAILY_SELECT) | _shared("VRP-PB" if ch == "ng" else "VRP-SP") | {
+            "sponsor_zip_code": "substring(b.plan_address_zip_code, 1, 9)",
             "plan_address_zip_code": "substring(b.plan_address_zip_code, 1, 9)", "sponsor_country": "pres.sponsor_country",
             "qdia_indicator": "substring(trim(b.qdia_indicator), 1, 1)",
             "uses_contrib_rate_escalator": "sit.uses_contribution_rate_escalator",

@@ -679,36 +679,48 @@ from ledgerflow.plans.entities.producer_balance import producer_balance  # noqa:
 AS_OF = "2024-02-01"  # fills missing dates in the bound entities, so results do not follow the clock
 
 
-def _txn_duck_value(name, src, kind, label, client_default):
-    c = f"t1.{src}" if src else None
-    if kind == "k":
-        return f"coalesce({c}, '-9999') AS {name}"
-    if kind == "client":
-        return f"coalesce(pld.client_id, '{client_default}') AS {name}"
-    if kind == "rev":
-        return f"coalesce(nullif({c}, ''), '0') AS {name}"
-    if kind == "dk":
-        return f"cast(coalesce(try_cast({c} AS date), DATE '{AS_OF}') AS varchar) AS {name}"
-    if kind == "d":
-        return f"cast(try_cast({c} AS date) AS varchar) AS {name}"
-    if kind == "i":
-        return f"cast(try_cast({c} AS integer) AS double) AS {name}"
-    if kind == "n":
-        return f"cast(NULL AS varchar) AS {name}"
-    if kind == "label":
-        return f"'{label}' AS {name}"
-    if kind.startswith("decimal"):
-        return f"cast(try_cast({c} AS {kind}) AS double) AS {name}"
-    if src.startswith("tt_"):
-        return f"tt1.{src[3:]} AS {name}"
-    if src == "_fund_number":
-        return f"pf.fund_number AS {name}"
-    return f"{c} AS {name}"
+# The transaction columns, by how they are taken from the feed ("target" or "target=source").
+_TXN_TEXTS = """
+    margin_code reversal_reason money_source fund_iv=fund_id standard_usage_code_1 standard_usage_code_2
+    standard_usage_code_3 standard_usage_code_4 standard_usage_code_5 trade_type usage_code_1 usage_code_2
+    usage_code_3 usage_code_4 usage_code_5 use_plan_year_flag record_type rec_type plan_sequence pend_stat
+    currency_code xr_type rec_code plan_num fileid_name fileid_ext fileid_ptr_indic tran_code part_num_x
+    part_sub_plan part_ext1 fund_src etin_num separate_acct company_code share_class seq_oper_code part_ext
+"""
+_TXN_INTEGERS = """
+    alt_posting_process_counter=alternate_posting_process_counter associated_activity sub_activity_code=sub_activity
+    voucher_number part_num tran_seq
+"""
+_TXN_DATES = "pay_period_end_date previous_activity_date reverse_run_date"
+_TXN_AMOUNTS = """
+    13,2:cash 13,2:other_cash 15,2:reserved_cash_shares_ind 13,2:share_cost 13,6:share_price 13,4:shares
+    13,2:uninvested_cash 13,2:currency_value 11,6:xr_rate 13,2:net_currency_value
+"""
+
+
+def _txn_duck_columns(label: str, client_default: str) -> str:
+    def pairs(listed):
+        return [(target, source or target) for target, _, source in (e.partition("=") for e in listed.split())]
+
+    keys = ("participant_id", "plan_number", "base_transaction_code", "activity_type", "run_time", "sequence_number",
+            "posting_process_counter")
+    cols = [f"coalesce(t1.{c}, '-9999') AS {c}" for c in keys]
+    cols += [f"cast(coalesce(try_cast(t1.{c} AS date), DATE '{AS_OF}') AS varchar) AS {c}" for c in ("trade_date", "run_date")]
+    cols += [
+        "coalesce(nullif(t1.rev_code, ''), '0') AS rev_code", f"coalesce(pld.client_id, '{client_default}') AS client_id",
+        "tt1.category AS category", "tt1.activity AS activity", "tt1.activity_code_description AS activity_code_description",
+        "pf.fund_number AS fund_number", f"'{label}' AS source_system",
+        "cast(NULL AS varchar) AS source_processing_date", "cast(NULL AS varchar) AS source_cycle_date",
+    ]
+    cols += [f"t1.{source} AS {target}" for target, source in pairs(_TXN_TEXTS)]
+    cols += [f"cast(try_cast(t1.{source} AS integer) AS double) AS {target}" for target, source in pairs(_TXN_INTEGERS)]
+    cols += [f"cast(try_cast(t1.{c} AS date) AS varchar) AS {c}" for c in _TXN_DATES.split()]
+    cols += [f"cast(try_cast(t1.{c} AS decimal({size})) AS double) AS {c}" for size, _, c in (e.partition(":") for e in _TXN_AMOUNTS.split())]
+    return ",\n  ".join(cols)
 
 
 def _txn_duck_channel(feed, fund_col, label, client_default, latest=True, rules=_CASE_ON):
-    cols = ",\n  ".join(_txn_duck_value(n, s, k, label, client_default) for n, s, k in txn_entity.TXN_LAYOUT)
-    return f"""SELECT {cols}, t1.batch_date
+    return f"""SELECT {_txn_duck_columns(label, client_default)}, t1.batch_date
 FROM (SELECT * FROM ({duck_sql(feed)}) x {f"WHERE batch_date IN (SELECT DISTINCT batch_date FROM ({duck_sql(feed)}) y ORDER BY 1 DESC LIMIT 2)" if latest else ""}) t1
 LEFT JOIN (SELECT fund_iv, plan_number, {fund_col} AS fund_number FROM ({duck_sql(fd.TXN_FUNDS_FEED)})) pf
   ON t1.fund_id = pf.fund_iv AND t1.plan_number = pf.plan_number
@@ -717,11 +729,12 @@ LEFT JOIN ({duck_sql(fd.TYPES_FEED)}) tt1 ON {rules.replace('t.', 't1.').replace
 WHERE t1.participant_id <> '000000000' AND tt1.process_flag = 'Y'"""
 
 
-_TXN_KEY = ", ".join(txn_entity.TXN_KEY)
+_TXN_KEY = ("activity_type, base_transaction_code, participant_id, plan_number, posting_process_counter, rev_code, "
+            "run_date, run_time, trade_date, sequence_number")
 _TXN_ORACLE = f"""WITH u AS ({_txn_duck_channel(fd.TXN_NG_FEED, 'fund_code', 'VRP-PB', 'NG')}
 UNION ALL {_txn_duck_channel(fd.TXN_JB_FEED, 'price_id', 'VRP-SP', '-9999')}),
 r AS (SELECT *, rank() OVER (PARTITION BY {_TXN_KEY} ORDER BY batch_date DESC) AS rk FROM u)
-SELECT {', '.join(txn_entity.TXN_COLUMNS)} FROM r WHERE rk = 1"""
+SELECT * EXCLUDE (batch_date, rk) FROM r WHERE rk = 1"""
 
 
 def _txn_inputs(spark, sf):
@@ -740,7 +753,7 @@ def q_txn(spark, sf):
 _TXN_SINGLE_RULES = _CASE_ON.replace("'035', ", "'35', ").replace("'815', ", "")
 
 
-@register("txn_single_feed", f"""SELECT {', '.join(txn_entity.TXN_COLUMNS)} FROM (
+@register("txn_single_feed", f"""SELECT * EXCLUDE (batch_date) FROM (
 {_txn_duck_channel(fd.TXN_JB_FEED, 'price_id', 'VRP-SP', '-9999', latest=False, rules=_TXN_SINGLE_RULES)}) u""")
 def q_txn_single_feed(spark, sf):
     _, jb, types = _txn_inputs(spark, sf)
@@ -905,19 +918,10 @@ def q_id_rewrite(spark, sf):
 
 
 # ---------------------------------------------------------------- T2/T3 ----
-import re as _re  # noqa: E402
-
 from ledgerflow.bindings import plan_binding  # noqa: E402
 
-
-def _select_names(sql: str) -> list[str]:
-    """Output column names of a feed template (the aliases of its select list)."""
-    return _re.findall(r"\bAS (\w+)\s*(?:,|\s+FROM\b)", sql, flags=_re.S)
-
-
-_PLAN_COLS = {k: _select_names(v) for k, v in plan_binding.FEEDS.items()}
-register("plan", plan_binding.oracle_sql(_PLAN_COLS))(plan_binding.q_plan)
-register("plan_allocated", plan_binding.oracle_sql(_PLAN_COLS, allocated=True))(plan_binding.q_plan_allocated)
+register("plan", plan_binding.oracle_sql())(plan_binding.q_plan)
+register("plan_allocated", plan_binding.oracle_sql(allocated=True))(plan_binding.q_plan_allocated)
 
 from ledgerflow.bindings import jobs  # noqa: E402
 

@@ -157,10 +157,11 @@ DAILY_SAME = (
 
 
 def _mapped(df: DataFrame, renames: Mapping[str, str], same: Sequence[str]) -> dict[str, str]:
-    """Target expressions (SQL text) for the source columns this frame carries (absent ones stay NULL)."""
-    out = {t: f"`{s}`" for s, t in renames.items() if s in df.columns}
-    out.update({c: f"`{c}`" for c in same if c in df.columns})
-    return out
+    """Target expressions (SQL text) of the mapped source columns; a feed that lacks one is an error."""
+    missing = [c for c in (*renames, *same) if c not in df.columns]
+    if missing:
+        raise ValueError(f"the plan feed lacks mapped columns: {', '.join(missing)}")
+    return {t: f"`{s}`" for s, t in renames.items()} | {c: f"`{c}`" for c in same}
 
 
 def _contacts_join(base: DataFrame, contacts: DataFrame, plan_col: str = "plan_number") -> DataFrame:
