@@ -297,6 +297,21 @@ def q_null_safe(spark, sf):
     return j.select("c_custkey", "seg", "seg_count")
 
 
+# half of the orders have no participant and half of those no plan either: one key holds a quarter of the rows
+_HALF_NULL = """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS part, CASE WHEN o_orderkey % 4 > 0 THEN o_orderpriority END AS plan FROM {orders}"""
+
+
+@register("null_safe_dealt", f"""WITH o AS ({duck_sql(_HALF_NULL)}),
+  s AS (SELECT part, plan, count(*) AS n, min(o_orderkey) AS least FROM o GROUP BY 1, 2)
+SELECT o.o_orderkey, o.part, o.plan, s.n, s.least FROM o LEFT JOIN s
+  ON coalesce(cast(o.part AS varchar), '-9999') = coalesce(cast(s.part AS varchar), '-9999') AND coalesce(o.plan, '-9999') = coalesce(s.plan, '-9999')""")
+def q_null_safe_dealt(spark, sf):
+    o = spark_sql(spark, sf, _HALF_NULL).withColumn("part", F.col("part").cast("string"))
+    s = o.groupBy(F.col("part").alias("s_part"), F.col("plan").alias("s_plan")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("least"))
+    j = joins.dealt_join(o, s, [("part", "s_part"), ("plan", "s_plan")])
+    return j.select("o_orderkey", F.col("part").cast("long").alias("part"), "plan", "n", "least")
+
+
 # ---------------------------------------------------------------- J10 ------
 @register("right_join", """SELECT c.c_custkey, c.c_name, cast(o.o_orderkey AS varchar) AS o_orderkey, o.o_orderstatus
 FROM orders o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey""")
@@ -870,6 +885,14 @@ def q_raw_load(spark, sf):
     return spark.read.parquet(out["valid"])
 
 
+@register("audit_counts", f"""SELECT 'SUCCESS' AS status, v.n + x.n AS record_count, v.n AS valid_count, x.n AS rejected_count
+FROM (SELECT count(*) AS n FROM ({_RAW_ORACLE})) v, (SELECT count(*) - (SELECT count(*) FROM ({_RAW_ORACLE})) AS n FROM ({duck_sql(fd.STAGING_FEED)}) WHERE batch_date = '20240131') x""")
+def q_audit_counts(spark, sf):
+    base = scratch_path(spark, "raw")
+    raw_load.staging_to_raw(spark, spark_sql(spark, sf, fd.STAGING_FEED, spread=True), _RAW_PARAMS, "20240131", base, audit_path=f"{base}/_audit")
+    return writers.read_audit(spark, f"{base}/_audit").select("status", "record_count", "valid_count", "rejected_count")
+
+
 @register("raw_rejected", _RAW_ORACLE.replace(
     "SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r\nWHERE rn = 1 AND NOT",
     "SELECT plan_number, client_id, participant_id, status_text, amount, batch_date, trade_date, source_cycle_date FROM r\nWHERE rn > 1 OR") .replace(

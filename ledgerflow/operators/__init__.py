@@ -14,6 +14,8 @@ from ledgerflow.operators.conform import conform, union_conformed
 from ledgerflow.operators.copies import collapse_copies, expand_copies, expand_numbered
 from ledgerflow.operators.joins import (
     broadcast_if_small,
+    dealt_join,
+    heavy_keys,
     keep_latest_batches,
     latest_batches,
     merge_frames,
@@ -39,6 +41,7 @@ from ledgerflow.operators.quality import (
     flag_invalid_plan_ids,
     flag_invalid_sma_balance,
     init_flags,
+    observe_counts,
     record_count,
     rejected_rows,
     valid_rows,

@@ -41,6 +41,47 @@ def sentinel_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     return cond
 
 
+# A key counts as heavy from this share of a side's rows (so a side has at most 64 of them), and its rows are
+# dealt over this many join keys.
+HEAVY_SHARE = 1 / 64
+HEAVY_DEAL = 64
+
+
+def _sentinel_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.xxhash64(*[sentinel(df[c].cast("string")) for c in cols])
+
+
+def heavy_keys(df: DataFrame, cols: Sequence[str], share: float = HEAVY_SHARE) -> list[int]:
+    """Hashes of the sentinel keys that hold ``share`` of the rows or more: a
+    frequency sketch, filled by one combinable aggregate.  At most ``1 / share``
+    numbers come to the driver, whatever the size of the input."""
+    most = int(1 / share)
+    found = df.select(_sentinel_hash(df, cols).alias("_h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_h, {most}, {100 * most})").alias("top")).first()
+    return sorted(e["item"] for e in found["top"] or [] if e["item"] is not None and e["count"] >= share * found["n"])
+
+
+def dealt_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
+               heavy: Sequence[int] | None = None, deal: int = HEAVY_DEAL) -> DataFrame:
+    """J3 as :func:`sentinel_on` joins, with heavy keys dealt over tasks.
+
+    Left rows of a heavy key (the NULL key above all) get one of ``deal``
+    numbers, drawn from the row's values, so a task that is run again draws
+    the same; right rows of such a key are there once per number.  All other keys are
+    joined as they are.  ``heavy``: :func:`heavy_keys` of the left side or of
+    what it was made from (None: looked up here, one more pass over two columns)."""
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"a {how!r} join would return unmatched right rows once per number")
+    hot = list(heavy if heavy is not None else heavy_keys(left, [a for a, _ in pairs]))
+    if not hot:
+        return left.join(right, sentinel_on(left, right, pairs), how)
+    drawn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(deal)).cast("int")
+    one = left.withColumn("_deal", F.when(_sentinel_hash(left, [a for a, _ in pairs]).isin(hot), drawn).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(deal - 1))
+    many = right.withColumn("_deal_of", F.explode(F.when(_sentinel_hash(right, [b for _, b in pairs]).isin(hot), every).otherwise(F.array(F.lit(0)))))
+    return one.join(many, sentinel_on(one, many, pairs) & (one["_deal"] == many["_deal_of"]), how).drop("_deal", "_deal_of")
+
+
 def prefix(c: Column, length: int = 13) -> Column:
     """J7/J8 key expression: the first ``length`` characters."""
     return F.substring(c, 1, length)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.copies import (
@@ -129,6 +129,21 @@ def rejected_rows(df: DataFrame) -> DataFrame:
     return df.where(q(FLAG))
 
 
+def observe_counts(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Q6 without a job of its own: ``df`` with its rows and its rejected rows
+    counted by the first action that reads it, and a function that returns
+    ``record_count``, ``valid_count`` and ``rejected_count`` once that is done."""
+    seen = Observation()
+    rejected = F.count_if(q(FLAG)) if FLAG in df.columns else F.lit(0).cast("long")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), rejected.alias("bad"))
+
+    def counts() -> dict[str, int]:
+        found = seen.get
+        return {"record_count": found["n"], "valid_count": found["n"] - found["bad"], "rejected_count": found["bad"]}
+
+    return watched, counts
+
+
 def record_count(df: DataFrame) -> int:
     """Q6."""
     return df.count()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.cleansing import NULL_KEY
 from ledgerflow.operators.aggregates import distinct_concat, role_type_code
-from ledgerflow.operators.joins import prefix, sentinel
+from ledgerflow.operators.joins import dealt_join, heavy_keys, prefix, sentinel
 
 # Money types and the loan system that reports principal.
 MONEY_EE = "EE"
@@ -64,8 +64,10 @@ def producer_balance(producer: DataFrame, core: DataFrame, loans: DataFrame, lif
         F.sum(F.coalesce(money("cash_value_amt"), zero)).alias("life")
     ).withColumnsRenamed({"plan_number": "m3_plan", "participant_id": "m3_pid", "valuation_date": "life_valuation_date"})
 
-    j = pr.join(m1, (sentinel(pr["plan_number"]) == sentinel(m1["m1_plan"]))
-                & (sentinel(pr["participant_id"]) == sentinel(prefix(m1["m1_pid"]))), "inner")
+    # producers without plan and participant meet in one key: it is found in the feed and dealt over tasks
+    m1 = m1.withColumn("m1_prefix", prefix(F.col("m1_pid")))
+    on = [("plan_number", "m1_plan"), ("participant_id", "m1_prefix")]
+    j = dealt_join(pr, m1, on, "inner", heavy_keys(producer, [a for a, _ in on]))
     j = j.join(m2, (j["m1_plan"] == m2["m2_plan"]) & (prefix(j["m1_pid"]) == prefix(m2["m2_pid"])), "left")
     life_on = sentinel(m3["m3_plan"]) == sentinel(j["m1_plan"])
     if strict_life_join:

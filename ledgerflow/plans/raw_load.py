@@ -4,7 +4,8 @@ Reads the batch from the staging table, cleanses, normalises dates,
 flags bad rows, splits valid / rejected, writes both (rejected by
 dynamic partition overwrite, valid by overwrite or MERGE), applies
 participant-id changes for incremental feeds (T9) and records an audit
-row.  The valid/rejected frames come from one persisted frame.  An
+row with the counts of all, valid and rejected rows.  The valid/rejected
+frames come from one persisted frame.  An
 incremental load and its id changes are one write of the table, old
 versions beyond ``keep_versions`` go, and with a ``database`` the tables
 are registered in the catalog under the feed's table name.
@@ -12,7 +13,7 @@ are registered in the catalog under the feed's table name.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -27,6 +28,7 @@ from ledgerflow.operators.quality import (
     flag_duplicates,
     flag_invalid_plan_ids,
     flag_invalid_sma_balance,
+    observe_counts,
     rejected_rows,
     valid_rows,
 )
@@ -157,9 +159,10 @@ def staging_to_raw(
         if database is not None:
             writers.register_table(spark, f"{database}.{table}", path, writers.read_declared(spark, path).schema, parts)
 
-    def job() -> dict[str, str]:
-        batch = staging.where(F.col("batch_date") == batch_date)  # partition filter at the scan
-        flagged = cleanse_batch(batch, params, batch_date).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = staging.where(F.col("batch_date") == batch_date)  # partition filter at the scan
+
+    def job(watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, str]:
+        flagged = watch(cleanse_batch(batch, params, batch_date)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             out = {}
             if "to_drop" in flagged.columns:
@@ -189,5 +192,13 @@ def staging_to_raw(
 
     if audit_path is None:
         return job()
-    return writers.run_with_audit(spark, audit_path, job, source_name=params.source_name, file_name=params.file_name,
-                                  batch_date=batch_date, table_name=params.table_name)
+    seen: list[Callable[[], dict[str, int]]] = []
+
+    def watched(df: DataFrame) -> DataFrame:
+        df, counts = observe_counts(df)
+        seen.append(counts)
+        return df
+
+    # the rows are counted where the first write fills the cache
+    return writers.run_with_audit(spark, audit_path, lambda: job(watched), source_name=params.source_name, file_name=params.file_name,
+                                  batch_date=batch_date, table_name=params.table_name, counts=lambda: seen[0]())

@@ -14,6 +14,7 @@ from ledgerflow.sinks.writers import (
     merge_into_partitions,
     overwrite,
     overwrite_table,
+    read_audit,
     read_current,
     read_partitioned,
     run_with_audit,

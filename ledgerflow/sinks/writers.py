@@ -33,7 +33,8 @@ from ledgerflow.session import scratch_path
 
 AUDIT_SCHEMA = (
     "source_name string, file_name string, batch_date string, table_name string, "
-    "etl_start_datetime string, etl_end_datetime string, status string, created_by string"
+    "etl_start_datetime string, etl_end_datetime string, status string, created_by string, "
+    "record_count long, valid_count long, rejected_count long"
 )
 # Audit status words and author.
 STATUS_SUCCESS = "SUCCESS"
@@ -349,8 +350,15 @@ def _drop_partition(spark: SparkSession, path: str, cols: list[str], values: lis
 # ---- run audit (K10) ----------------------------------------------------------
 
 def audit_row(spark: SparkSession, source_name: str, file_name: str, batch_date: str, table_name: str,
-              start: str, end: str, status: str = STATUS_SUCCESS, created_by: str = CREATED_BY) -> DataFrame:
-    return spark.createDataFrame([(source_name, file_name, batch_date, table_name, start, end, status, created_by)], AUDIT_SCHEMA)
+              start: str, end: str, status: str = STATUS_SUCCESS, created_by: str = CREATED_BY,
+              counts: Mapping[str, int] | None = None) -> DataFrame:
+    counted = [(counts or {}).get(c) for c in ("record_count", "valid_count", "rejected_count")]
+    return spark.createDataFrame([(source_name, file_name, batch_date, table_name, start, end, status, created_by, *counted)], AUDIT_SCHEMA)
+
+
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """All audit rows; those written before counts were kept have NULL counts."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
 
 
 def now_text() -> str:
@@ -358,8 +366,10 @@ def now_text() -> str:
 
 
 def run_with_audit(spark: SparkSession, audit_path: str, job: Callable[[], object], *, source_name: str,
-                   file_name: str, batch_date: str, table_name: str) -> object:
-    """Run ``job`` and append one audit row: SUCCESS, or FAILED before re-raising."""
+                   file_name: str, batch_date: str, table_name: str,
+                   counts: Callable[[], Mapping[str, int]] | None = None) -> object:
+    """Run ``job`` and append one audit row: SUCCESS, or FAILED before re-raising.
+    ``counts`` gives the row counts of a job that succeeded; a failed one has none."""
     start = now_text()
     try:
         result = job()
@@ -369,5 +379,5 @@ def run_with_audit(spark: SparkSession, audit_path: str, job: Callable[[], objec
         except Exception as unwritten:  # the job's own error is what the caller must see
             failed.add_note(f"the audit row could not be written: {unwritten}")
         raise
-    append(audit_row(spark, source_name, file_name, batch_date, table_name, start, now_text(), STATUS_SUCCESS), audit_path)
+    append(audit_row(spark, source_name, file_name, batch_date, table_name, start, now_text(), STATUS_SUCCESS, counts=counts() if counts else None), audit_path)
     return result
