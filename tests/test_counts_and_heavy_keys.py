@@ -136,3 +136,28 @@ def test_batches_are_chosen_on_key_columns_alone(spark):
     assert kept.columns == ng["feed"].columns and kept.count() <= ng["feed"].count()
     with pytest.raises(ValueError, match="category"):
         T.txn(ng, jb, types, key=("participant_id", "category"))
+
+
+# ---- joins that make many rows of few ------------------------------------------------
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_product_join_deals_a_heavy_key_over_parts(spark, how):
+    left = spark.createDataFrame([("a", i) for i in range(200)] + [("b", 1), ("none", 2), (None, 3)], "k string, v int")
+    right = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 7), ("b", 8), (None, 9)], "r string, w int")
+    got = joins.product_join(left, right, [("k", "r")], how, part_pairs=500)
+    assert rows(got) == rows(left.join(right, left["k"] == right["r"], how))
+    parts = got.where("k = 'a'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 200 * 50 / 2
+
+
+def test_rule_join_of_many_types_deals_their_products(spark, monkeypatch):
+    codes = ", ".join(f"cast(NULL AS string) AS {c}" for c in joins.TYPE_CODE_COLUMNS)
+    types = spark.range(40).selectExpr("if(id < 0, '100', '035') AS base_transaction_code", "'1' AS activity_type", "id AS tid", *codes.split(", "))
+    txns = spark.range(300).selectExpr("if(id % 100 = 0, '100', '035') AS base_transaction_code", "cast(id AS string) AS activity_type", "id", *codes.split(", "))
+    want = rows(joins.rule_join(txns, types, how="inner").select("id", "tt_tid"))
+    monkeypatch.setattr(joins, "is_small", lambda *a, **k: False)
+    monkeypatch.setattr(joins.product_join, "__defaults__", ("inner", 1000, 64))
+    got = joins.rule_join(txns, types, how="inner")
+    assert rows(got.select("id", "tt_tid")) == want
+    assert got.select(F.spark_partition_id()).distinct().count() >= 4
+    left = joins.rule_join(txns, types, how="left")
+    assert left.count() == len(want) + 3 and left.where("tt_tid IS NULL").count() == 3
