@@ -398,3 +398,23 @@ def test_language_sample_counts_copies_once_and_is_bounded(spark):
     a, b, c = (language_id.fit(spark.createDataFrame(rows, kind), per_language=10, per_text=size) for rows, size in ((once, 1000), (once + [label] * 200, 1000), (once, 4)))
     assert a.labels == b.labels == c.labels == ("en", "fr")
     assert np.array_equal(a.scores, b.scores) and not np.array_equal(a.scores, c.scores)
+
+
+def test_repeated_windows_meet_across_tasks_and_are_joined_to_nothing(spark):
+    """Every row whose key another row has, wherever a key's rows are cut between tasks; no join of the rows."""
+    keys = [1] * 500 + [2] + [3, 3] + list(range(10, 200)) + [7] * 60
+    data = [(k, d, d % 5, d) for d, k in enumerate(keys)]
+    data += [(k, 10_000 + k, 0, 1) for k in range(190, 195)]
+    found = spark.createDataFrame(data, "key long, doc_id long, crc long, start int").repartition(7)
+    count = {k: sum(r[0] == k for r in data) for k in {r[0] for r in data}}
+    want = sorted((d, c, s) for k, d, c, s in data if count[k] > 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 3, 40, 400):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got = suffix_levels.repeated_windows(found)
+            assert sorted(tuple(r) for r in got.collect()) == want
+        # only rows at the ends of tasks are joined, and the other side has one row a key
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
