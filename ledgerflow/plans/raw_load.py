@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.amounts import parse_txn_amounts
 from ledgerflow.functions.cleansing import fill_client_id, fill_cycle_dates, fill_loan_type, remap_loan_funds, remove_junk_values
 from ledgerflow.functions.dates import normalize_date_columns
+from ledgerflow.operators.joins import written
 from ledgerflow.operators.merge import rewrite_keys, upsert_spec
 from ledgerflow.operators.quality import (
     flag_duplicates,
@@ -99,7 +100,8 @@ def cleanse_batch(df: DataFrame, params: FeedParams, batch_date: str) -> DataFra
     if rules.unique_key:
         df = number_within_key(df, [k for k in keys if k != UNIQUE_KEY_COLUMN], ["transaction_date"], UNIQUE_KEY_COLUMN)
     elif keys:
-        df = flag_duplicates(df, keys, list(params.order_by))
+        # both sides of the flag's join read the rows, so they are cleansed once and written
+        df = flag_duplicates(written(df, "raw-cleansed"), keys, list(params.order_by))
     if rules.flag_sma_balance:
         df = flag_invalid_sma_balance(df)
     if rules.flag_plan_ids:

@@ -161,3 +161,11 @@ def test_rule_join_of_many_types_deals_their_products(spark, monkeypatch):
     assert got.select(F.spark_partition_id()).distinct().count() >= 4
     left = joins.rule_join(txns, types, how="left")
     assert left.count() == len(want) + 3 and left.where("tt_tid IS NULL").count() == 3
+
+
+def test_a_batch_is_cleansed_once(spark):
+    """Dates are parsed before the duplicates' join, which reads the rows twice."""
+    df = staged(spark, 30).withColumn("trade_date", F.lit("01/31/2024"))
+    got = raw_load.cleanse_batch(df, PARAMS, "20240131")
+    assert "gettimestamp" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r[0] for r in got.select("trade_date").collect()} == {"2024-01-31"} and got.count() == 30
